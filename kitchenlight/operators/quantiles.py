@@ -1,8 +1,8 @@
 """Exact continuous quantiles without one task holding all values.
 
 ``percentile`` keeps every distinct value of a group in one buffer. Here the distinct values stay
-distributed: they are counted per bucket of a fixed grid, the few buckets holding the wanted ranks are
-found from those counts, and only their values are ranked.
+distributed: they are counted per cell of a grid, the few cells holding the wanted ranks are divided
+by a finer grid and counted again, and only the values of the fine cells hit are ranked.
 """
 
 from __future__ import annotations
@@ -14,7 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-GRID_BUCKETS = 10_000
+GRID_CELLS = 10_000
+
+
+def _cell(low: Column, high: Column) -> Column:
+    """Grid cell of ``v``: rises with the value, whatever the rounding; values outside go to the end cells."""
+    place = F.floor((F.col("v") - low) / (high - low) * GRID_CELLS)
+    return F.greatest(F.lit(0), F.least(F.lit(GRID_CELLS), place)).cast("int")
+
+
+def _holds_rank(count: str) -> Column:
+    """Whether the zero-based ``rank`` lies in the run of ``count`` values that ends at ``upto``."""
+    return (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col(count))
 
 
 def exact_quantiles(
@@ -22,28 +33,26 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row with a DOUBLE column per entry of ``fractions``; NULL values are ignored.
 
-    ``low`` and ``high`` place the grid. Values outside fall in the end buckets, so the result is exact
-    for any range and a fitting one only balances the work. A quantile between two values is
-    interpolated linearly.
+    ``low`` and ``high`` place the first grid. The result is exact for any range; a fitting one only
+    balances the work. A quantile between two values is interpolated linearly.
     """
-    grid = F.floor((F.col("v") - low) / (high - low) * GRID_BUCKETS)
-    bucket = F.greatest(F.lit(0), F.least(F.lit(GRID_BUCKETS), grid)).cast("int")
     distinct = (
         df.select(F.col(value).cast("double").alias("v"))
         .filter(F.col("v").isNotNull())
         .groupBy("v")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", bucket)
+        .withColumn("outer", _cell(F.lit(low), F.lit(high)))
     )
 
-    # At most GRID_BUCKETS + 1 rows: one unpartitioned window over them is bounded.
-    running = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    per_bucket = (
-        distinct.groupBy("bucket")
-        .agg(F.sum("n").alias("bucket_n"))
-        .withColumn("upto", F.sum("bucket_n").over(running))
-        .withColumn("total", F.sum("bucket_n").over(W.partitionBy()))
+    # At most GRID_CELLS + 1 rows: the unpartitioned windows over them are bounded.
+    running = W.orderBy("outer").rowsBetween(W.unboundedPreceding, W.currentRow)
+    outer = (
+        distinct.groupBy("outer")
+        .agg(F.sum("n").alias("cell_n"))
+        .withColumn("upto", F.sum("cell_n").over(running))
+        .withColumn("total", F.sum("cell_n").over(W.partitionBy()))
     )
+    # The ranks on either side of q * (total - 1), two per quantile.
     wanted = F.explode(
         F.array(
             *[
@@ -53,28 +62,45 @@ def exact_quantiles(
             ]
         )
     )
-    # Zero-based ranks on either side of q * (total - 1).
-    position = F.col("w.q") * (F.col("total") - 1)
-    rank = F.when(F.col("w.side") == 0, F.floor(position)).otherwise(F.ceil(position))
-    targets = (
-        per_bucket.select("*", wanted.alias("w"))
+    position = F.col("wanted.q") * (F.col("total") - 1)
+    rank = F.when(F.col("wanted.side") == 0, F.floor(position)).otherwise(F.ceil(position))
+    # The broadcast frames below hold at most two rows per requested quantile: their size is fixed by the call.
+    in_outer = (
+        outer.select("*", wanted.alias("wanted"))
         .withColumn("rank", rank)
-        .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("bucket_n")))
+        .filter(_holds_rank("cell_n"))
         .select(
-            "bucket",
-            F.col("w.name").alias("name"),
-            F.col("w.side").alias("side"),
+            "outer",
+            F.col("wanted.name").alias("name"),
+            F.col("wanted.side").alias("side"),
             (position - F.floor(position)).alias("weight"),
-            (F.col("rank") - (F.col("upto") - F.col("bucket_n"))).alias("rank_in_bucket"),
+            (F.col("rank") - (F.col("upto") - F.col("cell_n"))).alias("rank"),
         )
     )
-    # Two rows per requested quantile: the size of the broadcast side is fixed by the call.
-    in_bucket = W.partitionBy("bucket").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    buckets_hit = F.broadcast(targets.select("bucket").distinct())
-    ranked = distinct.join(buckets_hit, "bucket", "left_semi").withColumn("upto", F.sum("n").over(in_bucket))
-    hits = ranked.join(F.broadcast(targets), "bucket").filter(
-        (F.col("rank_in_bucket") < F.col("upto")) & (F.col("rank_in_bucket") >= F.col("upto") - F.col("n"))
+
+    # The semi join is pushed below the counting, so values outside the cells hit drop out at the scan.
+    width = (high - low) / GRID_CELLS
+    cell_start = F.col("outer") * width + low
+    divided = distinct.join(F.broadcast(in_outer.select("outer").distinct()), "outer", "left_semi").withColumn(
+        "inner", _cell(cell_start, cell_start + width)
+    )
+    running = W.partitionBy("outer").orderBy("inner").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inner = (
+        divided.groupBy("outer", "inner")
+        .agg(F.sum("n").alias("cell_n"))
+        .withColumn("upto", F.sum("cell_n").over(running))
     )
+    in_inner = (
+        inner.join(F.broadcast(in_outer), "outer")
+        .filter(_holds_rank("cell_n"))
+        .withColumn("rank", F.col("rank") - (F.col("upto") - F.col("cell_n")))
+        .drop("upto", "cell_n")
+    )
+
+    running = W.partitionBy("outer", "inner").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cells_hit = F.broadcast(in_inner.select("outer", "inner").distinct())
+    ranked = divided.join(cells_hit, ["outer", "inner"], "left_semi").withColumn("upto", F.sum("n").over(running))
+    hits = ranked.join(F.broadcast(in_inner), ["outer", "inner"]).filter(_holds_rank("n"))
 
     def picked(name: str, side: int) -> Column:
         return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("v")))

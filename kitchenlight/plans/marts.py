@@ -22,23 +22,31 @@ EXCELLENT_FROM, GOOD_FROM = 90, 70
 LOW_DATA_BELOW = 2
 
 
-def _reference_date(inspections: DataFrame) -> Column:
-    """Latest inspection date, as a scalar subquery: filters on it reach the scan."""
-    return inspections.agg(F.max("activity_date")).scalar()
+def info_window_start(inspections: DataFrame) -> Column:
+    """First day of the long window, as a scalar subquery.
+
+    The subtraction sits inside the subquery: a comparison with the bare subquery is pushed to the Parquet
+    scan, one with an expression around it is not. All other dates are counted from this one, since
+    different subqueries over one table are merged into a struct and would lose the push-down too.
+    """
+    return inspections.agg(F.date_sub(F.max("activity_date"), INFO_WINDOW_DAYS)).scalar()
 
 
-def _on_or_after(reference: Column, days: int) -> Column:
-    return F.col("activity_date") >= F.date_sub(reference, days)
+def _recent(inspections: DataFrame, start: Column) -> DataFrame:
+    """Keyed inspections of the long window with ``age``, their days before the latest inspection."""
+    age = F.datediff(F.date_add(start, INFO_WINDOW_DAYS), F.col("activity_date"))
+    kept = inspections.filter(F.col("facility_key").isNotNull() & (F.col("activity_date") >= start))
+    return kept.withColumn("age", age)
 
 
-def _weight_tenths(reference: Column) -> Column:
+def _weight_tenths(age: Column) -> Column:
     weight = F.lit(None).cast("int")
     for days, tenths in reversed(RECENCY_WEIGHT_TENTHS):
-        weight = F.when(_on_or_after(reference, days), tenths).otherwise(weight)
+        weight = F.when(age <= days, tenths).otherwise(weight)
     return weight
 
 
-def inspection_metrics(inspections: DataFrame, reference: Column) -> DataFrame:
+def inspection_metrics(inspections: DataFrame, start: Column) -> DataFrame:
     """Per-facility counts, weighted score, bad events and latest results.
 
     One scan covers both windows. The first aggregation also groups on the ZIP and the grade, which
@@ -46,20 +54,20 @@ def inspection_metrics(inspections: DataFrame, reference: Column) -> DataFrame:
     of the table shrinks to a handful of rows per task. On one day with several results the lowest
     score and the last grade in the alphabet are shown.
     """
-    recent = inspections.filter(F.col("facility_key").isNotNull() & _on_or_after(reference, INFO_WINDOW_DAYS))
-    in_window = _on_or_after(reference, WINDOW_DAYS)
-    score, weight = F.col("score"), _weight_tenths(reference)
+    score, weight = F.col("score"), _weight_tenths(F.col("age"))
+    in_window, day = F.col("age") <= WINDOW_DAYS, F.col("activity_date")
     by_grade = (
-        recent.select("facility_key", "facility_zip5", "grade", "activity_date", "score", in_window.alias("in_window"))
+        _recent(inspections, start)
         .groupBy("facility_key", "facility_zip5", "grade")
         .agg(
-            F.count_if("in_window").alias("n12"),
+            F.count_if(in_window).alias("n12"),
             F.count(F.lit(1)).alias("n24"),
-            F.sum(F.when(F.col("in_window"), score * weight).cast("long")).alias("score_tenths"),
-            F.sum(F.when(F.col("in_window"), weight).cast("long")).alias("weight_tenths"),
-            F.count_if(F.col("in_window") & (score < BAD_SCORE_BELOW)).alias("bad"),
-            F.max(F.when(F.col("in_window"), F.col("activity_date"))).alias("last_date"),
-            F.max(F.when(F.col("in_window"), pack_day_and_int(F.col("activity_date"), score))).alias("last_score"),
+            # Outside the window there is no weight.
+            F.sum((score * weight).cast("long")).alias("score_tenths"),
+            F.sum(weight.cast("long")).alias("weight_tenths"),
+            F.count_if(in_window & (score < BAD_SCORE_BELOW)).alias("bad"),
+            F.max(F.when(in_window, day)).alias("last_date"),
+            F.max(F.when(in_window, pack_day_and_int(day, score))).alias("last_score"),
         )
     )
     graded = F.when(F.col("grade").isNotNull() & F.col("last_date").isNotNull(), F.struct("last_date", "grade"))
@@ -81,11 +89,9 @@ def inspection_metrics(inspections: DataFrame, reference: Column) -> DataFrame:
     )
 
 
-def violation_metrics(violations: DataFrame, inspections: DataFrame, reference: Column) -> DataFrame:
+def violation_metrics(violations: DataFrame, inspections: DataFrame, start: Column) -> DataFrame:
     """Violation count and points per facility, over the inspections inside the window."""
-    serials = inspections.filter(F.col("facility_key").isNotNull() & _on_or_after(reference, WINDOW_DAYS)).select(
-        "serial_number"
-    )
+    serials = _recent(inspections, start).filter(F.col("age") <= WINDOW_DAYS).select("serial_number")
     return (
         violations.select("serial_number", "facility_key", "points")
         .join(serials, "serial_number", "left_semi")
@@ -96,14 +102,14 @@ def violation_metrics(violations: DataFrame, inspections: DataFrame, reference:
 
 def facility_health(inspections: DataFrame, violations: DataFrame, dim: DataFrame) -> DataFrame:
     """Every facility inspected in the trailing twelve months, with its 0-100 cleanliness index."""
-    reference = _reference_date(inspections)
+    start = info_window_start(inspections)
     trend_share, violation_share, event_share = (F.lit(share) for share in INDEX_SHARES)
     count = F.coalesce(F.col("violations"), F.lit(0)).cast("double")
     points = F.coalesce(F.col("points"), F.lit(0.0))
     visits = F.col("inspections_12mo")
     scored = (
-        inspection_metrics(inspections, reference)
-        .join(violation_metrics(violations, inspections, reference), "facility_key", "left")
+        inspection_metrics(inspections, start)
+        .join(violation_metrics(violations, inspections, start), "facility_key", "left")
         .withColumn("violation_count", count)
         .withColumn("total_points", points)
         .withColumn("violations_per_inspection", per_unit(F.col("violation_count"), visits))
