@@ -36,10 +36,10 @@ def orphan_count(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """One row ``failures``: child rows whose key is not in the parent, under the NULL rule of ``NOT IN``.
 
     A NULL child key is not counted, and a NULL among the parent keys makes the answer zero. Child rows
-    are counted per key before the join, so a hot key reaches it as one row per task.
+    are counted and parent keys taken distinct before the join, so a hot key reaches it as one row per task.
     """
     children = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("child_rows"))
-    orphans = children.join(parent.select(key), key, "left_anti").agg(
+    orphans = children.join(parent.select(key).distinct(), key, "left_anti").agg(
         F.coalesce(F.sum("child_rows"), F.lit(0)).alias("orphan_rows")
     )
     null_parents = parent.agg(F.count_if(F.col(key).isNull()).alias("null_rows"))

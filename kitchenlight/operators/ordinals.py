@@ -12,27 +12,40 @@ from kitchenlight.session import cut_lineage
 
 # A key up to this many rows is numbered by a plain window, which spills; larger ones are split.
 HOT_KEY_ROWS = 1_000_000
+# So many hot keys are small enough to broadcast; more are joined by shuffle.
+BROADCAST_KEYS = 100_000
 # Rows made by one task when a run of identical rows is written out again.
 RUN_CHUNK = 1_000_000
 
 
+def split_hot_keys(
+    df: DataFrame, key: str, hot_key_rows: int = HOT_KEY_ROWS
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """``df`` without its hot keys, the rows of the hot keys, and the hot keys themselves.
+
+    Keys are counted with map-side combine over the key column alone. Without hot keys, the usual case,
+    the frame comes back as it is with two ``None``.
+    """
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows")).filter(F.col("key_rows") > hot_key_rows).select(key)
+    if hot.isEmpty():
+        return df, None, None
+    hot = cut_lineage(hot)
+    joined = F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
+    return df.join(joined, key, "left_anti"), df.join(joined, key, "left_semi"), hot
+
+
 def number_rows(
     df: DataFrame, key: str, order: Sequence[tuple[str, Column]], hot_key_rows: int = HOT_KEY_ROWS
 ) -> DataFrame:
     """Add ``ordinal``: 1, 2, ... inside each ``key`` in the given order, remaining columns breaking ties.
 
     ``order`` pairs a name with the expression sorted on. Rows equal in every column are interchangeable.
-    The keys larger than ``hot_key_rows`` are looked up first (one narrow aggregation). Without any, this
-    is one window; otherwise the hot keys are numbered by a distributed sort and running counts.
+    Keys larger than ``hot_key_rows`` are numbered by a distributed sort and running counts, the others by
+    one window.
     """
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows")).filter(F.col("key_rows") > hot_key_rows).select(key)
-    if hot.isEmpty():
-        return _number_by_window(df, key, order)
-    hot = cut_lineage(hot)
-    cold = df.join(hot, key, "left_anti")
-    return _number_by_window(cold, key, order).unionByName(
-        _number_by_sort(df.join(hot, key, "left_semi"), key, order)
-    )
+    cold, hot_rows, _ = split_hot_keys(df, key, hot_key_rows)
+    numbered = number_by_window(cold, key, order)
+    return numbered if hot_rows is None else numbered.unionByName(number_by_sort(hot_rows, key, order))
 
 
 def _sort_columns(df: DataFrame, key: str, order: Sequence[tuple[str, Column]]) -> list[Column]:
@@ -41,12 +54,12 @@ def _sort_columns(df: DataFrame, key: str, order: Sequence[tuple[str, Column]])
     return [expression for _, expression in order] + rest
 
 
-def _number_by_window(df: DataFrame, key: str, order: Sequence[tuple[str, Column]]) -> DataFrame:
+def number_by_window(df: DataFrame, key: str, order: Sequence[tuple[str, Column]]) -> DataFrame:
     in_key = W.partitionBy(key).orderBy(*_sort_columns(df, key, order))
     return df.withColumn("ordinal", F.row_number().over(in_key).cast("long"))
 
 
-def _number_by_sort(df: DataFrame, key: str, order: Sequence[tuple[str, Column]]) -> DataFrame:
+def number_by_sort(df: DataFrame, key: str, order: Sequence[tuple[str, Column]]) -> DataFrame:
     """Number rows by a range-partitioned sort: no task holds a whole key."""
     # Identical rows collapse to one with a count, so a run of them cannot fill one range.
     runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("run"))

@@ -21,8 +21,12 @@ def area_inspections(raw: DataFrame, seed: DataFrame) -> DataFrame:
 
 
 def area_violations(raw: DataFrame, kept_inspections: DataFrame) -> DataFrame:
-    """Raw violations of the kept inspections, matched on the serial as written (padding included)."""
-    serials = kept_inspections.filter(clean(F.col(SERIAL)) != "").select(SERIAL)
+    """Raw violations of the kept inspections, matched on the serial as written (padding included).
+
+    Taking the serials distinct costs no shuffle of its own, as the join needs the same partitioning, and
+    shrinks a serial repeated many times to one row per task.
+    """
+    serials = kept_inspections.filter(clean(F.col(SERIAL)) != "").select(SERIAL).distinct()
     return raw.join(serials, SERIAL, "left_semi").select(*raw.columns)
 
 

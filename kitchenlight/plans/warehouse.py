@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kitchenlight.functions import facility_key
 from kitchenlight.operators.audits import count_checks, duplicate_count, orphan_count, union_checks
-from kitchenlight.operators.ordinals import HOT_KEY_ROWS, number_rows
+from kitchenlight.operators.ordinals import HOT_KEY_ROWS, number_by_sort, number_by_window, split_hot_keys
 from kitchenlight.operators.quantiles import cross_one_row
 from kitchenlight.operators.ranking import top_rows
 from kitchenlight.schemas import column_names
@@ -67,7 +67,9 @@ def fct_violation(
     """Violations with their facility and a key from the serial and the row number inside it.
 
     Rows are numbered by code, description and points as text, missing ones as blank, then by the
-    remaining columns, so only identical rows are interchangeable.
+    remaining columns, so only identical rows are interchangeable. Serials are unique among the
+    inspections (``core_audit``), so numbering comes before the join, and both use one partitioning by
+    serial. A serial holding very many violations is numbered apart, and its few inspections join alone.
     """
     keys = fct_inspections.select("serial_number", "facility_key")
     blank = F.lit("")
@@ -76,9 +78,21 @@ def fct_violation(
         ("violation_description", F.coalesce("violation_description", blank)),
         ("points", F.coalesce(F.col("points").cast("string"), blank)),
     ]
-    numbered = number_rows(stg_violations.join(keys, "serial_number"), "serial_number", order, hot_key_rows)
-    key = F.sha2(F.concat("serial_number", F.lit("|"), F.col("ordinal").cast("string")), 256)
-    return numbered.withColumn("violation_key", key).select(*column_names("fct_violation"))
+
+    def finished(numbered: DataFrame, owners: DataFrame) -> DataFrame:
+        key = F.sha2(F.concat("serial_number", F.lit("|"), F.col("ordinal").cast("string")), 256)
+        return (
+            numbered.join(owners, "serial_number")
+            .withColumn("violation_key", key)
+            .select(*column_names("fct_violation"))
+        )
+
+    cold, hot_rows, hot_serials = split_hot_keys(stg_violations, "serial_number", hot_key_rows)
+    result = finished(number_by_window(cold, "serial_number", order), keys)
+    if hot_rows is None:
+        return result
+    owners = keys.join(hot_serials, "serial_number", "left_semi")
+    return result.unionByName(finished(number_by_sort(hot_rows, "serial_number", order), owners))
 
 
 def core_audit(dim: DataFrame, inspections: DataFrame, stg_violations: DataFrame) -> DataFrame:
