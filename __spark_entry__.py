@@ -342,6 +342,11 @@ def facility_profile(spark: SparkSession, sf: str) -> DataFrame:
     return serving.facility_profile(health, near)
 
 
+def profile_display(spark: SparkSession, sf: str) -> DataFrame:
+    shown = facility_profile(spark, sf).select("facility_key", "latest_grade", "latest_score", "near_me_score")
+    return serving.display_defaults(shown)
+
+
 def recent_inspections(spark: SparkSession, sf: str) -> DataFrame:
     return serving.recent_inspections(stored(spark, sf, "fct_inspection"))
 
@@ -429,6 +434,7 @@ _QUERIES: dict[str, Query] = {
     "color_scale": color_scale,
     "map_center": map_center,
     "facility_profile": facility_profile,
+    "profile_display": profile_display,
     "recent_inspections": recent_inspections,
     "top_violations": top_violations,
     "ranked_export": ranked_export,

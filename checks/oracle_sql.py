@@ -657,6 +657,14 @@ ORACLES: dict[str, str] = {
         """,
         "near",
     ),
+    "profile_display": _with(
+        """
+        SELECT h.facility_key, coalesce(latest_grade, 'N/A') AS latest_grade, coalesce(latest_score, 0) AS latest_score,
+            coalesce(near_me_score, 0) AS near_me_score
+        FROM health h LEFT JOIN near n USING (facility_key)
+        """,
+        "near",
+    ),
     "recent_inspections": _with(
         """
         SELECT facility_key, activity_date, score, grade, row_number() OVER latest AS rank_in_key

@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kitchenlight.operators.audits import require_clean
 from kitchenlight.operators.quantiles import cross_one_row
-from kitchenlight.plans import area, geo, marts, staging, warehouse
-from kitchenlight.sources.delimited import read_centroids, read_extract, read_seed, write_csv
+from kitchenlight.plans import area, centroids, geo, marts, quality, staging, warehouse
+from kitchenlight.schemas import contract_tables
+from kitchenlight.sources.delimited import (
+    read_centroids,
+    read_extract,
+    read_gazetteer,
+    read_postal_file,
+    read_seed,
+    require_columns,
+    write_csv,
+)
 from kitchenlight.sources.manifest import landing_manifest, require_records
-from kitchenlight.sources.metadata import write_run_metadata
+from kitchenlight.sources.metadata import read_contracts, write_run_metadata
 from kitchenlight.sources.tables import read_table, write_table
 
 
@@ -140,6 +150,68 @@ def run_geo(spark: SparkSession, out: str, zip_geo: DataFrame, home_zip: str) ->
     write_run_metadata(row, f"{out}/geo_meta")
 
 
+def run_centroids(
+    spark: SparkSession, seed: str, gazetteer: str, postal_file: str, overrides: str | None, out: str
+) -> None:
+    """Build the centroid file and the list of uncovered codes; fail when a code is left uncovered."""
+    wanted = read_seed(spark, seed, exactly_five=True)
+    first = read_gazetteer(spark, gazetteer, wanted)
+    # The fallback source is read for the codes still needed only.
+    needed = wanted.join(first.select("zip"), "zip", "left_anti")
+    resolved = centroids.combine_sources(wanted, first, read_postal_file(spark, postal_file, needed))
+    if overrides is not None:
+        rules = require_columns(read_extract(spark, overrides), ("zip", "method", "neighbors"), overrides)
+        centroids.require_valid_overrides(resolved, rules)
+        resolved = centroids.apply_overrides(resolved, rules)
+    # Read back from the written table: sources and overrides are worked out once.
+    resolved = write_table(resolved, out, "resolved_centroids")
+    # At most 100,000 five-digit codes: single sorted files are fine.
+    write_csv(centroids.centroid_table(resolved), f"{out}/zip_centroids", order_by=["zip"], single_file=True)
+    missing = centroids.missing_codes(resolved)
+    write_csv(missing, f"{out}/zip_centroids_missing", order_by=["zip"], single_file=True)
+    counts = centroids.source_counts(resolved)
+    write_run_metadata(counts, f"{out}/centroid_meta")
+    require_clean(
+        counts.select(
+            F.lit("zip_centroids").alias("table_name"),
+            F.lit("codes without centroid").alias("check_name"),
+            F.col("still_missing").alias("failures"),
+        )
+    )
+
+
+def existing_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The contracted tables that have been written."""
+    found = {}
+    for name in contract_tables():
+        try:
+            found[name] = read_table(spark, out, name)
+        except AnalysisException:
+            continue
+    return found
+
+
+def run_validation(spark: SparkSession, out: str, contracts: str) -> DataFrame:
+    """Contracts and quality checks over the written tables.
+
+    Returns every failure as ``(table_name, check_name, failures)``; an empty frame means all passed. The
+    quality suite needs all tables, so it is left out when the contracts find one missing.
+    """
+    tables = existing_tables(spark, out)
+    broken = (
+        quality.contract_check(read_contracts(spark, contracts), tables)
+        .filter(F.col("problems") != "")
+        .select(
+            "table_name",
+            F.concat_ws(": ", "column_name", "problems").alias("check_name"),
+            F.greatest("null_rows", F.lit(1)).cast("long").alias("failures"),
+        )
+    )
+    if len(tables) < len(contract_tables()):
+        return broken
+    return broken.unionByName(quality.quality_suite(tables).filter(F.col("failures") > 0))
+
+
 def run_all(spark: SparkSession, inputs: Inputs, out: str, home_zip: str) -> None:
     """All stages in order. Any failed check stops the run."""
     run_area(spark, inputs, out)

@@ -5,14 +5,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from kitchenlight.plans.pipeline import Inputs, run_all
+from kitchenlight.plans.pipeline import Inputs, run_all, run_centroids, run_validation
 from kitchenlight.schemas import contract_tables
 from kitchenlight.sources import delimited, metadata
 from kitchenlight.sources import sample_binding as bind
 from kitchenlight.sources.manifest import EmptyDataset, landing_manifest, require_records
 from kitchenlight.sources.tables import EmptyOutput, write_table
 from kitchenlight.operators.audits import AuditFailure
-from kitchenlight.plans import quality
 from tests.conftest import SMALL
 
 
@@ -115,10 +114,9 @@ def test_pipeline_from_landed_files(spark, tmp_path):
     out = str(tmp_path / "out")
     run_all(spark, inputs, out, "91705")
     tables = {name: spark.read.parquet(f"{out}/{name}") for name in contract_tables()}
-    metadata.write_contracts(spark, str(tmp_path / "contracts"))
-    contracts = metadata.read_contracts(spark, str(tmp_path / "contracts"))
-    assert quality.contract_check(contracts, tables).filter("problems <> ''").count() == 0
-    assert quality.quality_suite(tables).filter("failures > 0").count() == 0
+    contracts = str(tmp_path / "contracts")
+    metadata.write_contracts(spark, contracts)
+    assert run_validation(spark, out, contracts).count() == 0
     meta = spark.read.json(f"{out}/marts_meta").first()
     assert meta.outputs.mart_facility_health_rows == tables["mart_facility_health"].count()
     area_meta = spark.read.json(f"{out}/area_meta").first()
@@ -127,6 +125,30 @@ def test_pipeline_from_landed_files(spark, tmp_path):
     assert coverage.agg(F.sum("inspection_count")).first()[0] == area_meta.outputs.inspection_rows
 
 
+def test_validation_reports_missing_tables_and_types(spark, tmp_path):
+    write_table(spark.createDataFrame([(1, 34.0, None)], "zip int, lat double, lon double"), str(tmp_path), "dim_zip_geo")
+    contracts = str(tmp_path / "contracts")
+    metadata.write_contracts(spark, contracts, ["dim_zip_geo", "fct_violation"])
+    found = {(r.table_name, r.check_name) for r in run_validation(spark, str(tmp_path), contracts).collect()}
+    assert ("dim_zip_geo", "zip: wrong type") in found and ("dim_zip_geo", "lon: unexpected nulls") in found
+    assert ("fct_violation", "points: missing table") in found and len(found) == 9
+
+
+def test_centroid_build(spark, tmp_path):
+    (tmp_path / "seed.csv").write_text("zip\n11111\n22222\n33333\n123456\n")
+    (tmp_path / "gaz.txt").write_text("GEOID\tINTPTLAT\tINTPTLONG  \n11111\t34.1\t-118.1\n")
+    row = "US\t{}\tp\tn\tc\tn\tc\tn\tc\t{}\t{}\t4\n"
+    (tmp_path / "US.txt").write_text(row.format("22222", "34.3", "-118.3") + row.format("11111", "0", "0"))
+    (tmp_path / "rules.csv").write_text('zip,method,neighbors,source_note\n33333,mean_neighbors,"11111|22222","a, b"\n')
+    paths = [str(tmp_path / name) for name in ("seed.csv", "gaz.txt", "US.txt")]
+    run_centroids(spark, *paths, str(tmp_path / "rules.csv"), str(tmp_path / "out"))
+    built = delimited.read_centroids(spark, str(tmp_path / "out/zip_centroids")).collect()
+    assert [tuple(r) for r in built] == [("11111", 34.1, -118.1), ("22222", 34.3, -118.3), ("33333", 34.2, -118.2)]
+    with pytest.raises(AuditFailure, match="codes without centroid = 1"):
+        run_centroids(spark, *paths, None, str(tmp_path / "out2"))
+    assert [r.zip for r in spark.read.csv(str(tmp_path / "out2/zip_centroids_missing"), header=True).collect()] == ["33333"]
+
+
 def test_pipeline_stops_on_bad_dates(spark, tmp_path):
     inputs = landed(spark, tmp_path, F.lit(True))
     with pytest.raises(AuditFailure, match="activity_date missing"):
