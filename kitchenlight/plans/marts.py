@@ -63,7 +63,7 @@ def inspection_metrics(inspections: DataFrame, start: Column) -> DataFrame:
             F.count_if(in_window).alias("n12"),
             F.count(F.lit(1)).alias("n24"),
             # Outside the window there is no weight.
-            F.sum((score * weight).cast("long")).alias("score_tenths"),
+            F.sum(score.cast("long") * weight).alias("score_tenths"),
             F.sum(weight.cast("long")).alias("weight_tenths"),
             F.count_if(in_window & (score < BAD_SCORE_BELOW)).alias("bad"),
             F.max(F.when(in_window, day)).alias("last_date"),

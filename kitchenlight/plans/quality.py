@@ -27,13 +27,21 @@ def _actual_columns(tables: Mapping[str, DataFrame], contracts: DataFrame) -> Da
     return spark.createDataFrame(rows, "table_name string, column_name string, actual_type string")
 
 
-def _null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """NULLs of every column, one pass per table: ``table_name, column_name, null_rows``."""
+def _null_counts(tables: Mapping[str, DataFrame], contracts: DataFrame) -> DataFrame | None:
+    """NULLs of the not-null columns, one pass per table over those columns only.
+
+    Gives ``table_name, column_name, null_rows``, or ``None`` without such columns. The contracted names are
+    read to the driver: there are as many as the schemas have columns.
+    """
+    wanted: dict[str, list[str]] = {}
+    for row in contracts.filter("not_null").select("table_name", "column_name").distinct().collect():
+        if row.table_name in tables and row.column_name in tables[row.table_name].columns:
+            wanted.setdefault(row.table_name, []).append(row.column_name)
     frames = [
-        count_checks(df, table, {name: F.count_if(F.col(name).isNull()) for name in df.columns})
-        for table, df in tables.items()
+        count_checks(tables[table], table, {name: F.count_if(F.col(name).isNull()) for name in sorted(names)})
+        for table, names in sorted(wanted.items())
     ]
-    return union_checks(*frames).toDF("table_name", "column_name", "null_rows")
+    return union_checks(*frames).toDF("table_name", "column_name", "null_rows") if frames else None
 
 
 def contract_check(contracts: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -57,10 +65,11 @@ def contract_check(contracts: DataFrame, tables: Mapping[str, DataFrame]) -> Dat
             )
         )
     )
+    column = ["table_name", "column_name"]
+    found = contracts.join(known, "table_name", "left").join(_actual_columns(tables, contracts), column, "left")
+    counted = _null_counts(tables, contracts)
     return (
-        contracts.join(known, "table_name", "left")
-        .join(_actual_columns(tables, contracts), ["table_name", "column_name"], "left")
-        .join(_null_counts(tables), ["table_name", "column_name"], "left")
+        (found.withColumn("null_rows", F.lit(0)) if counted is None else found.join(counted, column, "left"))
         .select("table_name", "column_name", problems.alias("problems"), null_rows.alias("null_rows"))
     )
 

@@ -66,7 +66,7 @@ def read_run_metadata(spark: SparkSession, path: str) -> DataFrame:
 
     A time stamp that does not parse shows its first ten characters; a missing or blank one shows ``N/A``.
     """
-    raw = spark.read.json(path)
+    raw = spark.read.json(path, multiLine=True)
     if "generated_at_utc" not in raw.columns:
         return raw.withColumn("last_updated", F.lit("N/A"))
     stamp = F.col("generated_at_utc")

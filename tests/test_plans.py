@@ -241,6 +241,16 @@ def test_contract_check_reports_each_fault(spark):
     }
 
 
+def test_contract_check_without_not_null_columns(spark):
+    contracts = spark.createDataFrame([("t", "a", "VARCHAR", False)], "table_name string, column_name string, type_prefix string, not_null boolean")
+    assert quality.contract_check(contracts, {"t": spark.createDataFrame([("x",)], "a string")}).first().problems == ""
+
+
+def test_extreme_scores_do_not_overflow(spark):
+    row = health_of(spark, [("1", "f", 0, 2**31 - 1, "A"), ("2", "f", 0, -(2**31), "C")])["f"]
+    assert row.latest_score == -(2**31) and row.score_trend == -0.5
+
+
 def test_quality_suite_finds_seeded_faults(spark):
     t = {}
     t["dim_facility"] = spark.createDataFrame([("k",), ("k",)], "facility_key string")

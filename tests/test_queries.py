@@ -18,3 +18,16 @@ def test_query_matches_sql(spark, name):
 
 def test_entry_is_the_flagship(spark):
     assert differences(entry(spark), SMALL, oracle_sql()["facility_health"]) == ""
+
+
+def test_known_figures_of_the_smallest_sample(spark):
+    found = {name: queries()[name](spark, SMALL) for name in ("facility_health", "index_stats", "index_bands", "merge_report")}
+    health = found["facility_health"]
+    assert health.count() == 117
+    assert health.filter("cleanliness_index = 100").count() == 5
+    assert health.filter("score_trend IS NULL").count() == 4
+    assert tuple(found["index_stats"].first()) == (57.9, 84.2, 95.19, 100.0)
+    assert tuple(found["index_bands"].first()) == (27, 81, 9, 56)
+    assert tuple(found["merge_report"].first())[:3] == (150, 148, 2)
+    assert queries()["repeat_offenders"](spark, SMALL).count() == 43
+    assert queries()["fct_violation"](spark, SMALL).count() == 1112

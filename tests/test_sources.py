@@ -78,7 +78,7 @@ def test_contract_files(spark, tmp_path):
     [("2024-08-01T23:30:00.123456+00:00", "Aug 01, 2024"), ("2024-08-01T01:30:00Z", "Aug 01, 2024"), ("yesterday evening", "yesterday "), ("", "N/A"), (None, "N/A")],
 )
 def test_last_updated(spark, tmp_path, stamp, shown):
-    (tmp_path / "m.json").write_text(json.dumps({"generated_at_utc": stamp, "x": 1}))
+    (tmp_path / "m.json").write_text(json.dumps({"generated_at_utc": stamp, "x": 1}, indent=2))
     assert metadata.read_run_metadata(spark, str(tmp_path)).first().last_updated == shown
 
 
