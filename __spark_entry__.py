@@ -74,7 +74,7 @@ def violation_semi_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zip_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return area.zip_coverage(area_filter(spark, sf), violation_semi_join(spark, sf)).orderBy("zip")
+    return area.zip_coverage(area_filter(spark, sf), bind.bind_raw_violations(spark, sf)).orderBy("zip")
 
 
 def seed_normalise(spark: SparkSession, sf: str) -> DataFrame:

@@ -30,16 +30,19 @@ def area_violations(raw: DataFrame, kept_inspections: DataFrame) -> DataFrame:
     return raw.join(serials, SERIAL, "left_semi").select(*raw.columns)
 
 
-def zip_coverage(kept_inspections: DataFrame, kept_violations: DataFrame) -> DataFrame:
+def zip_coverage(kept_inspections: DataFrame, violations: DataFrame) -> DataFrame:
     """Inspections and violations per ZIP.
 
-    Both sides are counted per serial before they meet, so a serial repeated on both never yields
-    all its pairs: the pair count is the product of the two counts.
+    The violations may be the area's or all of them: the join keeps those of the kept inspections. Both
+    sides are counted per serial before they meet, so a serial repeated on both never yields all its
+    pairs (their number is the product of the two counts), and a hot one shrinks to a row per task.
     """
     inspections = kept_inspections.groupBy(SERIAL, "facility_zip5").agg(F.count(F.lit(1)).alias("inspection_rows"))
-    violations = kept_violations.groupBy(SERIAL).agg(F.count(F.lit(1)).alias("violation_rows"))
+    per_serial = (
+        violations.filter(clean(F.col(SERIAL)) != "").groupBy(SERIAL).agg(F.count(F.lit(1)).alias("violation_rows"))
+    )
     per_zip = (
-        inspections.join(violations, SERIAL)
+        inspections.join(per_serial, SERIAL)
         .groupBy(F.col("facility_zip5").alias("zip"))
         .agg(F.sum(F.col("inspection_rows") * F.col("violation_rows")).alias("violation_count"))
     )

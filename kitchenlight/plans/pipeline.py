@@ -70,14 +70,16 @@ def run_area(spark: SparkSession, inputs: Inputs, out: str) -> None:
 
 def run_staging(spark: SparkSession, out: str) -> None:
     """Area rows to typed staging tables."""
-    inspections = write_table(
-        staging.stage_inspections(read_table(spark, out, "area_inspections")), out, "stg_inspections"
-    )
-    violations = write_table(staging.stage_violations(read_table(spark, out, "area_violations")), out, "stg_violations")
+    raw_inspections, raw_violations = (read_table(spark, out, name) for name in ("area_inspections", "area_violations"))
+    inspections = write_table(staging.stage_inspections(raw_inspections), out, "stg_inspections")
+    violations = write_table(staging.stage_violations(raw_violations), out, "stg_violations")
     audit = staging.stage_audit(inspections, violations)
     require_clean(staging.hard_stage_checks(audit))
     counts = _pack("outputs", _count(inspections, "stg_inspections_rows"), _count(violations, "stg_violations_rows"))
-    write_run_metadata(cross_one_row(counts, _as_map(audit, "checks")), f"{out}/stg_meta")
+    inputs = _pack(
+        "inputs", _count(raw_inspections, "area_inspections_rows"), _count(raw_violations, "area_violations_rows")
+    )
+    write_run_metadata(cross_one_row(inputs, counts, _as_map(audit, "checks")), f"{out}/stg_meta")
 
 
 def run_warehouse(
@@ -102,12 +104,17 @@ def run_warehouse(
     )
     top = warehouse.top_merged(stg_inspections)
     top_list = top.agg(
-        F.reverse(F.sort_array(F.collect_list(F.struct("facility_id_count", "facility_key", "facility_name")))).alias(
-            "top_merged_facilities"
-        )
+        F.sort_array(
+            F.collect_list(
+                F.struct((-F.col("facility_id_count")).alias("order"), F.col("facility_key"), F.struct(*top.columns).alias("row"))
+            )
+        )["row"].alias("top_merged_facilities")
     )
     report = _pack("facility_merge_report", warehouse.merge_report(stg_inspections), top_list)
-    write_run_metadata(cross_one_row(counts, report), f"{out}/core_meta")
+    inputs = _pack(
+        "inputs", _count(stg_inspections, "stg_inspections_rows"), _count(stg_violations, "stg_violations_rows")
+    )
+    write_run_metadata(cross_one_row(inputs, counts, report), f"{out}/core_meta")
 
 
 def run_marts(spark: SparkSession, out: str) -> None:
@@ -129,9 +136,19 @@ def run_marts(spark: SparkSession, out: str) -> None:
         _count(by_zip, "mart_zip_health_rows"),
         _count(repeat, "mart_repeat_offenders_rows"),
     )
-    stats = _pack("cleanliness_index_stats", marts.index_stats(health))
-    bands = _pack("facility_distribution", marts.index_bands(health))
-    write_run_metadata(cross_one_row(counts, stats, bands), f"{out}/marts_meta")
+    inputs = _pack(
+        "inputs",
+        _count(dim, "dim_facility_rows"),
+        _count(inspections, "fct_inspection_rows"),
+        _count(violations, "fct_violation_rows"),
+    )
+    # The names these figures have in the metadata.
+    stats = _pack("cleanliness_index_stats", marts.index_stats(health).toDF("min", "p50", "p90", "max"))
+    bands = _pack(
+        "facility_distribution",
+        marts.index_bands(health).toDF("excellent_ge90", "good_70_89", "poor_lt70", "low_data_flag"),
+    )
+    write_run_metadata(cross_one_row(inputs, counts, stats, bands), f"{out}/marts_meta")
 
 
 def run_geo(spark: SparkSession, out: str, zip_geo: DataFrame, home_zip: str) -> None:

@@ -1,4 +1,7 @@
-"""``spark-submit kitchenlight/__main__.py <inspections> <violations> <seed> <centroids> <out> <home zip>``."""
+"""Run the whole pipeline.
+
+``spark-submit --py-files kitchenlight.zip run_pipeline.py <inspections> <violations> <seed> <centroids> <out> <home zip>``
+"""
 
 import sys
 

@@ -142,9 +142,10 @@ def test_area_join_uses_serials_as_written(spark):
 
 def test_coverage_multiplies_repeated_serials(spark):
     kept = raw_frame(spark, [{"SERIAL NUMBER": "S"}] * 3).withColumn("facility_zip5", F.lit("91754"))
-    viol = spark.createDataFrame([("S",)] * 4, "`SERIAL NUMBER` string")
+    kept = kept.unionByName(raw_frame(spark, [{"SERIAL NUMBER": " "}]).withColumn("facility_zip5", F.lit("91754")))
+    viol = spark.createDataFrame([("S",)] * 4 + [("T",), (" ",), (None,)], "`SERIAL NUMBER` string")
     row = area.zip_coverage(kept, viol).first()
-    assert (row.inspection_count, row.violation_count) == (3, 12)
+    assert (row.inspection_count, row.violation_count) == (4, 12)
 
 
 def staged_rows(spark):

@@ -119,6 +119,11 @@ def test_pipeline_from_landed_files(spark, tmp_path):
     assert run_validation(spark, out, contracts).count() == 0
     meta = spark.read.json(f"{out}/marts_meta").first()
     assert meta.outputs.mart_facility_health_rows == tables["mart_facility_health"].count()
+    assert meta.cleanliness_index_stats.p90 > meta.cleanliness_index_stats.p50
+    assert meta.facility_distribution.good_70_89 + meta.facility_distribution.excellent_ge90 <= meta.outputs.mart_facility_health_rows
+    report = spark.read.json(f"{out}/core_meta").first().facility_merge_report
+    assert report.merge_rate < 0.05
+    assert [r.facility_id_count for r in report.top_merged_facilities] == [2] * len(report.top_merged_facilities)
     area_meta = spark.read.json(f"{out}/area_meta").first()
     assert area_meta.seed_zip_count == 20
     coverage = spark.read.csv(f"{out}/zip_coverage", header=True, inferSchema=True)
