@@ -30,6 +30,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 HOME = bind.DEFAULT_HOME_ZIP
 SEARCH_TEXT = " customer#00000001 "
 
+try:
+    from corpus_pipeline import run as pipeline_run  # noqa: E402
+    from kitchenlight.llm.queries import ORACLES as LLM_ORACLES  # noqa: E402
+    from kitchenlight.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError as missing:  # the subpackage is optional; a fault inside it is not
+    if missing.name not in ("corpus_pipeline", "kitchenlight.llm", "kitchenlight.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": pipeline_run}
+
 _stores: dict[tuple[str, str], str] = {}
 
 
@@ -453,8 +464,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | LLM_ORACLES
