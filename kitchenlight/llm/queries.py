@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kitchenlight.llm import simhash
+from kitchenlight.llm import secrets, simhash
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +17,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op7_simhash": op7_simhash,
+    "op8_secrets": op8_secrets,
 }
 
 ORACLES: dict[str, str] = {}
