@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kitchenlight.llm import decontaminate, packing, secrets, simhash
+from kitchenlight.llm import decontaminate, packing, quality, secrets, simhash
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
@@ -31,6 +35,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op7_simhash": op7_simhash,
     "op8_secrets": op8_secrets,
