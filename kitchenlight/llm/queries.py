@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kitchenlight.llm import decontaminate, packing, quality, secrets, simhash
+from kitchenlight.llm import decontaminate, language, packing, quality, secrets, sharding, simhash
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard_documents(documents(spark, sf_dir))
+    return found.withColumn("law", F.lit("key")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -33,12 +39,18 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(documents(spark, sf_dir))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
+    "op6_sharding": op6_sharding,
     "op7_simhash": op7_simhash,
     "op8_secrets": op8_secrets,
+    "op10_language": op10_language,
 }
 
 ORACLES: dict[str, str] = {}
