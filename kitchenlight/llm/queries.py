@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitchenlight.llm import decontaminate, language, packing, quality, secrets, sharding, simhash
+from kitchenlight.llm import decontaminate, html, language, packing, quality, secrets, sharding, simhash
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(documents(spark, sf_dir))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op6_sharding": op6_sharding,
     "op7_simhash": op7_simhash,
     "op8_secrets": op8_secrets,
+    "op9_html": op9_html,
     "op10_language": op10_language,
 }
 
