@@ -22,12 +22,11 @@ def with_neighbours(df: DataFrame, order: list[str], carry: list[str], last_take
     by_order = Window.partitionBy("range_no").orderBy(*order)
     near = ranged.withColumn("before", F.lag(row).over(by_order)).withColumn("after", F.lead(row).over(by_order))
     ends = ranged.groupBy("range_no").agg(F.min_by(row, key).alias("head"), F.max_by(row, key).alias("tail"))
-    found = ends.orderBy("range_no").collect()  # one row per partition
-    if not found:
-        return near.drop("range_no")
-    first = [r.head for r in found[1:]] + [found[0].head if last_takes_first else None]
-    last = [found[-1].tail if last_takes_first else None] + [r.tail for r in found[:-1]]
-    kind = ranged.select(row.alias("r")).schema["r"].dataType.simpleString()
-    seams = df.sparkSession.createDataFrame([(r.range_no, b, a) for r, b, a in zip(found, last, first)], f"range_no int, seam_before {kind}, seam_after {kind}")
-    joined = near.join(F.broadcast(seams), "range_no")
-    return joined.withColumn("before", F.coalesce("before", "seam_before")).withColumn("after", F.coalesce("after", "seam_after")).drop("range_no", "seam_before", "seam_after")
+    seam = Window.orderBy("range_no")  # over as many rows as there are partitions
+    last, first = F.lag("tail").over(seam), F.lead("head").over(seam)
+    if last_takes_first:
+        every = seam.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        last, first = F.coalesce(last, F.last("tail").over(every)), F.coalesce(first, F.first("head").over(every))
+    seams = F.broadcast(ends.select("range_no", last.alias("seam_before"), first.alias("seam_after")))
+    found = near.join(seams, "range_no").withColumn("before", F.coalesce("before", "seam_before"))
+    return found.withColumn("after", F.coalesce("after", "seam_after")).drop("range_no", "seam_before", "seam_after")

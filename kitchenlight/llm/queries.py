@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitchenlight.llm import decontaminate, html, language, packing, quality, secrets, sharding, simhash
+from kitchenlight.llm import decontaminate, html, language, packing, quality, secrets, sharding, simhash, syncmers
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare_with_edits(documents(spark, sf_dir))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -48,6 +52,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_decontamination": op2_decontamination,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
