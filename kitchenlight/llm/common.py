@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kitchenlight.session import cut_lineage, scratch_path
 
@@ -37,6 +38,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(rows: DataFrame, group: str, key: str, most: int, seed: int, most_groups: int = 10_000) -> DataFrame:
+    """At most ``most`` rows of each group, those whose hashed ``key`` is least; adds ``place``, their rank from 1.
+
+    Groups are counted first, and only hashes low enough to hold slightly more than ``most`` rows reach the ranking: what a
+    task ranks does not grow with a group. Groups, such as languages, are few; more than ``most_groups`` are an error.
+    """
+    counts = stored(rows.groupBy(group).agg(F.count("*").alias("group_rows")), "groups")
+    if (found := counts.count()) > most_groups:
+        raise ValueError(f"{found} groups; at most {most_groups} are expected")
+    mark = F.xxhash64(F.lit(seed), key)
+    share = (most + 8 * most**0.5 + 50) / F.col("group_rows")
+    near = rows.join(F.broadcast(counts), group).filter(F.shiftrightunsigned(mark, 11) / float(1 << 53) < share)
+    by_mark = Window.partitionBy(group).orderBy(mark, key)
+    return near.drop("group_rows").withColumn("place", F.row_number().over(by_mark)).filter(F.col("place") <= most)
+
+
 def sorted_runs(batches: Iterator, key: str, rows: int) -> Iterator:
     """Pandas frames of at least ``rows`` rows (the last may be smaller) that never split a run of equal ``key``."""
     import pandas as pd
@@ -58,5 +75,5 @@ def sorted_runs(batches: Iterator, key: str, rows: int) -> Iterator:
 
 
 __all__ = [
-    "DOCUMENT_COLUMNS", "cut_lineage", "document_columns", "documents", "id_and_text", "scratch_path", "sorted_runs", "stored",
+    "DOCUMENT_COLUMNS", "bounded_sample", "cut_lineage", "document_columns", "documents", "id_and_text", "scratch_path", "sorted_runs", "stored",
 ]

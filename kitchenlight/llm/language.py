@@ -7,16 +7,14 @@ the nearest by cosine gives the language, and a text further away than the centr
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from kitchenlight.llm.common import stored
+from kitchenlight.llm.common import bounded_sample, stored
 
 DIMENSIONS = 4096
 SAMPLE_DOCUMENTS = 1500
@@ -96,8 +94,7 @@ def sample(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
     """``(lang, text)``: at most ``documents`` labelled documents of each language, chosen by a hash of the id."""
     usable = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
     usable = usable.filter(~held_out(F.col("doc_id")))
-    by_mark = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("place", F.row_number().over(by_mark)).filter(F.col("place") <= documents)
+    ids = bounded_sample(usable.select("doc_id", "lang"), "lang", "doc_id", documents, 29)
     return usable.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi").select("lang", "text")  # a bounded sample
 
 
