@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from checks.oracle_sql import ORACLES  # noqa: E402
 from kitchenlight.operators.audits import count_checks, duplicate_count, orphan_count, union_checks  # noqa: E402
 from kitchenlight.plans import area, centroids, geo, marts, quality, serving, staging, warehouse  # noqa: E402
-from kitchenlight.plans.pipeline import run_geo, run_marts, run_warehouse  # noqa: E402
+from kitchenlight.plans.pipeline import run_geo, run_marts, run_warehouse, staging_report  # noqa: E402
 from kitchenlight.schemas import RAW_INSPECTION_HEADERS, contract_tables  # noqa: E402
 from kitchenlight.session import scratch_path  # noqa: E402
 from kitchenlight.sources import delimited, metadata  # noqa: E402
@@ -89,7 +89,9 @@ def zip_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seed_normalise(spark: SparkSession, sf: str) -> DataFrame:
-    return delimited.normalise_seed(bind.bind_postal_seed(spark, sf)).orderBy("zip")
+    path = scratch_path(spark, "seed")
+    delimited.write_csv(bind.bind_postal_seed(spark, sf), path)
+    return delimited.read_seed(spark, path).orderBy("zip")
 
 
 def postal_seed(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,12 +125,16 @@ def _combined_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return centroids.combine_sources(postal_seed(spark, sf), tsv_gazetteer(spark, sf), tsv_positional(spark, sf))
 
 
+def _resolved_centroids(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return centroids.resolve_overrides(_combined_centroids(spark, sf), bind.bind_overrides(spark, sf))
+
+
 def zip_centroids(spark: SparkSession, sf: str) -> DataFrame:
-    return centroids.apply_overrides(_combined_centroids(spark, sf), bind.bind_overrides(spark, sf))
+    return _resolved_centroids(spark, sf)[0]
 
 
 def override_problems(spark: SparkSession, sf: str) -> DataFrame:
-    return centroids.override_problems(_combined_centroids(spark, sf), bind.bind_overrides(spark, sf))
+    return _resolved_centroids(spark, sf)[1]
 
 
 def centroid_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,6 +169,36 @@ def run_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return core.select("outputs.*", "facility_merge_report.*").drop("top_merged_facilities")
 
 
+def run_metadata_top(spark: SparkSession, sf: str) -> DataFrame:
+    core = metadata.read_run_metadata(spark, f"{mart_store(spark, sf)}/core_meta")
+    return core.select(F.inline("facility_merge_report.top_merged_facilities"))
+
+
+def staging_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    out = scratch_path(spark, "staging")
+    tables = {
+        "area_inspections": bind.bind_raw_inspections(spark, sf),
+        "area_violations": bind.bind_raw_violations(spark, sf),
+    }
+    rows = {name: write_table(df, out, name) for name, df in tables.items()}
+    inspections = staging.stage_inspections(rows["area_inspections"])
+    violations = staging.stage_violations(rows["area_violations"])
+    path = scratch_path(spark, "staging_meta")
+    metadata.write_run_metadata(staging_report(rows, inspections, violations), path)
+    meta = metadata.read_run_metadata(spark, path)
+    return meta.select(
+        "outputs.*",
+        F.col("null_counts.stg_inspections.serial_number").alias("inspection_serial_number"),
+        "null_counts.stg_inspections.activity_date",
+        "null_counts.stg_inspections.score",
+        "null_counts.stg_inspections.grade",
+        F.col("null_counts.stg_violations.serial_number").alias("violation_serial_number"),
+        "null_counts.stg_violations.violation_code",
+        "null_counts.stg_violations.points",
+        "warnings.*",
+    )
+
+
 def metadata_read(spark: SparkSession, sf: str) -> DataFrame:
     health = stored(spark, sf, "mart_facility_health")
     stamp = F.date_format(F.max("latest_activity_date"), "yyyy-MM-dd'T00:00:00.000000+00:00'")
@@ -340,12 +376,24 @@ def color_scale(spark: SparkSession, sf: str) -> DataFrame:
     return colored.select("facility_key", "cleanliness_index", *channels)
 
 
+def color_modes(spark: SparkSession, sf: str) -> DataFrame:
+    points = map_health(spark, sf)
+
+    def shaded(mode: str) -> DataFrame:
+        colored = serving.color_scale(points, "cleanliness_index", mode)
+        channels = [F.col("color")[i].alias(name) for i, name in enumerate(("red", "green", "blue"))]
+        return colored.select("facility_key", F.lit(mode).alias("mode"), *channels)
+
+    return shaded("BEST").unionByName(shaded("SEARCH"))
+
+
 def map_center(spark: SparkSession, sf: str) -> DataFrame:
     points, zip_geo = map_near_me(spark, sf), stored(spark, sf, "dim_zip_geo")
-    known = serving.map_center(points, zip_geo, HOME).withColumn("center", F.lit("home"))
-    unknown = serving.map_center(points, zip_geo, "00000").withColumn("center", F.lit("points"))
-    shown = known.unionByName(unknown)
-    return shown.select("center", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
+    # Points of ZIPs ending in 4 lose one coordinate, so they must not count.
+    halved = points.withColumn("lon", F.when(~F.col("facility_zip5").endswith("4"), F.col("lon")))
+    centers = serving.map_centers(halved, zip_geo, [HOME, "00000"])
+    center = F.when(F.col("home_zip") == HOME, "home").otherwise("points").alias("center")
+    return centers.select(center, F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
 
 
 def facility_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -366,8 +414,31 @@ def top_violations(spark: SparkSession, sf: str) -> DataFrame:
     return serving.top_violations(stored(spark, sf, "fct_violation"))
 
 
+def _one_facility(spark: SparkSession, sf: str) -> str:
+    """The key a user would have clicked on."""
+    return stored(spark, sf, "mart_facility_health").agg(F.min("facility_key")).first()[0]
+
+
+def one_profile(spark: SparkSession, sf: str) -> DataFrame:
+    health, near = stored(spark, sf, "mart_facility_health", "mart_near_me")
+    return serving.facility_profile(health, near, _one_facility(spark, sf))
+
+
+def one_profile_without_near_me(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.facility_profile(stored(spark, sf, "mart_facility_health"), None, _one_facility(spark, sf))
+
+
+def one_recent(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.recent_inspections(stored(spark, sf, "fct_inspection"), _one_facility(spark, sf))
+
+
+def one_top_violations(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.top_violations(stored(spark, sf, "fct_violation"), _one_facility(spark, sf))
+
+
 def ranked_export(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.ranked_export(serving.ranked_facilities(stored(spark, sf, "mart_facility_health"), ranked=True))
+    ranked = serving.ranked_facilities(stored(spark, sf, "mart_facility_health"), ranked=True)
+    return serving.write_ranked_export(ranked, scratch_path(spark, "export"))
 
 
 # ---- quality ----
@@ -383,10 +454,82 @@ def contract_check(spark: SparkSession, sf: str) -> DataFrame:
     return quality.contract_check(metadata.read_contracts(spark, path), _produced(spark, sf))
 
 
+def contract_faults(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "contracts")
+    metadata.write_contracts(spark, path)
+    contracts = metadata.read_contracts(spark, path).filter(F.col("table_name").isin("stg_violations", "dim_zip_geo"))
+    violations = stored(spark, sf, "stg_violations")
+    faulty = violations.withColumns(
+        {
+            "serial_number": F.when(~(F.col("points") > 1), F.col("serial_number")),
+            "points": F.col("points").cast("string"),
+        }
+    ).drop("violation_code")
+    return quality.contract_check(contracts, {"stg_violations": faulty})
+
+
 def quality_suite(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_suite(_produced(spark, sf))
 
 
+def _faulty(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The produced tables with missing and repeated keys, orphans, and values out of range."""
+    good = _produced(spark, sf)
+    zip_code, score = F.col("facility_zip5"), F.col("score")
+    key = F.when(zip_code != "91702", F.col("facility_key"))
+    miles = F.when(zip_code == "91703", -F.col("distance_miles")).when(zip_code != "91706", F.col("distance_miles"))
+    spoiled_index = F.when(zip_code != "91703", F.col("cleanliness_index") * 1.5 - 40)
+    dim, inspections = good["dim_facility"], good["fct_inspection"]
+    return good | {
+        "dim_facility": dim.withColumn("facility_key", key).unionByName(dim.filter(zip_code == "91701")),
+        "fct_inspection": inspections.unionByName(inspections.filter(F.col("grade") == "C")),
+        "fct_violation": good["fct_violation"].withColumn(
+            "serial_number", F.concat(F.when(F.col("points") > 1, "x").otherwise(""), F.col("serial_number"))
+        ),
+        "stg_inspections": good["stg_inspections"].withColumns(
+            {
+                "serial_number": F.when(score == 75, "").otherwise(F.col("serial_number")),
+                "activity_date": F.when(score.isNull() | (score != 80), F.col("activity_date")),
+                "facility_zip5": F.when(score == 85, F.left(zip_code, F.lit(4))).otherwise(zip_code),
+            }
+        ),
+        "dim_zip_geo": good["dim_zip_geo"].withColumns(
+            {
+                "lat": F.when(F.col("zip") > "91720", F.col("lat") + 10).otherwise(F.col("lat")),
+                "lon": F.when(F.col("zip") != "91702", F.col("lon")),
+            }
+        ),
+        "mart_facility_health": good["mart_facility_health"].withColumns(
+            {"facility_key": key, "cleanliness_index": spoiled_index}
+        ),
+        "mart_near_me": good["mart_near_me"]
+        .filter(zip_code != "91704")
+        .withColumns({"facility_key": key, "distance_miles": miles, "near_me_score": F.col("near_me_score") * 30 - 5}),
+    }
+
+
+def quality_faults(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_suite(_faulty(spark, sf))
+
+
+def core_audit(spark: SparkSession, sf: str) -> DataFrame:
+    good = _produced(spark, sf)
+    return warehouse.core_audit(good["dim_facility"], good["fct_inspection"], good["stg_violations"])
+
+
+def core_audit_faults(spark: SparkSession, sf: str) -> DataFrame:
+    bad = _faulty(spark, sf)
+    return warehouse.core_audit(bad["dim_facility"], bad["fct_inspection"], bad["fct_violation"])
+
+
+def mart_audit_faults(spark: SparkSession, sf: str) -> DataFrame:
+    return marts.mart_audit(_faulty(spark, sf)["mart_facility_health"])
+
+
+def near_me_faults(spark: SparkSession, sf: str) -> DataFrame:
+    return geo.near_me_audit(_faulty(spark, sf)["mart_near_me"], stored(spark, sf, "mart_facility_health"))
+
+
 def stat_gates(spark: SparkSession, sf: str) -> DataFrame:
     health, staged = stored(spark, sf, "mart_facility_health", "stg_inspections")
     gates = quality.stat_gates(health, staged)
@@ -452,6 +595,19 @@ _QUERIES: dict[str, Query] = {
     "contract_check": contract_check,
     "quality_suite": quality_suite,
     "stat_gates": stat_gates,
+    "contract_faults": contract_faults,
+    "quality_faults": quality_faults,
+    "core_audit": core_audit,
+    "core_audit_faults": core_audit_faults,
+    "mart_audit_faults": mart_audit_faults,
+    "near_me_faults": near_me_faults,
+    "color_modes": color_modes,
+    "one_profile": one_profile,
+    "one_profile_without_near_me": one_profile_without_near_me,
+    "one_recent": one_recent,
+    "one_top_violations": one_top_violations,
+    "run_metadata_top": run_metadata_top,
+    "staging_metadata": staging_metadata,
 }
 
 

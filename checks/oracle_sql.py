@@ -68,9 +68,9 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT l_orderkey::VARCHAR AS serial_number, l_linestatus AS violation_status,
             l_returnflag || l_linenumber AS violation_code, p_type AS violation_description,
-            (l_linenumber % 4)::DOUBLE AS points, l_orderkey, l_linenumber
+            CASE WHEN l_quantity < 10 THEN ((l_linenumber % 4) * 10 + l_partkey % 3)::DOUBLE / 10 ELSE 0 END AS points,
+            l_orderkey, l_linenumber
         FROM lineitem JOIN part ON l_partkey = p_partkey
-        WHERE l_quantity < 10
         """,
     ),
     "zip_geo": (
@@ -186,8 +186,9 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         ("postal_seed",),
         """
         SELECT (o_custkey % 90000 + 10000)::VARCHAR AS zip,
-            printf('%.6f', 30 + (arg_max(o_orderkey, o_orderkey) % 1000)::DOUBLE / 100) AS lat,
-            printf('%.6f', -110 - (arg_max(o_orderkey, o_orderkey) % 997)::DOUBLE / 100) AS lon
+            CASE WHEN max(o_orderkey) % 8 = 0 THEN ''
+                 ELSE printf('%.6f', 30 + (max(o_orderkey) % 1000)::DOUBLE / 100) END AS lat,
+            printf('%.6f', -110 - (max(o_orderkey) % 997)::DOUBLE / 100) AS lon
         FROM orders
         WHERE o_custkey % 3 <> 0 AND (o_custkey % 90000 + 10000)::VARCHAR IN (FROM postal_seed)
         GROUP BY 1
@@ -213,25 +214,35 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT zip, lat, lon, 'secondary' FROM postal_file WHERE zip NOT IN (SELECT zip FROM gazetteer)
         """,
     ),
-    "neighbour": (
+    "rule": (
         ("placed", "postal_seed"),
         """
-        SELECT s.zip, p.lat::DOUBLE AS lat, p.lon::DOUBLE AS lon
-        FROM (SELECT (c_custkey % 90000 + 10000)::VARCHAR AS zip, c_custkey FROM customer WHERE c_custkey % 18 = 0) s
-        CROSS JOIN (VALUES (1), (2)) step(d)
-        LEFT JOIN placed p ON p.zip = ((s.c_custkey + d) % 90000 + 10000)::VARCHAR
-        WHERE s.zip IN (FROM postal_seed) AND s.zip NOT IN (SELECT zip FROM placed)
+        SELECT c_custkey, (c_custkey % 90000 + 10000)::VARCHAR AS zip,
+            CASE WHEN c_custkey % 7 = 0 THEN 'unsupported method' WHEN c_custkey % 11 = 0 THEN 'no neighbours' END AS fault
+        FROM customer WHERE c_custkey % 18 = 0 AND zip IN (FROM postal_seed) AND zip NOT IN (SELECT zip FROM placed)
+        """,
+    ),
+    "judged": (
+        ("rule", "placed"),
+        """
+        SELECT r.zip, avg(TRY_CAST(p.lat AS DOUBLE)) AS lat, avg(TRY_CAST(p.lon AS DOUBLE)) AS lon,
+            coalesce(any_value(fault), CASE
+                WHEN count(p.zip) < 2 THEN 'neighbour without centroid'
+                WHEN count(TRY_CAST(p.lat AS DOUBLE)) < 2 OR count(TRY_CAST(p.lon AS DOUBLE)) < 2
+                THEN 'neighbour without coordinates' END) AS problem
+        FROM rule r CROSS JOIN (VALUES (1), (2)) step(d)
+        LEFT JOIN placed p ON p.zip = ((r.c_custkey + d) % 90000 + 10000)::VARCHAR
+        GROUP BY r.zip
         """,
     ),
     "resolved": (
-        ("placed", "neighbour", "postal_seed"),
+        ("placed", "judged", "postal_seed"),
         """
-        SELECT s.zip, coalesce(p.lat, o.lat) AS lat, coalesce(p.lon, o.lon) AS lon,
-            coalesce(p.source, o.source) AS source
+        SELECT s.zip, coalesce(p.lat, printf('%.6f', o.lat)) AS lat, coalesce(p.lon, printf('%.6f', o.lon)) AS lon,
+            coalesce(p.source, CASE WHEN o.zip IS NOT NULL THEN 'override' END) AS source
         FROM postal_seed s
         LEFT JOIN placed p USING (zip)
-        LEFT JOIN (SELECT zip, printf('%.6f', avg(lat)) AS lat, printf('%.6f', avg(lon)) AS lon, 'override' AS source
-                   FROM neighbour GROUP BY zip HAVING count(lat) = count(*)) o USING (zip)
+        LEFT JOIN (FROM judged WHERE problem IS NULL) o USING (zip)
         """,
     ),
     # ---- warehouse and marts ----
@@ -281,7 +292,7 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "penalties": (
         ("facts", "aged"),
         """
-        SELECT f.facility_key, count(*)::DOUBLE AS n, sum(points) AS points
+        SELECT f.facility_key, count(*)::DOUBLE AS n, sum(points::DECIMAL(18, 6))::DOUBLE AS points
         FROM facts f JOIN aged a USING (serial_number) WHERE age <= 365 GROUP BY f.facility_key
         """,
     ),
@@ -333,6 +344,55 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE inspections_12mo >= 2 AND NOT low_data_flag
         """,
     ),
+    # ---- the written tables with faults, for the checks to find ----
+    "faulty_dim": (
+        ("dim",),
+        """
+        SELECT * REPLACE (CASE WHEN facility_zip5 <> '91702' THEN facility_key END AS facility_key) FROM dim
+        UNION ALL FROM dim WHERE facility_zip5 = '91701'
+        """,
+    ),
+    "faulty_insp": (("keyed",), "FROM keyed UNION ALL FROM keyed WHERE grade = 'C'"),
+    "faulty_viol": (
+        ("facts",),
+        "SELECT * REPLACE (CASE WHEN points > 1 THEN 'x' ELSE '' END || serial_number AS serial_number) FROM facts",
+    ),
+    "faulty_stg": (
+        ("insp",),
+        """
+        SELECT * REPLACE (
+            CASE WHEN score = 75 THEN '' ELSE serial_number END AS serial_number,
+            CASE WHEN score = 80 THEN NULL ELSE activity_date END AS activity_date,
+            CASE WHEN score = 85 THEN left(facility_zip5, 4) ELSE facility_zip5 END AS facility_zip5)
+        FROM insp
+        """,
+    ),
+    "faulty_geo": (
+        ("zip_geo",),
+        """
+        SELECT zip, CASE WHEN zip > '91720' THEN lat + 10 ELSE lat END AS lat,
+            CASE WHEN zip <> '91702' THEN lon END AS lon
+        FROM zip_geo
+        """,
+    ),
+    "faulty_health": (
+        ("health",),
+        """
+        SELECT * REPLACE (CASE WHEN facility_zip5 <> '91702' THEN facility_key END AS facility_key,
+            CASE WHEN facility_zip5 <> '91703' THEN cleanliness_index * 1.5 - 40 END AS cleanliness_index)
+        FROM health
+        """,
+    ),
+    "faulty_near": (
+        ("near",),
+        """
+        SELECT * REPLACE (CASE WHEN facility_zip5 <> '91702' THEN facility_key END AS facility_key,
+            CASE facility_zip5 WHEN '91703' THEN -distance_miles WHEN '91706' THEN NULL ELSE distance_miles END
+                AS distance_miles,
+            near_me_score * 30 - 5 AS near_me_score)
+        FROM near WHERE facility_zip5 <> '91704'
+        """,
+    ),
     "merge_counts": (
         ("keyed",),
         "SELECT count(DISTINCT facility_id) AS ids, count(DISTINCT facility_key) AS keys FROM keyed",
@@ -374,8 +434,92 @@ def _checks(*rows: tuple[str, str, str]) -> str:
     )
 
 
-def _zero(table: str, *checks: str) -> list[tuple[str, str, str]]:
-    return [(table, check, "0") for check in checks]
+def _duplicates(key: str, table: str) -> str:
+    return f"SELECT count(*) - count(DISTINCT {key}) FROM {table}"
+
+
+def _orphans(child: str, parent: str) -> str:
+    return f"SELECT count(*) FROM {child} WHERE serial_number NOT IN (SELECT serial_number FROM {parent})"
+
+
+def _parity(near: str, health: str) -> str:
+    return f"SELECT abs((SELECT count(*) FROM {near}) - (SELECT count(*) FROM {health}))"
+
+
+def _mart_audit(health: str) -> str:
+    name = "mart_facility_health"
+    bad_index = f"SELECT count(*) FROM {health} WHERE cleanliness_index IS NULL OR cleanliness_index NOT BETWEEN 0 AND 100"
+    return _with(
+        _checks(
+            (name, "empty", f"SELECT (count(*) = 0)::INT FROM {health}"),
+            (name, "facility_key missing", f"SELECT count(*) - count(facility_key) FROM {health}"),
+            (name, "cleanliness_index missing or out of range", bad_index),
+        ),
+        health,
+    )
+
+
+def _near_me_audit(near: str, health: str) -> str:
+    name = "mart_near_me"
+    return _with(
+        _checks(
+            (name, "facility_key missing", f"SELECT count(*) - count(facility_key) FROM {near}"),
+            (name, "distance_miles missing", f"SELECT count(*) - count(distance_miles) FROM {near}"),
+            (name, "distance_miles negative", f"SELECT count(*) FROM {near} WHERE distance_miles < 0"),
+            (name, "rows differ from mart_facility_health", _parity(near, health)),
+        ),
+        near,
+        health,
+    )
+
+
+def _core_audit(dim: str, inspections: str, violations: str) -> str:
+    return _with(
+        _checks(
+            ("dim_facility", "facility_key missing", f"SELECT count(*) - count(facility_key) FROM {dim}"),
+            ("dim_facility", "facility_key duplicated", _duplicates("facility_key", dim)),
+            ("fct_inspection", "serial_number duplicated", _duplicates("serial_number", inspections)),
+            ("fct_violation", "orphan serial_number", _orphans(violations, inspections)),
+        ),
+        dim,
+        inspections,
+        violations,
+    )
+
+
+def _suite(dim: str, insp: str, viol: str, health: str, stg: str, geo: str, near: str) -> str:
+    """The quality suite over the given tables."""
+
+    def empty(name: str, table: str) -> tuple[str, str, str]:
+        return (name, "empty", f"SELECT (count(*) = 0)::INT FROM {table}")
+
+    def rows(table: str, condition: str) -> str:
+        return f"SELECT count(*) FROM {table} WHERE {condition}"
+
+    return _with(
+        _checks(
+            empty("dim_facility", dim),
+            ("dim_facility", "facility_key duplicated", _duplicates("facility_key", dim)),
+            empty("fct_inspection", insp),
+            ("fct_inspection", "serial_number duplicated", _duplicates("serial_number", insp)),
+            empty("fct_violation", viol),
+            ("fct_violation", "orphan serial_number", _orphans(viol, insp)),
+            empty("mart_facility_health", health),
+            ("mart_facility_health", "cleanliness_index out of range", rows(health, "cleanliness_index NOT BETWEEN 0 AND 100")),
+            ("mart_facility_health", "facility_key missing", f"SELECT count(*) - count(facility_key) FROM {health}"),
+            ("stg_inspections", "serial_number missing", rows(stg, "coalesce(serial_number, '') = ''")),
+            ("stg_inspections", "activity_date missing", f"SELECT count(*) - count(activity_date) FROM {stg}"),
+            ("stg_inspections", "facility_zip5 not five digits", rows(stg, "coalesce(length(facility_zip5), 0) <> 5")),
+            empty("dim_zip_geo", geo),
+            ("dim_zip_geo", "coordinates out of range", rows(geo, "lat < 30 OR lat > 40 OR lon < -125 OR lon > -110")),
+            empty("mart_near_me", near),
+            ("mart_near_me", "distance_miles negative", rows(near, "distance_miles < 0")),
+            ("mart_near_me", "near_me_score out of range", rows(near, "near_me_score NOT BETWEEN 0 AND 100")),
+            ("mart_near_me", "near_me_score above cleanliness_index", rows(near, "near_me_score > cleanliness_index")),
+            ("mart_near_me", "rows differ from mart_facility_health", _parity(near, health)),
+        ),
+        dim, insp, viol, health, stg, geo, near,
+    )
 
 
 def _contract_rows() -> str:
@@ -386,10 +530,23 @@ def _contract_rows() -> str:
     return f"SELECT table_name, column_name, '' AS problems, 0::BIGINT AS null_rows FROM (VALUES {rows}) c(table_name, column_name)"
 
 
+_PROFILE = """h.facility_key, h.facility_name, h.facility_address, h.facility_city, facility_state, h.facility_zip5,
+    owner_name, latest_activity_date, latest_score, latest_grade, h.cleanliness_index, h.inspections_12mo,
+    h.low_data_flag"""
 _STAGED_COLUMNS = """serial_number, activity_date, facility_zip5, score, grade, facility_id, facility_name,
     facility_address, facility_city, facility_state, service_code, service_description, program_name,
     program_element, pe_description, program_status, owner_id, owner_name, record_id, employee_id"""
 
+_TOP_MERGED = _with(
+    """
+    SELECT facility_key, min(facility_name) AS facility_name, min(facility_address) AS facility_address,
+        min(facility_zip5) AS facility_zip5, min(facility_city) AS facility_city,
+        count(DISTINCT facility_id) AS facility_id_count
+    FROM keyed GROUP BY 1 HAVING facility_id_count >= 2 ORDER BY facility_id_count DESC, facility_key LIMIT 10
+    """,
+    "keyed",
+)
+
 ORACLES: dict[str, str] = {
     "area_filter": _with("FROM kept", "kept"),
     "violation_semi_join": _with("FROM kept_viol", "kept_viol"),
@@ -407,9 +564,7 @@ ORACLES: dict[str, str] = {
     "tsv_gazetteer": _with("FROM gazetteer", "gazetteer"),
     "tsv_positional": _with("FROM postal_file", "postal_file"),
     "zip_centroids": _with("FROM resolved", "resolved"),
-    "override_problems": _with(
-        "SELECT DISTINCT zip, 'neighbour without centroid' AS problem FROM neighbour WHERE lat IS NULL", "neighbour"
-    ),
+    "override_problems": _with("SELECT zip, problem FROM judged WHERE problem IS NOT NULL", "judged"),
     "centroid_counts": _with(
         """
         SELECT count(*) AS seed_zips, count(*) FILTER (source = 'primary') AS found_from_primary,
@@ -491,15 +646,8 @@ ORACLES: dict[str, str] = {
         "viol",
     ),
     "merge_report": _with(f"SELECT {_REPORT} FROM merge_counts", "merge_counts"),
-    "top_merged": _with(
-        """
-        SELECT facility_key, min(facility_name) AS facility_name, min(facility_address) AS facility_address,
-            min(facility_zip5) AS facility_zip5, min(facility_city) AS facility_city,
-            count(DISTINCT facility_id) AS facility_id_count
-        FROM keyed GROUP BY 1 HAVING facility_id_count >= 2 ORDER BY facility_id_count DESC, facility_key LIMIT 10
-        """,
-        "keyed",
-    ),
+    "top_merged": _TOP_MERGED,
+    "run_metadata_top": _TOP_MERGED,
     "facility_health": _with("FROM health", "health"),
     "zip_health": _with(
         """
@@ -535,18 +683,7 @@ ORACLES: dict[str, str] = {
         """,
         "health",
     ),
-    "mart_audit": _with(
-        _checks(
-            ("mart_facility_health", "empty", "SELECT (count(*) = 0)::INT FROM health"),
-            ("mart_facility_health", "facility_key missing", "SELECT count(*) - count(facility_key) FROM health"),
-            (
-                "mart_facility_health",
-                "cleanliness_index missing or out of range",
-                "SELECT count(*) FROM health WHERE cleanliness_index IS NULL OR cleanliness_index NOT BETWEEN 0 AND 100",
-            ),
-        ),
-        "health",
-    ),
+    "mart_audit": _mart_audit("health"),
     "near_me": _with("SELECT * EXCLUDE (inspections_12mo) FROM near", "near"),
     "near_me_top25": _with(
         """
@@ -565,19 +702,7 @@ ORACLES: dict[str, str] = {
         "health",
         "area_zip",
     ),
-    "near_me_audit": _with(
-        _checks(
-            ("mart_near_me", "facility_key missing", "SELECT count(*) - count(facility_key) FROM near"),
-            ("mart_near_me", "distance_miles missing", "SELECT count(*) - count(distance_miles) FROM near"),
-            ("mart_near_me", "distance_miles negative", "SELECT count(*) FROM near WHERE distance_miles < 0"),
-            (
-                "mart_near_me",
-                "rows differ from mart_facility_health",
-                "SELECT abs((SELECT count(*) FROM near) - (SELECT count(*) FROM health))",
-            ),
-        ),
-        "near",
-    ),
+    "near_me_audit": _near_me_audit("near", "health"),
     "kpi_summary": _with(
         """
         SELECT count(*) AS n_facilities, round(median(cleanliness_index), 2) AS median_ci,
@@ -644,6 +769,7 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 'points', round(avg(zip_lat), 9), round(avg(zip_lon), 9)
         FROM (FROM near n WHERE {_USUAL} ORDER BY n.near_me_score DESC, facility_key LIMIT 200)
+        WHERE facility_zip5 NOT LIKE '%4'
         """,
         "home",
         "near",
@@ -676,8 +802,9 @@ ORACLES: dict[str, str] = {
     ),
     "top_violations": _with(
         """
-        SELECT facility_key, violation_description, count(*) AS occurrences, sum(points) AS total_points,
-            row_number() OVER (PARTITION BY facility_key ORDER BY sum(points) DESC, violation_description) AS rank_in_key
+        SELECT facility_key, violation_description, count(*) AS occurrences,
+            sum(points::DECIMAL(18, 6))::DOUBLE AS total_points,
+            row_number() OVER (PARTITION BY facility_key ORDER BY total_points DESC, violation_description) AS rank_in_key
         FROM facts GROUP BY 1, 2 QUALIFY rank_in_key <= 10
         """,
         "facts",
@@ -693,55 +820,89 @@ ORACLES: dict[str, str] = {
         "health",
     ),
     "contract_check": _contract_rows(),
-    "quality_suite": _with(
-        _checks(
-            *_zero("dim_facility", "empty"),
-            ("dim_facility", "facility_key duplicated", "SELECT count(*) - count(DISTINCT facility_key) FROM dim"),
-            *_zero("fct_inspection", "empty"),
-            ("fct_inspection", "serial_number duplicated", "SELECT count(*) - count(DISTINCT serial_number) FROM insp"),
-            *_zero("fct_violation", "empty"),
-            (
-                "fct_violation",
-                "orphan serial_number",
-                "SELECT count(*) FROM facts WHERE serial_number NOT IN (SELECT serial_number FROM insp)",
-            ),
-            *_zero("mart_facility_health", "empty"),
-            (
-                "mart_facility_health",
-                "cleanliness_index out of range",
-                "SELECT count(*) FROM health WHERE cleanliness_index NOT BETWEEN 0 AND 100",
-            ),
-            ("mart_facility_health", "facility_key missing", "SELECT count(*) - count(facility_key) FROM health"),
-            ("stg_inspections", "serial_number missing", "SELECT count(*) FROM insp WHERE coalesce(serial_number, '') = ''"),
-            ("stg_inspections", "activity_date missing", "SELECT count(*) - count(activity_date) FROM insp"),
-            ("stg_inspections", "facility_zip5 not five digits", "SELECT count(*) FROM insp WHERE length(facility_zip5) <> 5"),
-            *_zero("dim_zip_geo", "empty"),
-            (
-                "dim_zip_geo",
-                "coordinates out of range",
-                "SELECT count(*) FROM zip_geo WHERE lat < 30 OR lat > 40 OR lon < -125 OR lon > -110",
-            ),
-            *_zero("mart_near_me", "empty"),
-            ("mart_near_me", "distance_miles negative", "SELECT count(*) FROM near WHERE distance_miles < 0"),
-            (
-                "mart_near_me",
-                "near_me_score out of range",
-                "SELECT count(*) FROM near WHERE near_me_score NOT BETWEEN 0 AND 100",
-            ),
-            (
-                "mart_near_me",
-                "near_me_score above cleanliness_index",
-                "SELECT count(*) FROM near WHERE near_me_score > cleanliness_index",
-            ),
-            (
-                "mart_near_me",
-                "rows differ from mart_facility_health",
-                "SELECT abs((SELECT count(*) FROM near) - (SELECT count(*) FROM health))",
-            ),
-        ),
+    "contract_faults": _with(
+        """
+        SELECT 'stg_violations' AS table_name, 'serial_number' AS column_name, 'unexpected nulls' AS problems,
+            (SELECT count(*) FROM viol WHERE points > 1) AS null_rows
+        UNION ALL SELECT 'stg_violations', 'violation_status', '', 0
+        UNION ALL SELECT 'stg_violations', 'violation_code', 'missing column', 0
+        UNION ALL SELECT 'stg_violations', 'violation_description', '', 0
+        UNION ALL SELECT 'stg_violations', 'points', 'wrong type', 0
+        UNION ALL SELECT 'dim_zip_geo', unnest(['zip', 'lat', 'lon']), 'missing table', 0
+        """,
+        "viol",
+    ),
+    "quality_suite": _suite("dim", "insp", "facts", "health", "insp", "zip_geo", "near"),
+    "quality_faults": _suite(
+        "faulty_dim", "faulty_insp", "faulty_viol", "faulty_health", "faulty_stg", "faulty_geo", "faulty_near"
+    ),
+    "core_audit": _core_audit("dim", "insp", "viol"),
+    "core_audit_faults": _core_audit("faulty_dim", "faulty_insp", "faulty_viol"),
+    "mart_audit_faults": _mart_audit("faulty_health"),
+    "near_me_faults": _near_me_audit("faulty_near", "health"),
+    "color_modes": _with(
+        """
+        SELECT facility_key, mode,
+            trunc(CASE mode WHEN 'BEST' THEN 30 + (1 - level) * 60 ELSE 20 END)::INTEGER AS red,
+            trunc(CASE mode WHEN 'BEST' THEN 160 + level * 95 ELSE 100 + level * 80 END)::INTEGER AS green,
+            trunc(CASE mode WHEN 'BEST' THEN 30 + (1 - level) * 60 ELSE 180 + level * 75 END)::INTEGER AS blue
+        FROM (SELECT *, CASE WHEN max(cleanliness_index) OVER () > min(cleanliness_index) OVER ()
+                  THEN (cleanliness_index - min(cleanliness_index) OVER ())
+                       / (max(cleanliness_index) OVER () - min(cleanliness_index) OVER ()) ELSE 0.5 END AS level
+              FROM map_rows WHERE facility_key IN (SELECT facility_key FROM health WHERE inspections_12mo >= 2
+                                                   ORDER BY cleanliness_index, facility_key LIMIT 200))
+        CROSS JOIN (VALUES ('BEST'), ('SEARCH')) modes(mode)
+        """,
+        "map_rows",
+    ),
+    "one_profile": _with(
+        f"""
+        SELECT {_PROFILE}, near_me_score, distance_miles FROM health h LEFT JOIN near n USING (facility_key)
+        WHERE facility_key = (SELECT min(facility_key) FROM health)
+        """,
         "near",
+    ),
+    "one_profile_without_near_me": _with(
+        f"""
+        SELECT {_PROFILE}, NULL::DOUBLE AS near_me_score, NULL::DOUBLE AS distance_miles FROM health h
+        WHERE facility_key = (SELECT min(facility_key) FROM health)
+        """,
+        "health",
+    ),
+    "one_recent": _with(
+        """
+        SELECT facility_key, activity_date, score, grade FROM keyed
+        WHERE facility_key = (SELECT min(facility_key) FROM health)
+        ORDER BY activity_date DESC, serial_number LIMIT 5
+        """,
+        "health",
+    ),
+    "one_top_violations": _with(
+        """
+        SELECT facility_key, violation_description, count(*) AS occurrences,
+            sum(points::DECIMAL(18, 6))::DOUBLE AS total_points
+        FROM facts WHERE facility_key = (SELECT min(facility_key) FROM health)
+        GROUP BY 1, 2 ORDER BY total_points DESC NULLS LAST, violation_description LIMIT 10
+        """,
+        "health",
         "facts",
     ),
+    "staging_metadata": _with(
+        """
+        SELECT (SELECT count(*) FROM staged_insp) AS stg_inspections_rows,
+            (SELECT count(*) FROM staged_viol) AS stg_violations_rows,
+            (SELECT count(*) FROM staged_insp WHERE coalesce(serial_number, '') = '') AS inspection_serial_number,
+            (SELECT count(*) - count(activity_date) FROM staged_insp) AS activity_date,
+            (SELECT count(*) - count(score) FROM staged_insp) AS score,
+            (SELECT count(*) - count(grade) FROM staged_insp) AS grade,
+            (SELECT count(*) FROM staged_viol WHERE coalesce(serial_number, '') = '') AS violation_serial_number,
+            (SELECT count(*) - count(violation_code) FROM staged_viol) AS violation_code,
+            (SELECT count(*) - count(points) FROM staged_viol) AS points,
+            (SELECT count(*) FROM staged_insp WHERE score > 100 OR score < 0) AS scores_outside_0_100
+        """,
+        "staged_insp",
+        "staged_viol",
+    ),
     "stat_gates": _with(
         """
         SELECT 'p90 above p50' AS gate, round(quantile_cont(cleanliness_index, 0.9), 6) AS value,

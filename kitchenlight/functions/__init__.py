@@ -11,6 +11,7 @@ from kitchenlight.functions.text import (
     contains_ci,
     digits_only,
     split_bar_list,
+    unquoted,
     zip5,
 )
 
@@ -31,5 +32,6 @@ __all__ = [
     "safe_int",
     "share_pct",
     "split_bar_list",
+    "unquoted",
     "zip5",
 ]

@@ -44,6 +44,11 @@ def split_bar_list(text: Column) -> Column:
     return F.filter(items, lambda item: item != "")
 
 
+def unquoted(text: Column) -> Column:
+    """Clean, then strip double quotes from both ends."""
+    return F.btrim(clean(text), F.lit('"'))
+
+
 def contains_ci(text: Column, needle: str) -> Column:
     """Case-insensitive substring match.
 

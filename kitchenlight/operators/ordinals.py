@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 
 from kitchenlight.session import cut_lineage
 
-# A key up to this many rows is numbered by a plain window, which spills; larger ones are split.
+# A key up to this many rows is numbered by a plain window, which spills; larger ones are split. The rows are the same.
 HOT_KEY_ROWS = 1_000_000
-# So many hot keys are small enough to broadcast; more are joined by shuffle.
-BROADCAST_KEYS = 100_000
 # Rows made by one task when a run of identical rows is written out again.
 RUN_CHUNK = 1_000_000
 
@@ -23,14 +21,15 @@ def split_hot_keys(
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """``df`` without its hot keys, the rows of the hot keys, and the hot keys themselves.
 
-    Keys are counted with map-side combine over the key column alone. Without hot keys, the usual case,
-    the frame comes back as it is with two ``None``.
+    Keys are counted with map-side combine over the key column alone, in a job of its own. Without hot keys, the
+    usual case, the frame comes back as it is with two ``None``. There is at most one hot key in ``hot_key_rows`` rows
+    (a million of them in 10^12), so their table can always be broadcast.
     """
     hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows")).filter(F.col("key_rows") > hot_key_rows).select(key)
     if hot.isEmpty():
         return df, None, None
     hot = cut_lineage(hot)
-    joined = F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
+    joined = F.broadcast(hot)
     return df.join(joined, key, "left_anti"), df.join(joined, key, "left_semi"), hot
 
 

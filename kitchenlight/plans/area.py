@@ -24,10 +24,12 @@ def area_violations(raw: DataFrame, kept_inspections: DataFrame) -> DataFrame:
     """Raw violations of the kept inspections, matched on the serial as written (padding included).
 
     Taking the serials distinct costs no shuffle of its own, as the join needs the same partitioning, and
-    shrinks a serial repeated many times to one row per task.
+    shrinks a serial repeated many times to one row per task. Blank serials match nothing and are left out of
+    both sides before the shuffle, where they would meet in one task.
     """
-    serials = kept_inspections.filter(clean(F.col(SERIAL)) != "").select(SERIAL).distinct()
-    return raw.join(serials, SERIAL, "left_semi").select(*raw.columns)
+    written = clean(F.col(SERIAL)) != ""
+    serials = kept_inspections.filter(written).select(SERIAL).distinct()
+    return raw.filter(written).join(serials, SERIAL, "left_semi").select(*raw.columns)
 
 
 def zip_coverage(kept_inspections: DataFrame, violations: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.functions import clean, split_bar_list
+from kitchenlight.functions import clean, split_bar_list, unquoted
 from kitchenlight.operators.audits import AuditFailure
 from kitchenlight.session import cut_lineage
 
@@ -28,42 +28,60 @@ def combine_sources(seed: DataFrame, primary: DataFrame, secondary: DataFrame) -
 
 
 def needed_overrides(combined: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Override rows for codes that still lack a centroid: ``zip, method, neighbours``."""
-    rows = overrides.select(
+    """Override rules for codes that still lack a centroid: ``zip, method, neighbours, line_no``.
+
+    ``line_no`` of ``overrides`` is the order of the rules; of several rules for a code the first one counts.
+    """
+    rules = overrides.select(
         clean(F.col("zip")).alias("zip"),
-        clean(F.coalesce("method", F.lit(""))).alias("method"),
-        split_bar_list(F.coalesce("neighbors", F.lit(""))).alias("neighbours"),
+        F.struct(
+            clean(F.coalesce("method", F.lit(""))).alias("method"),
+            split_bar_list(unquoted(F.coalesce("neighbors", F.lit("")))).alias("neighbours"),
+            "line_no",
+        ).alias("rule"),
     )
-    return rows.join(combined.filter(F.col("source").isNull()).select("zip"), "zip", "left_semi")
+    first = rules.join(combined.filter(F.col("source").isNull()).select("zip"), "zip", "left_semi")
+    return first.groupBy("zip").agg(F.min_by("rule", "rule.line_no").alias("rule")).select("zip", "rule.*")
+
 
+def _with_neighbours(needed: DataFrame, placed: DataFrame) -> DataFrame:
+    """One row per rule: ``zip, line_no, lat, lon, problem``; the means are set where there is no problem.
 
-def _neighbour_points(needed: DataFrame, placed: DataFrame) -> DataFrame:
-    """One row per override and neighbour, with the neighbour's coordinates where it is placed."""
+    A neighbour is usable when a source places it or an earlier rule does, and both its coordinates are numbers.
+    """
     points = placed.filter(F.col("source").isNotNull()).select(
         F.col("zip").alias("neighbour"),
-        F.lit(True).alias("is_placed"),
+        F.col("line_no").alias("made_by"),
         F.col("lat").try_cast("double").alias("lat"),
         F.col("lon").try_cast("double").alias("lon"),
+        F.lit(True).alias("is_placed"),
     )
-    return needed.select("zip", F.explode("neighbours").alias("neighbour")).join(points, "neighbour", "left")
-
-
-def override_problems(combined: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Override rows that cannot be applied: ``zip, problem``."""
-    needed = needed_overrides(combined, overrides)
-    solved = apply_overrides(combined, overrides)
-    shape = needed.select(
-        "zip",
-        F.when(F.col("method") != MEAN_OF_NEIGHBOURS, "unsupported method")
-        .when(F.size("neighbours") == 0, "no neighbours")
-        .alias("problem"),
-    ).filter(F.col("problem").isNotNull())
-    lacking = (
-        _neighbour_points(needed.filter(F.col("method") == MEAN_OF_NEIGHBOURS), solved)
-        .filter(F.col("is_placed").isNull())
-        .select("zip", F.lit("neighbour without centroid").alias("problem"))
+    known = F.col("is_placed").isNotNull() & (F.col("made_by").isNull() | (F.col("made_by") < F.col("line_no")))
+    numeric = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    asked = F.col("neighbour").isNotNull()
+    return (
+        needed.select("zip", "method", "line_no", F.explode_outer("neighbours").alias("neighbour"))
+        .join(points, "neighbour", "left")
+        .groupBy("zip", "method", "line_no")
+        .agg(
+            F.avg("lat").alias("lat"),
+            F.avg("lon").alias("lon"),
+            F.count_if(asked).alias("asked"),
+            F.count_if(asked & ~known).alias("unknown"),
+            F.count_if(asked & known & ~numeric).alias("blank"),
+        )
+        .select(
+            "zip",
+            "line_no",
+            "lat",
+            "lon",
+            F.when(F.col("method") != MEAN_OF_NEIGHBOURS, "unsupported method")
+            .when(F.col("asked") == 0, "no neighbours")
+            .when(F.col("unknown") > 0, "neighbour without centroid")
+            .when(F.col("blank") > 0, "neighbour without coordinates")
+            .alias("problem"),
+        )
     )
-    return shape.unionByName(lacking).distinct()
 
 
 def _six_digits(value: Column) -> Column:
@@ -71,48 +89,51 @@ def _six_digits(value: Column) -> Column:
     return F.format_number(value, 6)
 
 
-def _apply_once(combined: DataFrame, needed: DataFrame) -> DataFrame:
-    means = (
-        _neighbour_points(needed.filter(F.col("method") == MEAN_OF_NEIGHBOURS), combined)
-        .groupBy("zip")
-        .agg(
-            F.avg("lat").alias("mean_lat"),
-            F.avg("lon").alias("mean_lon"),
-            F.bool_and(F.col("is_placed").isNotNull()).alias("complete"),
-        )
-        .filter("complete")
+def _apply_once(placed: DataFrame, judged: DataFrame) -> DataFrame:
+    means = judged.filter(F.col("problem").isNull()).select(
+        "zip", _six_digits(F.col("lat")).alias("mean_lat"), _six_digits(F.col("lon")).alias("mean_lon"), F.col("line_no").alias("rule_no")
     )
-    use = F.col("source").isNull() & F.col("complete").isNotNull()
-    return combined.join(means, "zip", "left").select(
+    use = F.col("source").isNull() & F.col("rule_no").isNotNull()
+    return placed.join(means, "zip", "left").select(
         "zip",
-        F.when(use, _six_digits(F.col("mean_lat"))).otherwise(F.col("lat")).alias("lat"),
-        F.when(use, _six_digits(F.col("mean_lon"))).otherwise(F.col("lon")).alias("lon"),
+        F.when(use, F.col("mean_lat")).otherwise(F.col("lat")).alias("lat"),
+        F.when(use, F.col("mean_lon")).otherwise(F.col("lon")).alias("lon"),
         F.when(use, "override").otherwise(F.col("source")).alias("source"),
+        F.when(use, F.col("rule_no")).otherwise(F.col("line_no")).alias("line_no"),
     )
 
 
-def apply_overrides(combined: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Fill codes without a centroid with the mean of their neighbours' centroids.
+def resolve_overrides(combined: DataFrame, overrides: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``combined`` with the codes filled that overrides can fill, and the overrides that cannot be applied.
 
-    An override whose neighbours are themselves overridden waits for them, so chains are applied in
-    rounds. Without such a chain, the usual case, this is one lazy step.
+    A filled code gets the mean of its neighbours' centroids. The problems are rows ``zip, problem``. Both come from
+    the stored sources and rules, so these are worked out once. A rule may use codes that earlier rules fill, which takes
+    a round for each link of the longest such chain; without one, the usual case, there is one round.
     """
-    needed = needed_overrides(combined, overrides)
-    chained = (
-        needed.select(F.explode("neighbours").alias("zip")).join(needed.select("zip"), "zip", "left_semi")
-    )
-    result = _apply_once(combined, needed)
-    if chained.isEmpty():
-        return result
-    result = cut_lineage(result)
-    open_rows = result.filter(F.col("source").isNull()).count()
-    while open_rows:
-        following = cut_lineage(_apply_once(result, needed))
-        left_open = following.filter(F.col("source").isNull()).count()
-        if left_open == open_rows:
-            break
-        result, open_rows = following, left_open
-    return result
+    rule_no = overrides.schema["line_no"].dataType
+    placed = cut_lineage(combined.withColumn("line_no", F.lit(None).cast(rule_no)))
+    needed = cut_lineage(needed_overrides(placed, overrides))
+    chained = needed.select(F.explode("neighbours").alias("zip")).join(needed.select("zip"), "zip", "left_semi")
+    rounds_left = 0 if chained.isEmpty() else needed.count()
+    judged = cut_lineage(_with_neighbours(needed, placed))
+    open_rules = judged.filter(F.col("problem").isNotNull()).count() if rounds_left else 0
+    while rounds_left and open_rules:
+        judged = cut_lineage(_with_neighbours(needed, _apply_once(placed, judged)))
+        left_open = judged.filter(F.col("problem").isNotNull()).count()
+        rounds_left = 0 if left_open == open_rules else rounds_left - 1
+        open_rules = left_open
+    problems = judged.filter(F.col("problem").isNotNull()).select("zip", "problem")
+    return _apply_once(placed, judged).drop("line_no"), problems
+
+
+def apply_overrides(combined: DataFrame, overrides: DataFrame) -> DataFrame:
+    """The first result of ``resolve_overrides``."""
+    return resolve_overrides(combined, overrides)[0]
+
+
+def override_problems(combined: DataFrame, overrides: DataFrame) -> DataFrame:
+    """The second result of ``resolve_overrides``."""
+    return resolve_overrides(combined, overrides)[1]
 
 
 def centroid_table(resolved: DataFrame) -> DataFrame:
@@ -135,8 +156,9 @@ def source_counts(resolved: DataFrame) -> DataFrame:
     )
 
 
-def require_valid_overrides(combined: DataFrame, overrides: DataFrame) -> None:
-    """Fail on override rows that cannot be applied, naming up to twenty of them."""
-    bad = override_problems(combined, overrides).orderBy("zip").limit(20).collect()
-    if bad:
-        raise AuditFailure("; ".join(f"override {row.zip}: {row.problem}" for row in bad))
+def require_no_problems(problems: DataFrame) -> None:
+    """Fail on override rules that cannot be applied: how many there are, and the first twenty by code."""
+    count = problems.count()
+    if count:
+        named = "; ".join(f"{row.zip}: {row.problem}" for row in problems.orderBy("zip").limit(20).collect())
+        raise AuditFailure(f"{count} overrides cannot be applied, such as {named}")

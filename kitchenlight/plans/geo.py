@@ -17,9 +17,15 @@ def geo_audit(zip_geo: DataFrame) -> DataFrame:
     return count_checks(zip_geo, "dim_zip_geo", {"coordinates missing": missing})
 
 
+def home_point(zip_geo: DataFrame, home_zip: str) -> DataFrame:
+    """One row ``lat, lon``: the home ZIP's centroid. Of several rows for it, one is taken whole."""
+    point = F.min(F.struct("lat", "lon")).alias("point")
+    return zip_geo.filter(F.col("zip") == home_zip.strip()).agg(point).select("point.lat", "point.lon")
+
+
 def _home_coordinate(zip_geo: DataFrame, home_zip: str, name: str) -> Column:
-    """The home centroid's coordinate as a scalar subquery; an unknown home ZIP fails the job."""
-    found = zip_geo.filter(F.col("zip") == home_zip).agg(F.min(name)).scalar()
+    """A coordinate of the home centroid as a scalar subquery; an unknown home ZIP fails the job."""
+    found = home_point(zip_geo, home_zip).select(name).scalar()
     message = F.lit(f"home ZIP {home_zip!r} has no centroid")
     return F.coalesce(found, F.raise_error(message).cast("double"))
 
@@ -53,14 +59,17 @@ def near_me(health: DataFrame, zip_geo: DataFrame, home_zip: str) -> DataFrame:
 def dropped_zips(health: DataFrame, zip_geo: DataFrame, n: int = 10) -> DataFrame:
     """ZIPs of facilities that have no centroid, most facilities first.
 
-    Facilities are counted per ZIP before the anti join. A NULL ZIP is not listed.
+    Facilities are counted per ZIP before the anti join. The NULL rule of ``NOT IN`` holds: a NULL ZIP is not
+    listed, and with a NULL among the centroids' ZIPs nothing is.
     """
+    null_codes = zip_geo.agg(F.count_if(F.col("zip").isNull())).scalar()
     counted = (
         health.filter(F.col("facility_zip5").isNotNull())
         .groupBy("facility_zip5")
         .agg(F.count(F.lit(1)).alias("facility_count"))
     )
     missing = counted.join(zip_geo.select(F.col("zip").alias("facility_zip5")), "facility_zip5", "left_anti")
+    missing = missing.filter(null_codes == 0)
     return top_rows(missing, [F.col("facility_count").desc(), F.col("facility_zip5").asc()], n)
 
 

@@ -20,6 +20,8 @@ VIOLATION_PENALTY, POINT_PENALTY, BAD_EVENT_PENALTY = 12.0, 8.0, 15
 INDEX_SHARES = (0.65, 0.25, 0.10)
 EXCELLENT_FROM, GOOD_FROM = 90, 70
 LOW_DATA_BELOW = 2
+# Points are summed exactly, to six decimals.
+POINT_TYPE = "decimal(18,6)"
 
 
 def info_window_start(inspections: DataFrame) -> Column:
@@ -90,13 +92,18 @@ def inspection_metrics(inspections: DataFrame, start: Column) -> DataFrame:
 
 
 def violation_metrics(violations: DataFrame, inspections: DataFrame, start: Column) -> DataFrame:
-    """Violation count and points per facility, over the inspections inside the window."""
+    """Violation count and points per facility, over the inspections inside the window.
+
+    Violations are counted per serial before the join, so a serial holding much of the table meets it as one row
+    per task. Points are summed as decimals: the order of the rows cannot change the result.
+    """
     serials = _recent(inspections, start).filter(F.col("age") <= WINDOW_DAYS).select("serial_number")
     return (
-        violations.select("serial_number", "facility_key", "points")
+        violations.groupBy("serial_number", "facility_key")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("points").cast(POINT_TYPE)).alias("points"))
         .join(serials, "serial_number", "left_semi")
         .groupBy("facility_key")
-        .agg(F.count(F.lit(1)).alias("violations"), F.coalesce(F.sum("points"), F.lit(0.0)).alias("points"))
+        .agg(F.sum("rows").alias("violations"), F.coalesce(F.sum("points").cast("double"), F.lit(0.0)).alias("points"))
     )
 
 

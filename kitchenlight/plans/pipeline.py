@@ -12,13 +12,14 @@ from kitchenlight.operators.audits import require_clean
 from kitchenlight.operators.quantiles import cross_one_row
 from kitchenlight.plans import area, centroids, geo, marts, quality, staging, warehouse
 from kitchenlight.schemas import contract_tables
+from kitchenlight.session import cut_lineage
 from kitchenlight.sources.delimited import (
     read_centroids,
     read_extract,
     read_gazetteer,
+    read_overrides,
     read_postal_file,
     read_seed,
-    require_columns,
     write_csv,
 )
 from kitchenlight.sources.manifest import landing_manifest, require_records
@@ -34,6 +35,7 @@ class Inputs:
     violations: str
     seed: str
     centroids: str
+    multi_line: bool = False  # whether quoted values of the extracts may hold line breaks
 
 
 def _count(df: DataFrame, name: str) -> DataFrame:
@@ -54,9 +56,10 @@ def _pack(name: str, *frames: DataFrame) -> DataFrame:
 
 def run_area(spark: SparkSession, inputs: Inputs, out: str) -> None:
     """Landed CSV files to the raw rows of the area."""
-    raw_inspections = read_extract(spark, inputs.inspections, (area.SERIAL, "FACILITY ZIP"))
-    raw_violations = read_extract(spark, inputs.violations, (area.SERIAL,))
-    manifest = require_records(landing_manifest({"inspections": raw_inspections, "violations": raw_violations}))
+    raw_inspections = read_extract(spark, inputs.inspections, (area.SERIAL, "FACILITY ZIP"), inputs.multi_line)
+    raw_violations = read_extract(spark, inputs.violations, (area.SERIAL,), inputs.multi_line)
+    # A few rows, kept: the check and the metadata below share one pass over the landed files.
+    manifest = require_records(cut_lineage(landing_manifest({"inspections": raw_inspections, "violations": raw_violations})))
     seed = read_seed(spark, inputs.seed)
     kept = write_table(area.area_inspections(raw_inspections, seed), out, "area_inspections")
     kept_violations = write_table(area.area_violations(raw_violations, kept), out, "area_violations")
@@ -75,11 +78,33 @@ def run_staging(spark: SparkSession, out: str) -> None:
     violations = write_table(staging.stage_violations(raw_violations), out, "stg_violations")
     audit = staging.stage_audit(inspections, violations)
     require_clean(staging.hard_stage_checks(audit))
-    counts = _pack("outputs", _count(inspections, "stg_inspections_rows"), _count(violations, "stg_violations_rows"))
-    inputs = _pack(
-        "inputs", _count(raw_inspections, "area_inspections_rows"), _count(raw_violations, "area_violations_rows")
+    report = staging_report({"area_inspections": raw_inspections, "area_violations": raw_violations}, inspections, violations, audit)
+    write_run_metadata(report, f"{out}/stg_meta")
+
+
+def staging_report(
+    raw: dict[str, DataFrame], inspections: DataFrame, violations: DataFrame, audit: DataFrame | None = None
+) -> DataFrame:
+    """The staging stage's metadata: rows in and out, NULLs per column, warnings, and every check."""
+    checks = staging.stage_audit(inspections, violations) if audit is None else audit
+
+    def failures(table: str, check: str) -> Column:
+        wanted = (F.col("table_name") == table) & (F.col("check_name") == check)
+        return F.max(F.when(wanted, F.col("failures")))
+
+    def missing(table: str, *columns: str) -> Column:
+        return F.struct(*[failures(table, f"{name} missing").alias(name) for name in columns]).alias(table)
+
+    nulls = checks.agg(
+        F.struct(
+            missing("stg_inspections", "serial_number", "activity_date", "score", "grade"),
+            missing("stg_violations", "serial_number", "violation_code", "points"),
+        ).alias("null_counts"),
+        F.struct(failures("stg_inspections", "score out of range").alias("scores_outside_0_100")).alias("warnings"),
     )
-    write_run_metadata(cross_one_row(inputs, counts, _as_map(audit, "checks")), f"{out}/stg_meta")
+    inputs = _pack("inputs", *[_count(df, f"{name}_rows") for name, df in raw.items()])
+    counts = _pack("outputs", _count(inspections, "stg_inspections_rows"), _count(violations, "stg_violations_rows"))
+    return cross_one_row(inputs, counts, nulls, _as_map(checks, "checks"))
 
 
 def run_warehouse(
@@ -159,9 +184,7 @@ def run_geo(spark: SparkSession, out: str, zip_geo: DataFrame, home_zip: str) ->
     near = write_table(geo.near_me(health, centroids, home_zip), out, "mart_near_me")
     geo.require_all_placed(near, health, centroids)
     require_clean(geo.near_me_audit(near, health))
-    home = centroids.filter(F.col("zip") == home_zip.strip()).agg(
-        F.min("lat").alias("home_lat"), F.min("lon").alias("home_lon")
-    )
+    home = geo.home_point(centroids, home_zip).toDF("home_lat", "home_lon")
     counts = (_count(centroids, "dim_zip_geo_rows"), _count(near, "mart_near_me_rows"))
     row = cross_one_row(home, *counts).withColumn("home_zip", F.lit(home_zip.strip()))
     write_run_metadata(row, f"{out}/geo_meta")
@@ -177,9 +200,8 @@ def run_centroids(
     needed = wanted.join(first.select("zip"), "zip", "left_anti")
     resolved = centroids.combine_sources(wanted, first, read_postal_file(spark, postal_file, needed))
     if overrides is not None:
-        rules = require_columns(read_extract(spark, overrides), ("zip", "method", "neighbors"), overrides)
-        centroids.require_valid_overrides(resolved, rules)
-        resolved = centroids.apply_overrides(resolved, rules)
+        resolved, problems = centroids.resolve_overrides(resolved, read_overrides(spark, overrides))
+        centroids.require_no_problems(problems)
     # Read back from the written table: sources and overrides are worked out once.
     resolved = write_table(resolved, out, "resolved_centroids")
     # At most 100,000 five-digit codes: single sorted files are fine.
@@ -229,10 +251,15 @@ def run_validation(spark: SparkSession, out: str, contracts: str) -> DataFrame:
     return broken.unionByName(quality.quality_suite(tables).filter(F.col("failures") > 0))
 
 
-def run_all(spark: SparkSession, inputs: Inputs, out: str, home_zip: str) -> None:
-    """All stages in order. Any failed check stops the run."""
+def run_all(
+    spark: SparkSession, inputs: Inputs, out: str, home_zip: str, hot_key_rows: int = warehouse.HOT_KEY_ROWS
+) -> None:
+    """All stages in order. Any failed check stops the run.
+
+    Serials with more than ``hot_key_rows`` violations are numbered by a distributed sort.
+    """
     run_area(spark, inputs, out)
     run_staging(spark, out)
-    run_warehouse(spark, out)
+    run_warehouse(spark, out, hot_key_rows)
     run_marts(spark, out)
     run_geo(spark, out, read_centroids(spark, inputs.centroids), home_zip)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from kitchenlight.functions import contains_ci, round_to, share_pct
 from kitchenlight.operators.quantiles import cross_one_row, exact_quantiles
 from kitchenlight.operators.ranking import direction, top_rows, top_rows_per_key
+from kitchenlight.plans.marts import POINT_TYPE
+from kitchenlight.sources.delimited import write_csv
 
 # Display names of the exported columns.
 DISPLAY_NAMES = {
@@ -217,7 +220,9 @@ def color_scale(points: DataFrame, metric: str, mode: str) -> DataFrame:
     """
     points = points.dropna(subset=["lat", "lon"])
     value = F.coalesce(F.col(metric), F.lit(0.0)).cast("double")
-    extremes = points.agg(F.min(value).alias("low_end"), F.max(value).alias("high_end"))
+    # The points are the limited rows of one map, so the window over all of them is bounded.
+    everything = W.partitionBy()
+    extremes = {"low_end": F.min(value).over(everything), "high_end": F.max(value).over(everything)}
     span = F.col("high_end") - F.col("low_end")
     level = F.when(span > 0, (value - F.col("low_end")) / span).otherwise(F.lit(0.5))
     rest = F.lit(1.0) - level
@@ -228,15 +233,26 @@ def color_scale(points: DataFrame, metric: str, mode: str) -> DataFrame:
         "SEARCH": (F.lit(20), 100 + level * 80, 180 + level * 75),
     }[mode.upper()]
     rgba = F.array(*[channel.cast("int") for channel in channels], F.lit(210))
-    return points.crossJoin(F.broadcast(extremes)).withColumn("color", rgba).drop("low_end", "high_end")
+    return points.withColumns(extremes).withColumn("color", rgba).drop("low_end", "high_end")
 
 
 def map_center(points: DataFrame, zip_geo: DataFrame, home_zip: str) -> DataFrame:
-    """One row ``lat, lon``: the home ZIP's centroid, else the mean of the points."""
-    home = zip_geo.filter(F.col("zip") == home_zip).agg(F.min(F.struct("lat", "lon")).alias("home"))
-    mean = points.agg(F.avg("lat").alias("mean_lat"), F.avg("lon").alias("mean_lon"))
+    """One row ``lat, lon``: the home ZIP's centroid, else the mean of the points that have both coordinates."""
+    return map_centers(points, zip_geo, [home_zip]).select("lat", "lon")
+
+
+def map_centers(points: DataFrame, zip_geo: DataFrame, home_zips: Sequence[str]) -> DataFrame:
+    """``map_center`` of several home ZIPs, ``home_zip, lat, lon``; the points are averaged once."""
+    mean = points.dropna(subset=["lat", "lon"]).agg(F.avg("lat").alias("mean_lat"), F.avg("lon").alias("mean_lon"))
+    wanted = mean.withColumn("home_zip", F.explode(F.array(*[F.lit(code) for code in home_zips])))
+    home = (
+        zip_geo.filter(F.col("zip").isin(*home_zips))
+        .groupBy(F.col("zip").alias("home_zip"))
+        .agg(F.min(F.struct("lat", "lon")).alias("home"))
+    )
     known = F.col("home").isNotNull()
-    return cross_one_row(home, mean).select(
+    return wanted.join(home, "home_zip", "left").select(
+        "home_zip",
         F.when(known, F.col("home.lat")).otherwise(F.col("mean_lat")).alias("lat"),
         F.when(known, F.col("home.lon")).otherwise(F.col("mean_lon")).alias("lon"),
     )
@@ -250,8 +266,14 @@ def _only(df: DataFrame, facility: str | None) -> DataFrame:
     return df if facility is None else df.filter(F.col("facility_key") == facility)
 
 
-def facility_profile(health: DataFrame, near: DataFrame, facility: str | None = None) -> DataFrame:
-    """Details with the near-me score and distance where there are any, for one facility or all."""
+def facility_profile(health: DataFrame, near: DataFrame | None, facility: str | None = None) -> DataFrame:
+    """Details with the near-me score and distance where there are any, for one facility or all.
+
+    Without a near-me mart both are NULL.
+    """
+    if near is None:
+        missing = {name: F.lit(None).cast("double") for name in ("near_me_score", "distance_miles")}
+        return _only(health, facility).select(*_PROFILE_COLUMNS).withColumns(missing)
     scores = _only(near, facility).select("facility_key", "near_me_score", "distance_miles")
     return _only(health, facility).select(*_PROFILE_COLUMNS).join(scores, "facility_key", "left")
 
@@ -270,7 +292,7 @@ def top_violations(violations: DataFrame, facility: str | None = None, n: int =
     totals = (
         _only(violations, facility)
         .groupBy("facility_key", "violation_description")
-        .agg(F.count(F.lit(1)).alias("occurrences"), F.sum("points").alias("total_points"))
+        .agg(F.count(F.lit(1)).alias("occurrences"), F.sum(F.col("points").cast(POINT_TYPE)).cast("double").alias("total_points"))
     )
     order = [F.col("total_points").desc_nulls_last(), F.col("violation_description").asc_nulls_last()]
     if facility is not None:
@@ -286,6 +308,13 @@ def ranked_export(ranked: DataFrame, n: int = 50) -> DataFrame:
     return ranked.filter(F.col("#") <= n).drop("facility_key").withColumnsRenamed(DISPLAY_NAMES)
 
 
+def write_ranked_export(ranked: DataFrame, path: str, n: int = 50) -> DataFrame:
+    """Write ``ranked_export`` as one CSV file in rank order, and read it back. At most ``n`` rows."""
+    shown = ranked_export(ranked, n)
+    write_csv(shown, path, order_by=["#"], single_file=True)
+    return shown.sparkSession.read.csv(path, header=True, schema=shown.schema, escape='"', mode="FAILFAST")
+
+
 def display_defaults(df: DataFrame) -> DataFrame:
     """Missing text as ``N/A`` and missing numbers as zero."""
     return df.fillna("N/A").fillna(0)

@@ -91,7 +91,8 @@ def fct_violation(
     result = finished(number_by_window(cold, "serial_number", order), keys)
     if hot_rows is None:
         return result
-    owners = keys.join(hot_serials, "serial_number", "left_semi")
+    # As few as the hot serials, since serials are unique here: broadcast, so no task gets all rows of a hot serial.
+    owners = F.broadcast(keys.join(F.broadcast(hot_serials), "serial_number", "left_semi"))
     return result.unionByName(finished(number_by_sort(hot_rows, "serial_number", order), owners))
 
 

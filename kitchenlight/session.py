@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,7 +29,8 @@ def local_session(app: str = "kitchenlight", cores: int | str = 8, memory: str =
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a temporary folder is made and used.
+    Only where that is unset and the master is local, as in tests on one machine, a temporary folder is made and
+    used. On a cluster it would be a folder of the driver's own disk, so there an unset folder is an error.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
@@ -36,6 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.getCheckpointDir():
             context.setCheckpointDir(named)
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = tempfile.mkdtemp(prefix="kitchenlight-")
     context.setCheckpointDir(made)
     return context.getCheckpointDir().rstrip("/")

@@ -23,24 +23,18 @@ def require_columns(df: DataFrame, needed: Iterable[str], what: str) -> DataFram
     return df
 
 
-def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Whether a record may span lines: some physical line holds an odd number of quote characters."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
-
-
-def read_extract(spark: SparkSession, path: str, required: Sequence[str] = ()) -> DataFrame:
+def read_extract(spark: SparkSession, path: str, required: Sequence[str] = (), multi_line: bool = False) -> DataFrame:
     """CSV with a header row; every column is text, malformed rows fail the job.
 
-    Files whose records all fit on one line are read splittable, so one huge file still spreads over
-    many tasks. Only a path with quoted line breaks is read file by file. The probe for them is a
-    splittable scan that stops at the first hit.
+    By default a record is one line, so one huge file is read by many tasks; a quoted line break then breaks the
+    record, and the job fails. With ``multi_line`` quoted line breaks are read, each file by one task: such extracts
+    should land as many files.
     """
     df = spark.read.csv(
         path,
         header=True,
         escape='"',
-        multiLine=has_quoted_newlines(spark, path),
+        multiLine=multi_line,
         mode="FAILFAST",
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
@@ -74,16 +68,26 @@ def normalise_seed(lines: DataFrame, exactly_five: bool = False) -> DataFrame:
 
 
 def read_seed(spark: SparkSession, path: str, exactly_five: bool = False) -> DataFrame:
-    """Seed list with the single header ``zip``; fails when no code is left."""
-    raw = spark.read.csv(path, header=True)
-    if [name.strip().lower() for name in raw.columns] != ["zip"]:
+    """Seed list with the single header ``zip``; fails when no code is left.
+
+    Lines are free text: commas and quotes are dropped like any other character that is no digit.
+    """
+    lines = spark.read.text(path).toDF("zip")
+    header = lines.first()
+    if header is None or header.zip.strip().lower() != "zip":
         raise SchemaError(f"{path} must have the single header 'zip'")
-    seed = normalise_seed(raw.toDF("zip"), exactly_five)
+    seed = normalise_seed(lines, exactly_five)
     if seed.isEmpty():
         raise SchemaError(f"{path} holds no five-digit code")
     return seed
 
 
+def read_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """Override rules ``zip, method, neighbors`` with ``line_no``, their order in the file."""
+    rules = require_columns(read_extract(spark, path), ("zip", "method", "neighbors"), path)
+    return rules.select("zip", "method", "neighbors", _line_order().alias("line_no"))
+
+
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
     """ZIP centroids from a CSV with the header ``zip,lat,lon``."""
     raw = require_columns(spark.read.csv(path, header=True, mode="FAILFAST"), ("zip", "lat", "lon"), path)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kitchenlight.operators.quantiles import cross_one_row
+
 
 class EmptyDataset(ValueError):
     """A landed dataset has no records."""
@@ -16,18 +18,15 @@ class EmptyDataset(ValueError):
 def landing_manifest(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Records, files and bytes per dataset, from frames freshly read from files.
 
-    Counts run per file first, so the plan is one partial aggregation per dataset.
+    Files are listed, not read, for their number and size, so those without records count too.
     """
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        files = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-            F.count(F.lit(1)).alias("records"), F.max("_metadata.file_size").alias("size")
+        listed = df.sparkSession.read.format("binaryFile").load(sorted(df.inputFiles()))
+        files = listed.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("byte_count"))
+        return cross_one_row(df.agg(F.count(F.lit(1)).alias("row_count")), files).select(
+            F.lit(name).alias("dataset"), "row_count", "file_count", "byte_count"
         )
-        return files.agg(
-            F.coalesce(F.sum("records"), F.lit(0)).alias("row_count"),
-            F.count(F.lit(1)).alias("file_count"),
-            F.coalesce(F.sum("size"), F.lit(0)).alias("byte_count"),
-        ).select(F.lit(name).alias("dataset"), "row_count", "file_count", "byte_count")
 
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in datasets.items()])
 

@@ -78,10 +78,11 @@ def bind_inspections(spark: SparkSession, folder: str) -> DataFrame:
 
 def _keyed_violations(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select("p_partkey", "p_type")
+    # Small quantities cost points, in tenths, the others none.
+    tenths = (F.col("l_linenumber") % 4) * 10 + F.col("l_partkey") % 3
     return (
         table(spark, folder, "lineitem")
-        .filter(F.col("l_quantity") < 10)
-        .select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus")
+        .select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             "l_orderkey",
@@ -90,7 +91,7 @@ def _keyed_violations(spark: SparkSession, folder: str) -> DataFrame:
             F.col("l_linestatus").alias("violation_status"),
             F.concat(F.col("l_returnflag"), _text("l_linenumber")).alias("violation_code"),
             F.col("p_type").alias("violation_description"),
-            (F.col("l_linenumber") % 4).cast("double").alias("points"),
+            F.when(F.col("l_quantity") < 10, tenths.cast("double") / 10.0).otherwise(0.0).alias("points"),
         )
     )
 
@@ -184,14 +185,14 @@ def _customer_zip(key: Column) -> Column:
 
 
 def bind_postal_seed(spark: SparkSession, folder: str) -> DataFrame:
-    """Seed lines, one per customer, with padding, ZIP+4, dashes and too-short lines among them."""
+    """Seed lines, one per customer, with padding, ZIP+4, dashes, commas and too-short lines among them."""
     key = F.col("c_custkey")
     code = _customer_zip(key)
     line = (
         F.when(key % 7 == 0, F.concat(F.lit("  "), code, F.lit(" ")))
         .when(key % 7 == 1, F.concat(code, F.lit("-"), F.lpad((key % 9999).cast("string"), 4, "0")))
         .when(key % 7 == 2, F.concat(F.lit("x"), F.substring(code, 1, 3)))
-        .when(key % 7 == 3, F.concat(F.substring(code, 1, 2), F.lit("."), F.substring(code, 3, 3)))
+        .when(key % 7 == 3, F.concat(F.substring(code, 1, 2), F.when(key % 2 == 0, ",").otherwise("."), F.substring(code, 3, 3)))
         .otherwise(code)
     )
     return table(spark, folder, "customer").select(line.alias("zip"))
@@ -200,7 +201,8 @@ def bind_postal_seed(spark: SparkSession, folder: str) -> DataFrame:
 def bind_gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     """Primary centroids: one row per order, so a code can occur many times (the last row counts).
 
-    Codes whose customer number is a multiple of three are absent. ``line_no`` is the order of the lines.
+    Codes whose customer number is a multiple of three are absent. Every eighth line has a blank latitude.
+    ``line_no`` is the order of the lines.
     """
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
     return (
@@ -209,7 +211,9 @@ def bind_gazetteer(spark: SparkSession, folder: str) -> DataFrame:
         .select(
             key.alias("line_no"),
             _customer_zip(owner).alias("GEOID"),
-            F.format_string("%.6f", (key % 1000).cast("double") / 100.0 + 30.0).alias("INTPTLAT"),
+            F.when(key % 8 == 0, " ")
+            .otherwise(F.format_string("%.6f", (key % 1000).cast("double") / 100.0 + 30.0))
+            .alias("INTPTLAT"),
             F.format_string("%.6f", (key % 997).cast("double") / -100.0 - 110.0).alias("INTPTLONG"),
         )
     )
@@ -235,14 +239,24 @@ def bind_postal_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bind_overrides(spark: SparkSession, folder: str) -> DataFrame:
-    """Override rows for customers in multiples of 18: the mean of the two neighbouring codes' centroids."""
+    """Override rules in two rows per customer in multiples of 18, ``line_no`` being their order.
+
+    The first names the codes of the two customers after; every fifth list is still wrapped in quotes, every seventh
+    customer asks for an unknown method and every eleventh names nothing. The second row, which does not count, names
+    the customer three places on.
+    """
     key = F.col("c_custkey")
-    return (
-        table(spark, folder, "customer")
-        .filter(key % 18 == 0)
-        .select(
-            _customer_zip(key).alias("zip"),
-            F.lit("mean_neighbors").alias("method"),
-            F.concat(_customer_zip(key + 1), F.lit(" | "), _customer_zip(key + 2), F.lit("|")).alias("neighbors"),
-        )
+    names = F.concat(_customer_zip(key + 1), F.lit(" | "), _customer_zip(key + 2), F.lit("|"))
+    first = F.struct(
+        (key * 2).alias("line_no"),
+        F.when(key % 7 == 0, "median").otherwise("mean_neighbors").alias("method"),
+        F.when(key % 11 == 0, " | ")
+        .when(key % 5 == 0, F.concat(F.lit(' "'), names, F.lit('" ')))
+        .otherwise(names)
+        .alias("neighbors"),
+    )
+    second = F.struct(
+        (key * 2 + 1).alias("line_no"), F.lit("mean_neighbors").alias("method"), _customer_zip(key + 3).alias("neighbors")
     )
+    rows = table(spark, folder, "customer").filter(key % 18 == 0)
+    return rows.select(_customer_zip(key).alias("zip"), F.inline(F.array(first, second)))

@@ -211,19 +211,99 @@ def test_unknown_home_zip_fails(spark):
         geo.near_me(health, zips, "00000").collect()
 
 
+def numbered_rules(spark, rules):
+    rows = [(*rule, number) for number, rule in enumerate(rules)]
+    return spark.createDataFrame(rows, "zip string, method string, neighbors string, line_no long")
+
+
 def test_overrides(spark):
     seed = spark.createDataFrame([(z,) for z in ("1", "2", "3", "4", "5", "6")], "zip string")
     one = spark.createDataFrame([("1", "10.0", "20.0")], "zip string, lat string, lon string")
     two = spark.createDataFrame([("1", "0", "0"), ("2", "11.0", "21.0")], "zip string, lat string, lon string")
     rules = [("3", "mean_neighbors", "1|2"), ("4", "mean_neighbors", "3 | 2"), ("5", "nearest", "1"), ("6", "mean_neighbors", "9"), ("1", "bad", "")]
-    overrides = spark.createDataFrame(rules, "zip string, method string, neighbors string")
+    overrides = numbered_rules(spark, rules)
     combined = centroids.combine_sources(seed, one, two)
     found = {r.zip: (r.lat, r.source) for r in centroids.apply_overrides(combined, overrides).collect()}
     assert found == {"1": ("10.0", "primary"), "2": ("11.0", "secondary"), "3": ("10.500000", "override"), "4": ("10.750000", "override"), "5": (None, None), "6": (None, None)}
     problems = {(r.zip, r.problem) for r in centroids.override_problems(combined, overrides).collect()}
     assert problems == {("5", "unsupported method"), ("6", "neighbour without centroid")}
-    with pytest.raises(AuditFailure, match="override 5"):
-        centroids.require_valid_overrides(combined, overrides)
+    with pytest.raises(AuditFailure, match="2 overrides cannot be applied, such as 5: unsupported method"):
+        centroids.require_no_problems(centroids.override_problems(combined, overrides))
+
+
+def test_override_rules_follow_their_order(spark):
+    sources = spark.createDataFrame([("1", "10.0", "20.0"), ("2", "12.0", "22.0"), ("3", "", "20.0"), ("4", "x", "1")], "zip string, lat string, lon string")
+    combined = centroids.combine_sources(spark.createDataFrame([(str(z),) for z in range(1, 13)], "zip string"), sources, sources.limit(0))
+    rules = [
+        ("5", "mean_neighbors", "1"), ("5", "mean_neighbors", "2"),  # the first rule counts
+        ("6", "mean_neighbors", "1|3"), ("7", "mean_neighbors", "4"),  # blank and unreadable coordinates
+        ("8", "mean_neighbors", ' "1|2" '),  # a list still in quotes
+        ("9", "mean_neighbors", "10"), ("10", "mean_neighbors", "5"), ("11", "mean_neighbors", "10|2"),  # only earlier rules help
+        ("12", "mean_neighbors", " | "),
+    ]
+    resolved, problems = centroids.resolve_overrides(combined, numbered_rules(spark, rules).repartition(3))
+    filled = {r.zip: (r.lat, r.lon) for r in resolved.filter("source = 'override'").collect()}
+    assert filled == {"5": ("10.000000", "20.000000"), "8": ("11.000000", "21.000000"), "10": ("10.000000", "20.000000"), "11": ("11.000000", "21.000000")}
+    assert {(r.zip, r.problem) for r in problems.collect()} == {
+        ("6", "neighbour without coordinates"), ("7", "neighbour without coordinates"),
+        ("9", "neighbour without centroid"), ("12", "no neighbours"),
+    }
+
+
+def test_home_point_is_one_row(spark):
+    zips = spark.createDataFrame([("1", 40.0, -125.0), ("1", 30.0, -110.0)], "zip string, lat double, lon double")
+    assert tuple(geo.home_point(zips, " 1 ").first()) == (30.0, -110.0)
+
+
+def test_map_center_needs_both_coordinates(spark):
+    points = spark.createDataFrame([(10.0, 1.0), (20.0, None)], "lat double, lon double")
+    zips = near_inputs(spark)[1]
+    assert tuple(serving.map_center(points, zips, "00000").first()) == (10.0, 1.0)
+    found = {r.home_zip: (r.lat, r.lon) for r in serving.map_centers(points, zips, ["91754", "x"]).collect()}
+    assert found == {"91754": (34.05, -118.14), "x": (10.0, 1.0)}
+
+
+def test_dropped_zips_keep_the_null_rule(spark):
+    health, zips = near_inputs(spark)
+    assert [r.facility_zip5 for r in geo.dropped_zips(health, zips).collect()] == ["99999"]
+    unknown = spark.createDataFrame([(None, 1.0, 1.0)], zips.schema)
+    assert geo.dropped_zips(health, zips.unionByName(unknown)).count() == 0
+
+
+def test_hot_and_blank_serials(spark):
+    raw = spark.createDataFrame([("hot", "a")] * 400 + [("", "b")] * 400 + [(None, "c")] * 5 + [(str(i), "d") for i in range(40)], '`SERIAL NUMBER` string, v string')
+    kept = spark.createDataFrame([("hot", "91754"), ("", "91754"), ("3", "91754")], "`SERIAL NUMBER` string, facility_zip5 string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert area.area_violations(raw, kept).count() == 401
+        facts = inspections(spark, [("hot", "f", 0, 90, "A"), ("3", "g", 0, 90, "A")])
+        viol = violations(spark, [("hot", "f", 0.1)] * 300 + [("3", "g", 0.5)])
+        found = marts.violation_metrics(viol, facts, marts.info_window_start(facts))
+        assert {(r.facility_key, r.violations, r.points) for r in found.collect()} == {("f", 300, 30.0), ("g", 1, 0.5)}
+        assert "partial_sum" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_profile_without_near_me(spark):
+    columns = ", ".join(f"{name} string" for name in serving._PROFILE_COLUMNS)
+    health = spark.createDataFrame([tuple("abcdefghijklm")], columns)
+    row = serving.facility_profile(health, None, "a").first()
+    assert row.near_me_score is None and row.distance_miles is None and row.owner_name == "g"
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from kitchenlight.session import shared_folder
+
+    def session(master):
+        conf = SimpleNamespace(get=lambda name: None)
+        return SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master=master))
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
 
 
 def test_contract_check_reports_each_fault(spark):

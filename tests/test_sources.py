@@ -18,15 +18,19 @@ from tests.conftest import SMALL
 def test_extract_with_quoted_newlines(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text('A,B\n"x\ny","say ""hi"""\n z ,\n')
-    assert delimited.has_quoted_newlines(spark, str(path))
-    rows = [tuple(r) for r in delimited.read_extract(spark, str(path)).collect()]
+    rows = [tuple(r) for r in delimited.read_extract(spark, str(path), multi_line=True).collect()]
     assert rows == [("x\ny", 'say "hi"'), (" z ", None)]
+    # Without the parameter a broken record fails the job, so no row is lost unseen.
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        delimited.read_extract(spark, str(path)).collect()
+    path.write_text('A,B\n1,2\n"3,4\n5,6\n')
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        delimited.read_extract(spark, str(path)).collect()
 
 
 def test_plain_extract_stays_splittable_and_strict(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("A,B\n1,2\n3\n")
-    assert not delimited.has_quoted_newlines(spark, str(path))
     with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
         delimited.read_extract(spark, str(path)).collect()
     with pytest.raises(delimited.SchemaError, match="C"):
@@ -35,9 +39,12 @@ def test_plain_extract_stays_splittable_and_strict(spark, tmp_path):
 
 def test_seed_files(spark, tmp_path):
     path = tmp_path / "seed.csv"
-    path.write_text("zip\n91754\n 91801-1234 \n\n12\n91754\n")
-    assert sorted(r.zip for r in delimited.read_seed(spark, str(path)).collect()) == ["91754", "91801"]
-    assert [r.zip for r in delimited.read_seed(spark, str(path), exactly_five=True).collect()] == ["91754"]
+    path.write_text(' ZIP \n91754\n 91801-1234 \n\n12\n91754\n91,803\n"91804",x\n')
+    assert sorted(r.zip for r in delimited.read_seed(spark, str(path)).collect()) == ["91754", "91801", "91803", "91804"]
+    assert sorted(r.zip for r in delimited.read_seed(spark, str(path), exactly_five=True).collect()) == ["91754", "91803", "91804"]
+    path.write_text("")
+    with pytest.raises(delimited.SchemaError, match="single header"):
+        delimited.read_seed(spark, str(path))
     path.write_text("code\n91754\n")
     with pytest.raises(delimited.SchemaError, match="single header"):
         delimited.read_seed(spark, str(path))
@@ -94,7 +101,7 @@ def test_empty_outputs_fail(spark, tmp_path):
     (tmp_path / "f.csv").write_text("A\n1\n")
     frames = {name: delimited.read_extract(spark, str(tmp_path / f"{name}.csv")) for name in "ef"}
     counted = {r.dataset: (r.row_count, r.byte_count) for r in landing_manifest(frames).collect()}
-    assert counted == {"e": (0, 0), "f": (1, 4)}
+    assert counted == {"e": (0, 2), "f": (1, 4)}
     with pytest.raises(EmptyDataset, match="'e'"):
         require_records(landing_manifest(frames))
 
