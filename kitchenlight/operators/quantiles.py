@@ -1,8 +1,7 @@
 """Exact continuous quantiles without one task holding all values.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here the distinct values stay
-distributed: they are counted per cell of a grid, the few cells holding the wanted ranks are divided
-by a finer grid and counted again, and only the values of the fine cells hit are ranked.
+``percentile`` keeps every distinct value of a group in one buffer. Here the values are counted per cell of a grid, and
+a second pass ranks only the values of the few cells that hold the wanted ranks.
 """
 
 from __future__ import annotations
@@ -33,22 +32,18 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row with a DOUBLE column per entry of ``fractions``; NULL values are ignored.
 
-    ``low`` and ``high`` place the first grid. The result is exact for any range; a fitting one only
-    balances the work. A quantile between two values is interpolated linearly.
+    ``low`` and ``high`` should bound the values: the result is exact for any range, but values outside share the end
+    cells, and a cell is ranked by one task. A quantile between two values is interpolated linearly. Two passes over
+    ``df``: one aggregates to at most ``GRID_CELLS`` + 1 rows, one reads the value column and keeps the cells hit.
     """
-    distinct = (
-        df.select(F.col(value).cast("double").alias("v"))
-        .filter(F.col("v").isNotNull())
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("outer", _cell(F.lit(low), F.lit(high)))
-    )
+    values = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    placed = values.withColumn("outer", _cell(F.lit(low), F.lit(high)))
 
     # At most GRID_CELLS + 1 rows: the unpartitioned windows over them are bounded.
     running = W.orderBy("outer").rowsBetween(W.unboundedPreceding, W.currentRow)
     outer = (
-        distinct.groupBy("outer")
-        .agg(F.sum("n").alias("cell_n"))
+        placed.groupBy("outer")
+        .agg(F.count(F.lit(1)).alias("cell_n"))
         .withColumn("upto", F.sum("cell_n").over(running))
         .withColumn("total", F.sum("cell_n").over(W.partitionBy()))
     )
@@ -78,29 +73,11 @@ def exact_quantiles(
         )
     )
 
-    # The semi join is pushed below the counting, so values outside the cells hit drop out at the scan.
-    width = (high - low) / GRID_CELLS
-    cell_start = F.col("outer") * width + low
-    divided = distinct.join(F.broadcast(in_outer.select("outer").distinct()), "outer", "left_semi").withColumn(
-        "inner", _cell(cell_start, cell_start + width)
-    )
-    running = W.partitionBy("outer").orderBy("inner").rowsBetween(W.unboundedPreceding, W.currentRow)
-    inner = (
-        divided.groupBy("outer", "inner")
-        .agg(F.sum("n").alias("cell_n"))
-        .withColumn("upto", F.sum("cell_n").over(running))
-    )
-    in_inner = (
-        inner.join(F.broadcast(in_outer), "outer")
-        .filter(_holds_rank("cell_n"))
-        .withColumn("rank", F.col("rank") - (F.col("upto") - F.col("cell_n")))
-        .drop("upto", "cell_n")
-    )
-
-    running = W.partitionBy("outer", "inner").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cells_hit = F.broadcast(in_inner.select("outer", "inner").distinct())
-    ranked = divided.join(cells_hit, ["outer", "inner"], "left_semi").withColumn("upto", F.sum("n").over(running))
-    hits = ranked.join(F.broadcast(in_inner), ["outer", "inner"]).filter(_holds_rank("n"))
+    hit_cells = F.broadcast(in_outer.select("outer").distinct())
+    distinct = placed.join(hit_cells, "outer", "left_semi").groupBy("outer", "v").agg(F.count(F.lit(1)).alias("n"))
+    running = W.partitionBy("outer").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = distinct.withColumn("upto", F.sum("n").over(running))
+    hits = ranked.join(F.broadcast(in_outer), "outer").filter(_holds_rank("n"))
 
     def picked(name: str, side: int) -> Column:
         return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("v")))

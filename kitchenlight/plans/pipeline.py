@@ -135,7 +135,7 @@ def run_warehouse(
             )
         )["row"].alias("top_merged_facilities")
     )
-    report = _pack("facility_merge_report", warehouse.merge_report(stg_inspections), top_list)
+    report = _pack("facility_merge_report", warehouse.merge_report(stg_inspections, dim), top_list)
     inputs = _pack(
         "inputs", _count(stg_inspections, "stg_inspections_rows"), _count(stg_violations, "stg_violations_rows")
     )

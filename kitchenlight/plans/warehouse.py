@@ -115,12 +115,14 @@ def core_audit(dim: DataFrame, inspections: DataFrame, stg_violations: DataFrame
     )
 
 
-def merge_report(stg_inspections: DataFrame) -> DataFrame:
-    """One row: distinct facility IDs, distinct keys, IDs merged away and their rate."""
-    combinations = stg_inspections.select("facility_id", *_KEY_PARTS).distinct()
-    ids = combinations.agg(F.count_distinct("facility_id").alias("distinct_facility_id"))
+def merge_report(stg_inspections: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """One row: distinct facility IDs, distinct keys, IDs merged away and their rate.
+
+    The facility dimension has one row per key, so with ``dim`` the keys are counted there.
+    """
+    ids = stg_inspections.select("facility_id").distinct().agg(F.count("facility_id").alias("distinct_facility_id"))
     # Keys are counted as groups, so rows without a key form one group.
-    keys = combinations.select(_key().alias("facility_key")).distinct()
+    keys = stg_inspections.select(*_KEY_PARTS).distinct().select(_key().alias("facility_key")).distinct() if dim is None else dim
     counted = cross_one_row(ids, keys.agg(F.count(F.lit(1)).alias("distinct_facility_key")))
     merged = F.col("distinct_facility_id") - F.col("distinct_facility_key")
     rate = F.when(F.col("distinct_facility_id") > 0, merged / F.col("distinct_facility_id")).otherwise(F.lit(0.0))
