@@ -31,10 +31,13 @@ def document_columns(docs: DataFrame) -> list[Column]:
     ]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back: later stages neither recompute nor depend on executors."""
+def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write once to the shared folder and read back: later stages neither recompute nor depend on executors.
+
+    ``files`` is the number of files of a table whose rows are bounded; they are shuffled, so no scan narrows to it.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.repartition(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -44,7 +47,7 @@ def bounded_sample(rows: DataFrame, group: str, key: str, most: int, seed: int,
     Groups are counted first, and only hashes low enough to hold slightly more than ``most`` rows reach the ranking: what a
     task ranks does not grow with a group. Groups, such as languages, are few; more than ``most_groups`` are an error.
     """
-    counts = stored(rows.groupBy(group).agg(F.count("*").alias("group_rows")), "groups")
+    counts = stored(rows.groupBy(group).agg(F.count("*").alias("group_rows")), "groups", files=1)
     if (found := counts.count()) > most_groups:
         raise ValueError(f"{found} groups; at most {most_groups} are expected")
     mark = F.xxhash64(F.lit(seed), key)
@@ -54,6 +57,13 @@ def bounded_sample(rows: DataFrame, group: str, key: str, most: int, seed: int,
     return near.drop("group_rows").withColumn("place", F.row_number().over(by_mark)).filter(F.col("place") <= most)
 
 
+def text_slices(batch, column: str = "text", rows: int = 256) -> Iterator[list[str]]:
+    """The texts of an Arrow batch a few rows at a time, null ones as empty."""
+    texts = batch.column(column)
+    for at in range(0, len(texts), rows):
+        yield [t or "" for t in texts.slice(at, rows).to_pylist()]
+
+
 def sorted_runs(batches: Iterator, key: str, rows: int) -> Iterator:
     """Pandas frames of at least ``rows`` rows (the last may be smaller) that never split a run of equal ``key``."""
     import pandas as pd
@@ -76,4 +86,5 @@ def sorted_runs(batches: Iterator, key: str, rows: int) -> Iterator:
 
 __all__ = [
     "DOCUMENT_COLUMNS", "bounded_sample", "cut_lineage", "document_columns", "documents", "id_and_text", "scratch_path", "sorted_runs", "stored",
+    "text_slices",
 ]

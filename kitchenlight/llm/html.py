@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.llm.common import stored
 from kitchenlight.llm.ordering import with_neighbours
 
 # ---- lines of a page ----
@@ -264,7 +263,7 @@ def main_text(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "page_key": batch["page_key"], "blocks": pd.Series(blocks, dtype=object, index=batch.index)})
 
     found = _keyed(pages).mapInPandas(texts, "page_id long, url string, page_key long, blocks array<struct<i int, t string>>")
-    joined = found.join(stored(shared_lines(pages), "shared"), "page_key")
+    joined = found.join(shared_lines(pages), "page_key")
     kept = F.filter("blocks", lambda b: ~F.array_contains("shared", b["i"]))
     text = F.array_join(F.transform(kept, lambda b: b["t"]), "\n")
     return joined.select("page_id", "url", text.alias("text"), "n_aligned").select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_aligned")
