@@ -53,31 +53,34 @@ def _spread(a: np.ndarray) -> np.ndarray:
         return h ^ (h >> _S32)
 
 
-def names(data: np.ndarray, most: int) -> dict[int, np.ndarray]:
-    """For each power of two from 8 to ``most``, the name of the stretch of that length at every place."""
-    wide = data.astype(np.uint64)
+def names(data: np.ndarray) -> dict[int, np.ndarray]:
+    """For stretches of 8, 16 and 32 bytes, the name of the one at every place."""
     count = len(data) - 7
     if count <= 0:
         return {}
-    eight = wide[:count].copy()
-    for i in range(1, 8):
-        eight |= wide[i : count + i] << np.uint64(8 * i)
-    out = {8: _spread(eight)}
-    size = 8
-    while size < most and len(out[size]) > size:
-        out[2 * size] = _pair(out[size][:-size], out[size][size:])
-        size *= 2
+    out = {8: _spread(np.ndarray((count,), "<u8", data, strides=(1,)).astype(np.uint64))}
+    for size in (8, 16):
+        if len(out[size]) > size:
+            out[2 * size] = _pair(out[size][:-size], out[size][size:])
     return out
 
 
+def _names_at(levels: dict[int, np.ndarray], size: int, at: np.ndarray) -> np.ndarray:
+    """Names of stretches of a power of two at some places; longer ones are doubled from the two halves."""
+    if size in levels:
+        return levels[size][at]
+    return _pair(_names_at(levels, size // 2, at), _names_at(levels, size // 2, at + size // 2))
+
+
 def _ranks(levels: dict[int, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Rank of each stretch ``[start, end)``: the pair of names of its first and last power-of-two stretch."""
     out = np.zeros(len(start), np.uint64)
     size = end - start
-    power = np.minimum(1 << (np.frexp(size.astype(float))[1] - 1), max(levels))
+    power = 1 << (np.frexp(size.astype(float))[1] - 1)
     for p in np.unique(power).tolist():
         mine = power == p
-        out[mine] = _pair(_pair(levels[p][start[mine]], levels[p][end[mine] - p]), size[mine].astype(np.uint64))
+        ends = _pair(_names_at(levels, p, start[mine]), _names_at(levels, p, end[mine] - p))
+        out[mine] = _pair(ends, size[mine].astype(np.uint64))
     return out
 
 
@@ -108,51 +111,67 @@ def _keys(levels, length: int, width: int, low, high, anchor) -> tuple[np.ndarra
     return core.view(np.int64), hull.view(np.int64)
 
 
-def first_cells(data: np.ndarray, length: int = LENGTH, seed: int = SEED_BYTES) -> dict[str, np.ndarray]:
-    """One cell per anchor of a text: its packed place, its ranks, and how often it stands in the text (2: repeatedly).
+def first_cells(pieces: list[np.ndarray], length: int = LENGTH, seed: int = SEED_BYTES) -> dict[str, np.ndarray]:
+    """One cell per anchor of some texts: the text's number, the packed place in it, ranks, and 1 or 2 in ``n``.
 
-    Cells that stand repeatedly in this very text are given once, and the bytes of all of them as rows with ``n`` = 0, whose
-    ``pos`` and ``core`` are start and end.
+    Cells that stand repeatedly in these very texts are given once, with 2, and the bytes of all of them as rows with ``n`` = 0,
+    whose ``pos`` and ``core`` are start and end.
     """
     width = length - seed + 1
-    parts = []
-    for at in range(0, len(data) - length + 1, BLOCK):
-        piece = data[at : at + BLOCK + length - 1]
-        levels = names(piece, 2 * length)
-        seeds = levels[seed]
-        places = (seeds & ~_PLACE) | np.arange(len(seeds), dtype=np.uint64)
-        anchor = (_sliding_least(places, width) & _PLACE).astype(np.int64)
-        low = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        high = np.r_[low[1:], len(anchor)] - 1
-        anchor = anchor[low]
-        core, hull = _keys(levels, length, width, low, high, anchor)
-        parts.append((_pack(low + at, high + at, anchor + at), core, hull))
-    if not parts:
-        return {name: np.zeros(0, np.int64) for name in ("pos", "core", "hull", "n")}
-    pos, core, hull = (np.concatenate(p) for p in zip(*parts))
+    data = np.concatenate(pieces)
+    sizes = np.array([len(p) for p in pieces])
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(pieces)), sizes)
+    levels = names(data)
+    seeds = levels[seed]
+    places = (seeds & ~_PLACE) | np.arange(len(seeds), dtype=np.uint64)
+    anchor = (_sliding_least(places, width) & _PLACE).astype(np.int64)
+    start = np.flatnonzero(np.arange(len(anchor)) + length <= ends[owner[: len(anchor)]])  # strings inside one text
+    anchor = anchor[start]
+    opens = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+    low, high, anchor = start[opens], start[np.r_[opens[1:], len(start)] - 1], anchor[opens]
+    core, hull = _keys(levels, length, width, low, high, anchor)
+    text = owner[low]
+    base = (ends - sizes)[text]
     _, first, group, times = np.unique(_pair(core.view(np.uint64), hull.view(np.uint64)), return_index=True, return_inverse=True, return_counts=True)
-    low, high, _ = _unpack(pos[times[group] > 1])
-    start, end = merged(low, high + length)
+    again = times[group] > 1
+    # texts are kept a byte apart, so that runs of neighbours do not join
+    begin, end = merged(low[again] + text[again], high[again] + length + text[again])
+    inside = np.searchsorted(ends + np.arange(len(pieces)), begin, side="right")
+    moved = (ends - sizes)[inside] + inside
+    none = np.zeros(len(begin), np.int64)
     return {
-        "pos": np.r_[pos[first], start], "core": np.r_[core[first], end],
-        "hull": np.r_[hull[first], np.zeros(len(start), np.int64)], "n": np.r_[np.minimum(times, 2), np.zeros(len(start), np.int64)],
+        "text": np.r_[text[first], inside], "pos": np.r_[_pack(low - base, high - base, anchor - base)[first], begin - moved],
+        "core": np.r_[core[first], end - moved], "hull": np.r_[hull[first], none], "n": np.r_[np.minimum(times, 2), none],
     }
 
 
-def finer_cells(data: np.ndarray, pos: np.ndarray, width: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The cells of ``width`` offsets inside the given ones: packed places and ranks."""
-    low, high, anchor = _unpack(np.sort(pos))
+def finer_cells(texts: list[np.ndarray], cells: list[np.ndarray], width: int, length: int = LENGTH) -> dict[str, np.ndarray]:
+    """The cells of ``width`` offsets inside the given cells of some texts: the text's number, packed places and ranks."""
+    sizes = np.array([len(t) for t in texts])
+    text = np.repeat(np.arange(len(texts)), [len(c) for c in cells])
+    low, high, anchor = _unpack(np.concatenate(cells))
     first, last = (anchor - high) // width, (anchor - low) // width
     count = last - first + 1
     cell = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    low, high, anchor = (np.repeat(v, count) for v in (low, high, anchor))
+    low, high, anchor, text = (np.repeat(v, count) for v in (low, high, anchor, text))
     low, high = np.maximum(low, anchor - (cell + 1) * width + 1), np.minimum(high, anchor - cell * width)
+    # only the bytes under the cells are named: they are laid end to end, and places move with them
+    base = (np.cumsum(sizes) - sizes)[text]
+    begin, end = merged(low + base, high + base + length)
+    room = np.cumsum(end - begin) - (end - begin)
+    run = np.searchsorted(begin, low + base, side="right") - 1
+    group = room[run] // BLOCK
+    data = np.concatenate(texts)
     out = []
-    for block in np.unique(low // BLOCK).tolist():
-        mine, at = low // BLOCK == block, block * BLOCK
-        levels = names(data[at : at + BLOCK + 2 * length], 2 * length)
-        out.append((_pack(low[mine], high[mine], anchor[mine]), *_keys(levels, length, width, low[mine] - at, high[mine] - at, anchor[mine] - at)))
-    return tuple(np.concatenate(p) for p in zip(*out))
+    for block in np.unique(group).tolist():
+        mine = group == block
+        runs = np.arange(run[mine].min(), run[mine].max() + 1)
+        piece = np.concatenate([data[b:e] for b, e in zip(begin[runs].tolist(), end[runs].tolist())])
+        move = (base - begin[run] + room[run] - room[runs[0]])[mine]
+        keys = _keys(names(piece), length, width, low[mine] + move, high[mine] + move, anchor[mine] + move)
+        out.append((text[mine], _pack(low[mine], high[mine], anchor[mine]), *keys))
+    return dict(zip(("text", "pos", "core", "hull"), (np.concatenate(p) for p in zip(*out))))
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,15 +191,36 @@ def _bytes(text: str) -> np.ndarray:
 # ---- rounds over all texts ----
 
 
+def _chunks(items: Iterator[tuple], size: Callable[[tuple], int]) -> Iterator[list[tuple]]:
+    """Items together until they hold ``BLOCK`` bytes."""
+    held, total = [], 0
+    for item in items:
+        held.append(item)
+        total += size(item)
+        if total >= BLOCK:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
+def pieces_of(data: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
+    """A text in pieces with their offsets; every string of ``length`` bytes starts in one of them, and none is short."""
+    for at in range(0, len(data) - length + 1, BLOCK):
+        yield at, data[at : at + BLOCK + length - 1]
+
+
 def _first_round(length: int, seed: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(row, first_cells(_bytes(text), length, seed)) for row, text in zip(batch["row_no"], batch["text"]) if len(text) * 4 >= length]
-            for at in range(0, len(found), 256):
-                some = found[at : at + 256]
-                columns = {name: np.concatenate([c[name] for _, c in some]) for name in ("pos", "core", "hull", "n")}
-                rows = np.repeat([r for r, _ in some], [len(c["pos"]) for _, c in some])
-                yield pd.DataFrame({"row_no": rows, **columns, "n": columns["n"].astype(np.int32)})
+            found = ((row, at, piece) for row, text in zip(batch["row_no"], batch["text"]) for at, piece in pieces_of(_bytes(text), length))
+            for chunk in _chunks(found, lambda item: len(item[2])):
+                cells = first_cells([piece for _, _, piece in chunk], length, seed)
+                text = cells.pop("text")
+                offset = np.array([at for _, at, _ in chunk])[text]
+                cells["pos"] += np.where(cells["n"] > 0, offset << 18, offset)
+                cells["core"] += np.where(cells["n"] > 0, 0, offset)
+                yield pd.DataFrame({"row_no": np.array([row for row, _, _ in chunk])[text], **cells, "n": cells["n"].astype(np.int32)})
 
     return compute
 
@@ -188,9 +228,11 @@ def _first_round(length: int, seed: int) -> Callable[[Iterator[pd.DataFrame]], I
 def _finer_round(width: int, length: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row, text, cells in zip(batch["row_no"], batch["text"], batch["cells"]):
-                pos, core, hull = finer_cells(_bytes(text), np.asarray(cells, np.int64), width, length)
-                yield pd.DataFrame({"row_no": row, "pos": pos, "core": core, "hull": hull, "n": np.ones(len(pos), np.int32)})
+            rows = zip(batch["row_no"], (_bytes(t) for t in batch["text"]), (np.asarray(c, np.int64) for c in batch["cells"]))
+            for chunk in _chunks(rows, lambda item: len(item[1])):
+                cells = finer_cells([data for _, data, _ in chunk], [c for _, _, c in chunk], width, length)
+                text = cells.pop("text")
+                yield pd.DataFrame({"row_no": np.array([row for row, _, _ in chunk])[text], **cells, "n": np.ones(len(text), np.int32)})
 
     return compute
 

@@ -67,13 +67,27 @@ def test_removed_bytes_equal_a_plain_count(spark, length, seed, widths):
 def test_blocks_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(R, "BLOCK", 700)
     rng = random.Random(3)
-    data = np.frombuffer(bytes(rng.choice(b"abcdef ") for _ in range(9000)), np.uint8)
-    cells = R.first_cells(data)
-    low, high, anchor = R._unpack(cells["pos"][cells["n"] > 0])
-    order = np.argsort(low)
-    assert low[order][0] == 0 and high[order][-1] == len(data) - 400
-    assert (low[order][1:] == high[order][:-1] + 1).all()  # every string is in one cell
-    assert ((low <= anchor) & (anchor + 32 <= high + 400)).all()
+    texts = [bytes(rng.choice(b"abcdef ") for _ in range(size)) for size in (9000, 400, 401, 2500)]
+    data = [np.frombuffer(t, np.uint8) for t in texts]
+    found = [(i, at, piece) for i, d in enumerate(data) for at, piece in R.pieces_of(d, 400)]
+    cells = R.first_cells([piece for _, _, piece in found])
+    assert (cells["n"] == 1).all()
+    low, high, anchor = R._unpack(cells["pos"])
+    for i, d in enumerate(data):
+        offset = np.array([at for _, at, _ in found])[cells["text"]]
+        mine = np.array([n for n, _, _ in found])[cells["text"]] == i
+        start, end = np.sort((low + offset)[mine]), np.sort((high + offset)[mine])
+        assert start[0] == 0 and end[-1] == len(d) - 400
+        assert (start[1:] == end[:-1] + 1).all()  # every string is in one cell
+        assert ((low <= anchor) & (anchor + 32 <= high + 400)).all()
+
+
+def test_repeats_inside_a_chunk_are_ranges_of_their_texts():
+    rng = random.Random(4)
+    a, b = (np.frombuffer(bytes(rng.choice(b"abcdefgh") for _ in range(600)), np.uint8) for _ in range(2))
+    cells = R.first_cells([a, a, b])
+    ranges = {(t, s, e) for t, s, e, n in zip(*(cells[k].tolist() for k in ("text", "pos", "core", "n"))) if n == 0}
+    assert ranges == {(0, 0, 600), (1, 0, 600)}
 
 
 def test_merged():
@@ -85,7 +99,7 @@ def test_equal_strings_have_equal_ranks():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 100, 3000).astype(np.uint8)
     data[2000:2600] = data[100:700]
-    levels = R.names(data, 512)
+    levels = R.names(data)
     for size in (8, 9, 31, 400, 599):
         a = R._ranks(levels, np.array([100]), np.array([100 + size]))
         b = R._ranks(levels, np.array([2000, 2001]), np.array([2000 + size, 2001 + size]))
