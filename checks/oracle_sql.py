@@ -651,7 +651,8 @@ ORACLES: dict[str, str] = {
     "facility_health": _with("FROM health", "health"),
     "zip_health": _with(
         """
-        SELECT facility_zip5, count(*) AS facility_count, round(avg(cleanliness_index), 2) AS avg_cleanliness_index,
+        SELECT facility_zip5, count(*) AS facility_count,
+            round(sum(cleanliness_index::DECIMAL(20, 10))::DOUBLE / count(cleanliness_index), 2) AS avg_cleanliness_index,
             round(min(cleanliness_index), 2) AS min_cleanliness_index,
             round(max(cleanliness_index), 2) AS max_cleanliness_index,
             round(100.0 * sum((latest_grade IS NOT DISTINCT FROM 'A')::INT) / count(*), 1)::DOUBLE AS grade_a_pct,

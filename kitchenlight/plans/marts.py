@@ -22,6 +22,7 @@ EXCELLENT_FROM, GOOD_FROM = 90, 70
 LOW_DATA_BELOW = 2
 # Points are summed exactly, to six decimals.
 POINT_TYPE = "decimal(18,6)"
+INDEX_TYPE = "decimal(20,10)"
 
 
 def info_window_start(inspections: DataFrame) -> Column:
@@ -169,7 +170,8 @@ def zip_health(health: DataFrame) -> DataFrame:
     index, grade, rows = F.col("cleanliness_index"), F.col("latest_grade"), F.count(F.lit(1))
     return health.groupBy("facility_zip5").agg(
         rows.alias("facility_count"),
-        round_to(F.avg(index), 2).alias("avg_cleanliness_index"),
+        # An exact sum: the order of the rows must not decide a rounding.
+        round_to(F.try_divide(F.sum(index.cast(INDEX_TYPE)).cast("double"), F.count(index)), 2).alias("avg_cleanliness_index"),
         round_to(F.min(index), 2).alias("min_cleanliness_index"),
         round_to(F.max(index), 2).alias("max_cleanliness_index"),
         *[
