@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kitchenlight.functions import clean, digits_only
+from kitchenlight.functions import digits_only
 
 
 class SchemaError(ValueError):
