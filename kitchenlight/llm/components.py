@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from kitchenlight.llm.common import cut_lineage
 
 
+EDGES_PER_PART = 500_000
+
+
 def _pointed(pairs: DataFrame, larger_only: bool) -> DataFrame:
     """Point the neighbours of each ``u`` at the least of them and ``u``."""
     least = pairs.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
@@ -29,10 +32,12 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """
     current = cut_lineage(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
+    parts = 1 + current.count() // EDGES_PER_PART  # no round has more edges than the first
+    parts = min(parts, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     for _ in range(most_rounds):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _pointed(both, larger_only=True).distinct()
-        current = cut_lineage(_pointed(large, larger_only=False).distinct())
+        current = cut_lineage(_pointed(large, larger_only=False).distinct().coalesce(parts))
         now = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:
             ends = current.select(F.col("u").alias("node"), F.col("v").alias("root"))

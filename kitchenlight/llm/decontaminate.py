@@ -17,10 +17,11 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.llm.common import id_and_text
+from kitchenlight.llm.common import id_and_text, text_slices
 
 K1, B = 1.2, 0.75
 LEAST_SHARE = 0.7
@@ -230,9 +231,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SHARE
     for indexes in _shards(benchmark, index_bytes):
         held = docs.sparkSession.sparkContext.broadcast(indexes)
 
-        def compute(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
+        def compute(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch[[not (t and text_hits(held.value, t, least, overlap)) for t in batch["text"]]]
+                clean = [not (t and text_hits(held.value, t, least, overlap)) for texts in text_slices(batch) for t in texts]
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInPandas(compute, docs.schema)
+        docs = docs.mapInArrow(compute, docs.schema)
     return docs

@@ -7,11 +7,13 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kitchenlight.llm.automaton import Automaton, compile_rules, scan
-from kitchenlight.llm.common import id_and_text
+from kitchenlight.llm.common import id_and_text, text_slices
 
 SCAN_BYTES = 8 << 20
 
@@ -73,8 +75,12 @@ def joined(rules: tuple[Rule, ...], found: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{rules[number].kind}:{start}:{end}" for start, number, end in found)
 
 
-def _per_batch(spark, rules: tuple[Rule, ...], make: Callable[[pd.DataFrame, list], pd.DataFrame]):
-    machine = spark.sparkContext.broadcast(compile_rules([rule.trigger for rule in rules]))  # bounded by the rules
+def _broadcast(spark: SparkSession, rules: tuple[Rule, ...]) -> Broadcast:
+    return spark.sparkContext.broadcast(compile_rules([rule.trigger for rule in rules]))  # bounded by the rules
+
+
+def _per_batch(spark: SparkSession, rules: tuple[Rule, ...], make: Callable[[pd.DataFrame, list], pd.DataFrame]):
+    machine = _broadcast(spark, rules)
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -130,16 +136,21 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str =
 
     Rows, their order of columns and null texts stay as they are.
     """
-    flag = "null_text"
-    while flag in docs.columns:
-        flag += "_"
-    marked = docs.withColumn(flag, F.col("text").isNull()).withColumn("text", F.coalesce("text", F.lit("")))
+    machine = _broadcast(docs.sparkSession, rules)
+    size = "n_chars" if "n_chars" in docs.columns else None
 
-    def make(batch: pd.DataFrame, found: list) -> pd.DataFrame:
-        return batch.assign(text=[redact(t, one, mark) for t, one in zip(batch["text"], found)])
-
-    out = marked.mapInPandas(_per_batch(docs.sparkSession, rules, make), marked.schema)
-    out = out.withColumn("text", F.when(~F.col(flag), F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col(flag), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean: list[str] = []
+            for texts in text_slices(batch):
+                clean += [redact(t, one, mark) for t, one in zip(texts, scan_texts(machine.value, rules, texts))]
+            gone = batch.column("text").is_null().to_pylist()
+            columns = dict(zip(batch.schema.names, batch.columns))
+            columns["text"] = pa.array([None if g else t for t, g in zip(clean, gone)], pa.string())
+            if size:
+                old = columns[size]
+                sizes = [n if g else len(t) for t, g, n in zip(clean, gone, old.to_pylist())]
+                columns[size] = pa.array(sizes, old.type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return docs.mapInArrow(compute, docs.schema)

@@ -251,7 +251,7 @@ def near_duplicates(
     come back; extra columns are ignored; an empty table gives no rows.
     """
     marks = cut_lineage(fingerprints(docs))
-    classes = cut_lineage(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    classes = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     buckets = candidate_buckets(classes, radius, blocks, tile_rows)
     edges = buckets.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_bucket_edges(radius), "u long, v long")
     roots = components(edges)
