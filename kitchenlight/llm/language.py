@@ -47,8 +47,11 @@ def _chunk_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     raw = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
     points = np.concatenate(raw) if raw else np.zeros(0, np.uint32)
     owner = np.repeat(np.arange(len(texts)), [len(r) for r in raw])
-    # letters beyond the table keep their code point; whatever is no letter there is rare enough to be one
-    points = np.where(points < len(_LETTERS), _LETTERS[np.minimum(points, len(_LETTERS) - 1)], points)
+    beyond = points >= len(_LETTERS)
+    points = np.where(beyond, points, _LETTERS[np.minimum(points, len(_LETTERS) - 1)])
+    for point in np.unique(points[beyond]).tolist():  # letters beyond the table keep their code point
+        if not chr(point).isalpha():
+            points[points == point] = 32
     letter = points != 32
     letters = np.bincount(owner[letter], minlength=len(texts))
     keep = letter.copy()
@@ -125,7 +128,7 @@ class Identifier:
     """Centroids learned from the documents that are not held out."""
 
     def __init__(self, docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, clusters: int = CLUSTERS) -> None:
-        chosen = stored(sample(docs, documents), "languages")
+        chosen = stored(sample(docs, documents), "languages", files=8)
 
         def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:

@@ -14,7 +14,7 @@ SCHEMA = "doc_id long, text string, lang string, score string, part int"
 
 
 def test_vectors_equal_a_plain_count():
-    texts = ["", "Ab, c!", "ÉÀ  \n ü", "123 ...", "x" * 3000, "日本 語"]
+    texts = ["", "Ab, c!", "ÉÀ  \n ü", "123 ...", "x" * 3000, "日本 語", "😀 1", "a😀𐌰b"]
     chunks = list(L.count_vectors(texts))
     counts, letters = (np.concatenate([c[i] for c in chunks]) for i in (0, 1))
     for text, row, n in zip(texts, counts, letters):
