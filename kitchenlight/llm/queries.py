@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,24 @@ from kitchenlight.llm import decontaminate, html, language, packing, quality, re
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(query: Query) -> Query:
+    """``query`` with this package on the path of Python workers started from now on.
+
+    On a cluster the package is sent with ``--py-files``; here it matters where the driver was started elsewhere.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        variables = spark.sparkContext.environment
+        paths = variables.get("PYTHONPATH", "").split(os.pathsep)
+        if ROOT not in paths:
+            variables["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+        return query(spark, sf_dir)
+
+    return run
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,16 +78,16 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "op1_fingerprints": op1_fingerprints,
-    "op2_decontamination": op2_decontamination,
-    "op3_repeats": op3_repeats,
-    "op4_quality": op4_quality,
-    "op5_packing": op5_packing,
-    "op6_sharding": op6_sharding,
-    "op7_simhash": op7_simhash,
-    "op8_secrets": op8_secrets,
-    "op9_html": op9_html,
-    "op10_language": op10_language,
+    "op1_fingerprints": importable(op1_fingerprints),
+    "op2_decontamination": importable(op2_decontamination),
+    "op3_repeats": importable(op3_repeats),
+    "op4_quality": importable(op4_quality),
+    "op5_packing": importable(op5_packing),
+    "op6_sharding": importable(op6_sharding),
+    "op7_simhash": importable(op7_simhash),
+    "op8_secrets": importable(op8_secrets),
+    "op9_html": importable(op9_html),
+    "op10_language": importable(op10_language),
 }
 
 ORACLES: dict[str, str] = {}
