@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitchenlight.llm import decontaminate, html, language, packing, quality, repeats, secrets, sharding, simhash, syncmers
+from kitchenlight.llm import decontaminate, html, language, oracles, packing, quality, repeats, secrets, sharding, simhash, syncmers, windows
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op11_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = windows.remove_windows(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": importable(op1_fingerprints),
     "op2_decontamination": importable(op2_decontamination),
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": importable(op8_secrets),
     "op9_html": importable(op9_html),
     "op10_language": importable(op10_language),
+    "op11_windows": importable(op11_windows),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_windows": oracles.OP11_WINDOWS}
