@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitchenlight.llm import decontaminate, html, language, oracles, packing, quality, repeats, secrets, sharding, simhash, syncmers, windows
+from kitchenlight.llm import decontaminate, html, language, oracles, packing, quality, repeats, secrets, sharding, simhash, syncmers, trie, windows
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,10 @@ def op11_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": importable(op1_fingerprints),
     "op2_decontamination": importable(op2_decontamination),
@@ -94,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op9_html": importable(op9_html),
     "op10_language": importable(op10_language),
     "op11_windows": importable(op11_windows),
+    "op12_trie": importable(op12_trie),
 }
 
-ORACLES: dict[str, str] = {"op11_windows": oracles.OP11_WINDOWS}
+ORACLES: dict[str, str] = {"op11_windows": oracles.OP11_WINDOWS, "op12_trie": oracles.OP12_TRIE}
