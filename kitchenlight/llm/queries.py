@@ -10,7 +10,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitchenlight.llm import decontaminate, html, language, oracles, packing, quality, repeats, secrets, sharding, simhash, syncmers, trie, windows
+from kitchenlight.llm import (
+    alignment, decontaminate, html, language, oracles, packing, quality, repeats, secrets, sharding, simhash, syncmers, trie, windows
+)
 from kitchenlight.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +88,10 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": importable(op1_fingerprints),
     "op2_decontamination": importable(op2_decontamination),
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op10_language": importable(op10_language),
     "op11_windows": importable(op11_windows),
     "op12_trie": importable(op12_trie),
+    "op13_alignment": importable(op13_alignment),
 }
 
 ORACLES: dict[str, str] = {"op11_windows": oracles.OP11_WINDOWS, "op12_trie": oracles.OP12_TRIE}

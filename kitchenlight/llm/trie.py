@@ -287,7 +287,7 @@ def prefix_trie(conversations: DataFrame, local_nodes: int = LOCAL_NODES) -> Dat
     state = whole.withColumns({
         "top_conv": F.lit(root and root.conv_id).cast("long"), "top_depth": none, "leaves": (F.col("n_children") == 0).cast("long"), "sum_leaves": none, "sum_saved": none
     })
-    sums = roll_up(state.select(*STATE), paths, local_nodes)
+    sums = roll_up(stored(state.select(*STATE), "state"), paths, local_nodes)
     ends = end_digests(held.filter("last"))
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     found = whole.join(sums, ["conv_id", "depth"]).join(ends, "key", "left")
