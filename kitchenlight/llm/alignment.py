@@ -9,23 +9,23 @@ summed by Spark over all texts; they come back to the texts in parts of at most
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.llm import tokens
-from kitchenlight.llm.common import stored
+from kitchenlight.llm.common import id_and_text, stored, text_slices
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
-MEMORY_WINDOWS = 200_000
-LONG_WINDOW = 64
+MEMORY_WINDOWS = 60_000
+LONG_WINDOW = 128  # bytes of A ids
 PART_PAIRS = 2_000_000
-CHUNK_CHARS = 1 << 20
+SLICE_ROWS = 256
 SPACE = "▁"
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
@@ -42,6 +42,23 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def byte_vocabulary(path: str) -> tuple[list[bytes], dict[bytes, int]]:
+    """The bytes of every id, and the ids as ranks, of a byte-level BPE whose merges are listed in the order of their ids.
+
+    With ids as ranks another library of the same rule gives the same ids in half the time.
+    """
+    with open(path, encoding="utf-8") as file:
+        held = json.load(file)
+    vocabulary, merges = held["model"]["vocab"], held["model"]["merges"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    if held["normalizer"] or [vocabulary[x + y] for x, y in pairs] != list(range(256, 256 + len(pairs))):
+        raise ValueError(f"{path} is no plain byte-level BPE with ids in the order of its merges")
+    alphabet = byte_alphabet()
+    plain = {bytes(map(alphabet.__getitem__, t)): i for t, i in vocabulary.items() if i < 256 + len(pairs)}
+    names = {i: spelled for spelled, i in plain.items()} | {i: t.encode() for t, i in vocabulary.items() if i >= 256 + len(pairs)}
+    return [names[i] for i in range(len(names))], plain
+
+
 class Vocabulary:
     """The bytes of every id, their number, and whether they begin with a space."""
 
@@ -49,6 +66,8 @@ class Vocabulary:
         self.spelled = spelled
         self.sizes = np.array([len(b) for b in spelled], np.int64)
         self.spaced = np.array([b.startswith(b" ") for b in spelled])
+        if not self.sizes.all():
+            raise ValueError("an id spells no byte")
 
     def joined(self, ids: list[int]) -> bytes:
         return b"".join(map(self.spelled.__getitem__, ids))
@@ -59,52 +78,18 @@ class Pair:
 
     def __init__(self, a_path: str, b_path: str) -> None:
         import sentencepiece
+        import tiktoken
 
-        self.encoder = tokens.encoder(a_path)
-        library = self.encoder.library
-        alphabet = byte_alphabet()
-        names = [library.id_to_token(i) or "" for i in range(library.get_vocab_size())]
-        self.a = Vocabulary([bytes(map(alphabet.__getitem__, t)) if all(c in alphabet for c in t) else t.encode() for t in names])
+        spelled, ranks = byte_vocabulary(a_path)
+        self.bytes = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a = Vocabulary(spelled)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b_path)
         known = range(self.pieces.get_piece_size())
         named = ((i, self.pieces.id_to_piece(i)) for i in known)
         self.b = Vocabulary([bytes([int(t[3:5], 16)]) if self.pieces.is_byte(i) else t.replace(SPACE, " ").encode() for i, t in named])
-        self.windows = _Windows(self.a.spelled, self.b.spelled)
-
-
-class _Windows(dict):
-    """``(A ids, B ids)`` of a window, as 32-bit bytes, to its groups as text, their number, the number of links and the links."""
-
-    def __init__(self, a: list[bytes], b: list[bytes]) -> None:
-        super().__init__()
-        self.a, self.b = a, b
-
-    def __missing__(self, key: tuple[bytes, bytes]) -> tuple[str, int, int, bytes]:
-        a, b = (np.frombuffer(k, "<u4").tolist() for k in key)
-        found = align_window(a, b, self.a, self.b)
-        if len(a) + len(b) <= LONG_WINDOW:
-            if len(self) >= MEMORY_WINDOWS:
-                self.clear()
-            self[key] = found
-        return found
-
-
-def align_window(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> tuple[str, int, int, bytes]:
-    """Groups and links of one window, whose two sides spell the same bytes.
-
-    Tokens are taken in the order of their ends; after the last token of either side that ends at a shared place a group closes.
-    """
-    ends_a, ends_b = (np.cumsum([len(spelled[i]) for i in ids]) for ids, spelled in ((a, a_bytes), (b, b_bytes)))
-    shared = np.intersect1d(ends_a, ends_b)
-    cut_a, cut_b = np.searchsorted(ends_a, shared, "right"), np.searchsorted(ends_b, shared, "right")
-    from_a, from_b = np.searchsorted(ends_a, shared), np.searchsorted(ends_b, shared)
-    groups, links = [], []
-    at_a = at_b = 0
-    for i, j, p, q in zip(cut_a.tolist(), cut_b.tolist(), from_a.tolist(), from_b.tolist()):
-        groups.append(f"{','.join(map(str, a[at_a:i]))}|{','.join(map(str, b[at_b:j]))}")
-        links += [(x, y) for x in a[p:i] for y in b[q:j]]
-        at_a, at_b = i, j
-    return ";".join(groups), len(groups), len(links), np.array(links, "<u4").tobytes()
+        self.shift = max(len(self.a.spelled), len(self.b.spelled))
+        self.named = [f"{i}{mark}" for mark in (",", "|", ";", "\n") for i in range(self.shift)]
+        self.windows: dict[tuple[bytes, bytes], tuple[str, int, bytes]] = {}  # by A ids and B ids: groups as text, their number, links
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
@@ -121,105 +106,138 @@ def tokenizer_pair(a_path: str, b_path: str) -> Pair:
 # ---- texts ----
 
 
-def anchored(pair: Pair, a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[list[tuple[str, int, int, bytes]]]:
-    """The aligned windows of each text of a chunk, whose two tokenisations spell the same bytes."""
-    wide_a, wide_b = (np.concatenate(parts or [np.zeros(0, "<u4")]) for parts in (a, b))
-    firsts = [np.cumsum([0, *(len(p) for p in parts)]) for parts in (a, b)]
-    starts, opens = [], []
-    for vocabulary, ids, first in ((pair.a, wide_a, firsts[0]), (pair.b, wide_b, firsts[1])):
-        size = vocabulary.sizes[ids]
-        start = np.cumsum(size) - size
-        mark = vocabulary.spaced[ids]
-        mark[first[:-1]] = True  # a text's first tokens begin together
-        opens.append(np.flatnonzero(mark))
-        starts.append(start[mark])
-    _, in_a, in_b = np.intersect1d(*starts, assume_unique=True, return_indices=True)
-    at_a, at_b = opens[0][in_a], opens[1][in_b]
-    texts = np.searchsorted(at_a, firsts[0]).tolist()
-    held_a, held_b = wide_a.tobytes(), wide_b.tobytes()
-    edge_a, edge_b = [*(4 * at_a).tolist(), len(held_a)], [*(4 * at_b).tolist(), len(held_b)]
-    known = pair.windows
-    found = [known[held_a[p:q], held_b[r:s]] for p, q, r, s in zip(edge_a, edge_a[1:], edge_b, edge_b[1:])]
-    for low, high in zip(texts, texts[1:]):
+class Chunk:
+    """Both tokenisations of some texts laid end to end, the places where both end a token, and the windows between anchors."""
+
+    def __init__(self, pair: Pair, a: list[np.ndarray], b: list[np.ndarray]) -> None:
+        self.pair = pair
+        self.a, self.b = (np.concatenate(parts or [np.zeros(0, "<u4")]) for parts in (a, b))
+        size_a, size_b = pair.a.sizes[self.a], pair.b.sizes[self.b]
+        ends_a, ends_b = np.cumsum(size_a), np.cumsum(size_b)
+        first_a, first_b = (np.cumsum([0, *(len(p) for p in parts)]) for parts in (a, b))
+        open_a, open_b = pair.a.spaced[self.a], pair.b.spaced[self.b]
+        open_a[first_a[:-1]] = open_b[first_b[:-1]] = True  # a text's first tokens begin together
+        open_a, open_b = np.flatnonzero(open_a), np.flatnonzero(open_b)
+        _, in_a, in_b = np.intersect1d((ends_a - size_a)[open_a], (ends_b - size_b)[open_b], assume_unique=True, return_indices=True)
+        self.edge_a, self.edge_b = np.r_[open_a[in_a], len(self.a)], np.r_[open_b[in_b], len(self.b)]
+        self.texts = np.searchsorted(self.edge_a, first_a).tolist()
+        self.ends = ends_a, ends_b
+
+    def keys(self) -> list[tuple[bytes, bytes]]:
+        """Per window its A ids and its B ids."""
+        held_a, held_b = self.a.tobytes(), self.b.tobytes()
+        edge_a, edge_b = (4 * self.edge_a).tolist(), (4 * self.edge_b).tolist()
+        return [(held_a[p:q], held_b[r:s]) for p, q, r, s in zip(edge_a, edge_a[1:], edge_b, edge_b[1:])]
+
+    def aligned(self, windows: np.ndarray) -> list[tuple[str, int, bytes]]:
+        """Groups as text, their number and the links, one a group, of some windows.
+
+        A token spells something, so each shared end closes one group of both sides. Groups are written A tokens first; the mark after an
+        id says what follows: the next id of its side, the other side, the next group, or the end of the window.
+        """
+        ends_a, ends_b = self.ends
+        place = np.searchsorted(ends_b, ends_a)  # both reach the same end, so there is a place for each
+        shut_a = np.flatnonzero(ends_b[place] == ends_a)
+        shut_b = place[shut_a]
+        after_a, after_b = np.r_[0, shut_a + 1], np.r_[0, shut_b + 1]  # first tokens of each group
+        group_a = np.repeat(np.arange(len(shut_a)), np.diff(after_a))
+        group_b = np.repeat(np.arange(len(shut_b)), np.diff(after_b))
+        shift = self.pair.shift
+        code_a, code_b = self.a.astype(np.int64), self.b.astype(np.int64)
+        code_a[shut_a] += shift
+        code_b[shut_b] += 2 * shift
+        code_b[self.edge_b[1:] - 1] += shift
+        codes = np.empty(len(code_a) + len(code_b), np.int64)
+        codes[np.arange(len(code_a)) + after_b[group_a]] = code_a
+        codes[np.arange(len(code_b)) + after_a[group_b + 1]] = code_b
+        low = self.edge_a + self.edge_b
+        begin, size = low[windows], low[windows + 1] - low[windows]
+        chosen = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        spelled = "".join(map(self.pair.named.__getitem__, codes[chosen].tolist())).split("\n")
+        links = np.column_stack([self.a[shut_a], self.b[shut_b]]).astype("<u4").tobytes()
+        edge = np.searchsorted(shut_a, self.edge_a)
+        first, last = edge[windows].tolist(), edge[windows + 1].tolist()
+        return [(text, q - p, links[8 * p : 8 * q]) for text, p, q in zip(spelled, first, last)]
+
+
+def anchored(pair: Pair, a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[list[tuple[str, int, bytes]]]:
+    """The aligned windows of each text of a chunk, whose two tokenisations spell the same bytes; those remembered are not aligned again."""
+    chunk = Chunk(pair, a, b)
+    keys = chunk.keys()
+    found = list(map(pair.windows.get, keys))
+    missing = [i for i, known in enumerate(found) if known is None]
+    fresh = {keys[i]: i for i in missing}
+    if fresh:
+        new = dict(zip(fresh, chunk.aligned(np.fromiter(fresh.values(), np.int64, len(fresh)))))
+        for i in missing:
+            found[i] = new[keys[i]]
+        if len(pair.windows) + len(new) > MEMORY_WINDOWS:
+            pair.windows.clear()
+        pair.windows.update(item for item in new.items() if len(item[0][0]) <= LONG_WINDOW)
+    for low, high in zip(chunk.texts, chunk.texts[1:]):
         yield found[low:high]
 
 
-def _chunks(texts: list[str]) -> Iterator[list[str]]:
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= CHUNK_CHARS:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
-def align_texts(pair: Pair, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, bytes]]:
-    """Per text: numbers of A tokens, B tokens, groups and links, the groups as text, and the links as pairs of 32-bit ids."""
-    for chunk in _chunks(texts):
-        spaced = [" " + t for t in chunk]
-        ids_a = [np.frombuffer(ids, "<u4") for ids in pair.encoder.encode(spaced)]
-        ids_b = pair.pieces.encode(chunk, num_threads=1)
-        whole = []
-        for i, text in enumerate(chunk):
-            data = spaced[i].encode()
-            if text and pair.b.joined(ids_b[i]) == data and pair.a.joined(ids_a[i].tolist()) == data:
-                whole.append(i)
-        windows = dict(zip(whole, anchored(pair, [ids_a[i] for i in whole], [np.array(ids_b[i], "<u4") for i in whole])))
-        for i in range(len(chunk)):
-            if i not in windows:
-                yield 0, 0, 0, 0, "", b""
-                continue
-            spelled, groups, links, held = zip(*windows[i])
-            yield len(ids_a[i]), len(ids_b[i]), sum(groups), sum(links), ";".join(spelled), b"".join(held)
+def align_texts(pair: Pair, texts: list[str]) -> Iterator[tuple[int, int, int, str, bytes]]:
+    """Per text: numbers of A tokens, B tokens and groups, the groups as text, and the links, one a group, as pairs of 32-bit ids."""
+    spaced = [" " + t for t in texts]
+    ids_a = [np.array(ids, "<u4") for ids in pair.bytes.encode_ordinary_batch(spaced, num_threads=1)]
+    ids_b = pair.pieces.encode(texts, num_threads=1)
+    whole = [i for i, t in enumerate(texts) if t and pair.b.joined(ids_b[i]) == spaced[i].encode()]  # A spells every text as it is
+    windows = dict(zip(whole, anchored(pair, [ids_a[i] for i in whole], [np.array(ids_b[i], "<u4") for i in whole])))
+    for i in range(len(texts)):
+        if i not in windows:
+            yield 0, 0, 0, "", b""
+            continue
+        spelled, groups, links = zip(*windows[i])
+        yield len(ids_a[i]), len(ids_b[i]), sum(groups), ";".join(spelled), b"".join(links)
 
 
 def aligned(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, groups: bool = False) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, groups_sha256, ``links`` (pairs of 32-bit ids, A first) and, if asked for, ``groups``."""
     paths = a_path or public_tokenizers.path(BYTE_BPE), b_path or public_tokenizers.path(PIECE_BPE)
 
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = pa.schema([
+        ("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")),
+        ("groups_sha256", pa.string()), ("links", pa.binary()), *([("groups", pa.string())] if groups else []),
+    ])
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizer_pair(*paths)
         for batch in batches:
-            rows, size = [], 0
-            for doc_id, (n_a, n_b, n_groups, n_links, spelled, links) in zip(batch["doc_id"], align_texts(pair, batch["text"].tolist())):
-                digest = hashlib.sha256(spelled.encode()).hexdigest() if n_a else ""
-                rows.append((doc_id, n_a, n_b, n_groups, n_links, digest, links, *([spelled] if groups else [])))
-                size += len(links) + len(spelled)
-                if size >= 8 * CHUNK_CHARS:
-                    yield framed(rows)
-                    rows, size = [], 0
-            yield framed(rows)
-
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links", *(["groups"] if groups else [])]
+            at = 0
+            for texts in text_slices(batch, rows=SLICE_ROWS):
+                n_a, n_b, n, spelled, links = zip(*align_texts(pair, texts))
+                digests = [hashlib.sha256(g.encode()).hexdigest() if k else "" for g, k in zip(spelled, n_a)]
+                columns = [batch.column("doc_id").slice(at, len(texts)), n_a, n_b, n, n, digests, links, *([spelled] if groups else [])]
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) if isinstance(c, (list, tuple)) else c for c, t in zip(columns, kind.types)], schema=kind)
+        pair.windows.clear()  # the worker goes on to other work
+        pa.default_memory_pool().release_unused()
 
-    def framed(rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=names)
-        return frame.astype({"doc_id": "Int64"})
-
-    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInPandas(compute, ALIGNED + ", groups string" * groups)
+    return id_and_text(docs).mapInArrow(compute, ALIGNED + ", groups string" * groups)
 
 
 # ---- counts over all texts ----
 
 
-def _pairs_of(links: bytes) -> np.ndarray:
-    """Each link as one number, the B id in its upper half."""
-    return np.frombuffer(links, "<i8")
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """A few rows at a time, with the row and the id pair of each of their links; a pair is one number, the B id in its upper half."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(at, SLICE_ROWS)
+            held = part.column("links").to_pylist()
+            yield part, np.repeat(np.arange(len(held)), [len(b) // 8 for b in held]), np.frombuffer(b"".join(held), "<i8")
 
 
 def pair_counts(found: DataFrame) -> DataFrame:
     """``(pair, n, best)``: how many links hold a pair of ids, and whether no pair with its B id has more."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            pair, n = np.unique(np.concatenate([_pairs_of(b) for b in batch["links"]] or [np.zeros(0, np.int64)]), return_counts=True)
-            yield pd.DataFrame({"pair": pair, "n": n})
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, links in _sliced(batches):
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, np.unique(links, return_counts=True))), ["pair", "n"])
 
-    counts = stored(found.select("links").mapInPandas(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    counts = stored(found.select("links").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     counts = counts.withColumn("b", F.shiftright("pair", 32))
     return counts.join(counts.groupBy("b").agg(F.max("n").alias("most")), "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
@@ -228,26 +246,24 @@ def _with_counts(found: DataFrame, counts: DataFrame) -> DataFrame:
     """``found`` with the counts of one part of the pairs added to ``n_best`` and ``count_sum``."""
     part = counts.toArrow()  # at most about PART_PAIRS rows
     pair, n, best = (part[c].to_numpy() for c in ("pair", "n", "best"))
+    if not len(pair):
+        return found
     order = np.argsort(pair)
     held = found.sparkSession.sparkContext.broadcast((pair[order], n[order], best[order]))
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = held.value
-        for batch in batches:
-            sizes = np.array([len(b) // 8 for b in batch["links"]], np.int64)
-            links = _pairs_of(b"".join(batch["links"]))
-            if len(pair) and len(links):
-                row = np.repeat(np.arange(len(batch)), sizes)
-                place = np.minimum(np.searchsorted(pair, links), len(pair) - 1)
-                mine = pair[place] == links
-                place, row = place[mine], row[mine]
-                sums = np.zeros((2, len(batch)), np.int64)
-                np.add.at(sums[0], row, best[place].astype(np.int64))
-                np.add.at(sums[1], row, n[place])
-                batch = batch.assign(n_best=batch["n_best"] + sums[0], count_sum=batch["count_sum"] + sums[1])
-            yield batch
-
-    return found.mapInPandas(add, found.schema)
+        for part, row, links in _sliced(batches):
+            place = np.minimum(np.searchsorted(pair, links), len(pair) - 1)
+            mine = pair[place] == links
+            row, place = row[mine], place[mine]
+            sums = {"n_best": np.zeros(part.num_rows, np.int64), "count_sum": np.zeros(part.num_rows, np.int64)}
+            np.add.at(sums["n_best"], row, best[place].astype(np.int64))
+            np.add.at(sums["count_sum"], row, n[place])
+            names = part.schema.names
+            yield pa.RecordBatch.from_arrays([pa.array(c.to_numpy() + sums[m]) if m in sums else c for m, c in zip(names, part.columns)], names)
+
+    return found.mapInArrow(add, found.schema)
 
 
 def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, part_pairs: int = PART_PAIRS) -> DataFrame:

@@ -1,6 +1,7 @@
 """Token alignment against a plain walk over all byte ranges."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -97,9 +98,18 @@ def test_windows_are_remembered_and_forgotten(monkeypatch, libraries):
     monkeypatch.setattr(A, "MEMORY_WINDOWS", 3)
     pair = A.Pair(P.path(A.BYTE_BPE), P.path(A.PIECE_BPE))
     texts = [t for t in TEXTS if t]
-    first = list(A.align_texts(pair, texts))
-    assert 0 < len(pair.windows) <= 3
-    assert first == list(A.align_texts(pair, texts))
+    together = list(A.align_texts(pair, texts))
+    assert together == [found for t in texts for found in A.align_texts(pair, [t])] == list(A.align_texts(pair, texts))
+
+
+def test_byte_ids_equal_the_library_of_the_vocabulary(libraries):
+    pair = A.Pair(P.path(A.BYTE_BPE), P.path(A.PIECE_BPE))
+    rng = random.Random(3)
+    points = [c for c in range(0x11000) if not 0xD800 <= c <= 0xDFFF]
+    texts = [t for t in TEXTS if t] + ["".join(f"x{chr(c)}y {chr(c)}{chr(c)} 1{chr(c)}  {chr(c)}\n" for c in points[i : i + 512]) for i in range(0, len(points), 512)]
+    texts += ["".join(rng.choice([" ", "  ", "a", "the", "'s", "é", "\n", "▁", "汉", ".", "ing", "\t", "1"]) for _ in range(60)) for _ in range(400)]
+    want = [f.ids for f in libraries[0].encode_batch(texts, add_special_tokens=False)]
+    assert pair.bytes.encode_ordinary_batch(texts, num_threads=1) == want
 
 
 def test_groups_and_links_are_the_real_output(spark, libraries):
@@ -108,9 +118,9 @@ def test_groups_and_links_are_the_real_output(spark, libraries):
     assert len(row.links) == 8 * row.n_links and row.groups.count(";") == row.n_groups - 1
 
 
-def test_tokens_that_spell_nothing_link_with_all_that_end_there():
-    text, groups, links, held = A.align_window([0, 1], [0, 2], [b"ab", b""], [b"ab", b"x", b""])
-    assert (text, groups, links) == ("0,1|0,2", 1, 4) and len(held) == 32
+def test_an_id_that_spells_nothing_is_an_error():
+    with pytest.raises(ValueError, match="no byte"):
+        A.Vocabulary([b"a", b""])
 
 
 def test_query_equals_a_plain_walk(spark, libraries):
