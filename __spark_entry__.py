@@ -18,13 +18,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from checks.oracle_sql import ORACLES  # noqa: E402
 from kitchenlight.operators.audits import count_checks, duplicate_count, orphan_count, union_checks  # noqa: E402
 from kitchenlight.plans import area, centroids, geo, marts, quality, serving, staging, warehouse  # noqa: E402
-from kitchenlight.plans.pipeline import run_geo, run_marts, run_warehouse, staging_report  # noqa: E402
+from kitchenlight.plans.pipeline import run_geo, run_marts, run_warehouse, staging_report, write_staging  # noqa: E402
 from kitchenlight.schemas import RAW_INSPECTION_HEADERS, contract_tables  # noqa: E402
 from kitchenlight.session import scratch_path  # noqa: E402
 from kitchenlight.sources import delimited, metadata  # noqa: E402
 from kitchenlight.sources import sample_binding as bind  # noqa: E402
 from kitchenlight.sources.manifest import landing_manifest  # noqa: E402
-from kitchenlight.sources.tables import read_table, write_table  # noqa: E402
+from kitchenlight.sources.tables import read_table, write_counted, write_table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 HOME = bind.DEFAULT_HOME_ZIP
@@ -49,11 +49,11 @@ def mart_store(spark: SparkSession, sf: str) -> str:
     place = (spark.sparkContext.applicationId, sf)
     if place not in _stores:
         out = scratch_path(spark, "marts")
-        write_table(bind.bind_inspections(spark, sf), out, "stg_inspections")
-        write_table(bind.bind_violations(spark, sf), out, "stg_violations")
-        run_warehouse(spark, out)
-        run_marts(spark, out)
-        run_geo(spark, out, bind.bind_zip_geo(spark, sf), HOME)
+        staged = {"stg_inspections": bind.bind_inspections(spark, sf), "stg_violations": bind.bind_violations(spark, sf)}
+        known = {name: write_counted(df, out, name).rows for name, df in staged.items()}
+        known |= run_warehouse(spark, out, known=known)
+        known |= run_marts(spark, out, known)
+        run_geo(spark, out, bind.bind_zip_geo(spark, sf), HOME, known)
         _stores[place] = out
     return _stores[place]
 
@@ -180,11 +180,11 @@ def staging_metadata(spark: SparkSession, sf: str) -> DataFrame:
         "area_inspections": bind.bind_raw_inspections(spark, sf),
         "area_violations": bind.bind_raw_violations(spark, sf),
     }
-    rows = {name: write_table(df, out, name) for name, df in tables.items()}
-    inspections = staging.stage_inspections(rows["area_inspections"])
-    violations = staging.stage_violations(rows["area_violations"])
+    landed = {name: write_counted(df, out, name) for name, df in tables.items()}
+    inspections, violations = write_staging(landed["area_inspections"].table, landed["area_violations"].table, out)
     path = scratch_path(spark, "staging_meta")
-    metadata.write_run_metadata(staging_report(rows, inspections, violations), path)
+    inputs = {f"{name}_rows": written.rows for name, written in landed.items()}
+    metadata.write_run_metadata(staging_report(spark, inputs, inspections, violations), path)
     meta = metadata.read_run_metadata(spark, path)
     return meta.select(
         "outputs.*",

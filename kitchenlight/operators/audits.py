@@ -48,6 +48,13 @@ def orphan_count(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     )
 
 
+def require_none(table: str, failures: Mapping[str, int]) -> None:
+    """Fail with the list of counted checks that found rows."""
+    bad = sorted(name for name, count in failures.items() if count > 0)
+    if bad:
+        raise AuditFailure("; ".join(f"{table}: {name} = {failures[name]}" for name in bad))
+
+
 def require_clean(checks: DataFrame) -> None:
     """Fail with the list of checks that found rows (one row per check is read)."""
     bad = checks.filter(F.col("failures") > 0).orderBy("table_name", "check_name").collect()

@@ -11,10 +11,13 @@ from kitchenlight.operators.ranking import top_rows
 from kitchenlight.schemas import column_names
 
 
+def geo_checks() -> dict[str, Column]:
+    return {"coordinates missing": F.count_if(F.col("lat").isNull() | F.col("lon").isNull())}
+
+
 def geo_audit(zip_geo: DataFrame) -> DataFrame:
     """Centroids without coordinates: ``(table_name, check_name, failures)``."""
-    missing = F.count_if(F.col("lat").isNull() | F.col("lon").isNull())
-    return count_checks(zip_geo, "dim_zip_geo", {"coordinates missing": missing})
+    return count_checks(zip_geo, "dim_zip_geo", geo_checks())
 
 
 def home_point(zip_geo: DataFrame, home_zip: str) -> DataFrame:
@@ -73,19 +76,19 @@ def dropped_zips(health: DataFrame, zip_geo: DataFrame, n: int = 10) -> DataFram
     return top_rows(missing, [F.col("facility_count").desc(), F.col("facility_zip5").asc()], n)
 
 
+def near_me_checks() -> dict[str, Column]:
+    """The hard counts of the near-me mart, by check."""
+    miles = F.col("distance_miles")
+    return {
+        "facility_key missing": F.count_if(F.col("facility_key").isNull()),
+        "distance_miles missing": F.count_if(miles.isNull()),
+        "distance_miles negative": F.count_if(miles < 0),
+    }
+
+
 def near_me_audit(near: DataFrame, health: DataFrame) -> DataFrame:
     """Hard checks on the mart and its row parity with the health mart."""
-    miles = F.col("distance_miles")
-    checks = count_checks(
-        near,
-        "mart_near_me",
-        {
-            "facility_key missing": F.count_if(F.col("facility_key").isNull()),
-            "distance_miles missing": F.count_if(miles.isNull()),
-            "distance_miles negative": F.count_if(miles < 0),
-        },
-    )
-    return union_checks(checks, row_parity(near, health))
+    return union_checks(count_checks(near, "mart_near_me", near_me_checks()), row_parity(near, health))
 
 
 def row_parity(near: DataFrame, health: DataFrame) -> DataFrame:

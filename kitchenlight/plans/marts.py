@@ -208,23 +208,26 @@ def index_stats(health: DataFrame) -> DataFrame:
     return quantiles.select(*[round_to(F.col(name), 2).alias(name) for name in quantiles.columns])
 
 
+def band_checks() -> dict[str, Column]:
+    """Facilities per index band and with little data, as aggregates."""
+    return _band_counts() | {"low_data": F.count_if("low_data_flag")}
+
+
 def index_bands(health: DataFrame) -> DataFrame:
     """One row: facilities per index band and with little data."""
-    return health.agg(
-        *[column.alias(name) for name, column in _band_counts().items()],
-        F.count_if("low_data_flag").alias("low_data"),
-    )
+    return health.agg(*[column.alias(name) for name, column in band_checks().items()])
+
+
+def mart_checks() -> dict[str, Column]:
+    """The hard counts of the facility mart, by check."""
+    index = F.col("cleanliness_index")
+    return {
+        "empty": (F.count(F.lit(1)) == 0).cast("int"),
+        "facility_key missing": F.count_if(F.col("facility_key").isNull()),
+        "cleanliness_index missing or out of range": F.count_if(index.isNull() | ~index.between(0, 100)),
+    }
 
 
 def mart_audit(health: DataFrame) -> DataFrame:
     """Hard checks on the facility mart: ``(table_name, check_name, failures)``."""
-    index = F.col("cleanliness_index")
-    return count_checks(
-        health,
-        "mart_facility_health",
-        {
-            "empty": (F.count(F.lit(1)) == 0).cast("int"),
-            "facility_key missing": F.count_if(F.col("facility_key").isNull()),
-            "cleanliness_index missing or out of range": F.count_if(index.isNull() | ~index.between(0, 100)),
-        },
-    )
+    return count_checks(health, "mart_facility_health", mart_checks())

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitchenlight.operators.audits import require_clean
+from kitchenlight.operators.audits import require_clean, require_none
 from kitchenlight.operators.quantiles import cross_one_row
 from kitchenlight.plans import area, centroids, geo, marts, quality, staging, warehouse
 from kitchenlight.schemas import contract_tables
@@ -24,7 +25,7 @@ from kitchenlight.sources.delimited import (
 )
 from kitchenlight.sources.manifest import landing_manifest, require_records
 from kitchenlight.sources.metadata import read_contracts, write_run_metadata
-from kitchenlight.sources.tables import read_table, write_table
+from kitchenlight.sources.tables import Written, read_table, write_counted, write_table
 
 
 @dataclass(frozen=True)
@@ -42,10 +43,15 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def _as_map(audit: DataFrame, name: str) -> DataFrame:
-    """The few audit rows of a stage as one nested metadata column."""
-    entry = F.struct("table_name", "check_name", "failures")
-    return audit.agg(F.sort_array(F.collect_list(entry)).alias(name))
+def _known(spark: SparkSession, name: str, figures: Mapping[str, int]) -> DataFrame:
+    """One row with figures that are known already as one struct column."""
+    fields = [F.lit(value).cast("long").alias(field) for field, value in figures.items()]
+    return spark.range(1).select(F.struct(*fields).alias(name))
+
+
+def _rows_of(tables: Mapping[str, DataFrame], known: Mapping[str, int] | None) -> dict[str, int]:
+    """Rows per table: as counted when it was written, else, for a stage that runs alone, from the files' footers."""
+    return {f"{name}_rows": known[name] if known and name in known else df.count() for name, df in tables.items()}
 
 
 def _pack(name: str, *frames: DataFrame) -> DataFrame:
@@ -54,79 +60,79 @@ def _pack(name: str, *frames: DataFrame) -> DataFrame:
     return row.select(F.struct(*row.columns).alias(name))
 
 
-def run_area(spark: SparkSession, inputs: Inputs, out: str) -> None:
-    """Landed CSV files to the raw rows of the area."""
+def run_area(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, int]:
+    """Landed CSV files to the raw rows of the area. Like the next stages, it returns the rows of the tables it wrote."""
     raw_inspections = read_extract(spark, inputs.inspections, (area.SERIAL, "FACILITY ZIP"), inputs.multi_line)
     raw_violations = read_extract(spark, inputs.violations, (area.SERIAL,), inputs.multi_line)
     # A few rows, kept: the check and the metadata below share one pass over the landed files.
     manifest = require_records(cut_lineage(landing_manifest({"inspections": raw_inspections, "violations": raw_violations})))
     seed = read_seed(spark, inputs.seed)
-    kept = write_table(area.area_inspections(raw_inspections, seed), out, "area_inspections")
-    kept_violations = write_table(area.area_violations(raw_violations, kept), out, "area_violations")
-    coverage = area.zip_coverage(kept, kept_violations)
+    kept = write_counted(area.area_inspections(raw_inspections, seed), out, "area_inspections")
+    kept_violations = write_counted(area.area_violations(raw_violations, kept.table), out, "area_violations")
+    coverage = area.zip_coverage(kept.table, kept_violations.table)
     # One row per ZIP: at most 100,000 rows, so one sorted file is fine.
     write_csv(coverage, f"{out}/zip_coverage", order_by=["zip"], single_file=True)
-    outputs = _pack("outputs", _count(kept, "inspection_rows"), _count(kept_violations, "violation_rows"))
+    outputs = _known(spark, "outputs", {"inspection_rows": kept.rows, "violation_rows": kept_violations.rows})
     landed = manifest.agg(F.sort_array(F.collect_list(F.struct(*manifest.columns))).alias("inputs"))
     write_run_metadata(cross_one_row(_count(seed, "seed_zip_count"), landed, outputs), f"{out}/area_meta")
+    return {"area_inspections": kept.rows, "area_violations": kept_violations.rows}
 
 
-def run_staging(spark: SparkSession, out: str) -> None:
-    """Area rows to typed staging tables."""
-    raw_inspections, raw_violations = (read_table(spark, out, name) for name in ("area_inspections", "area_violations"))
-    inspections = write_table(staging.stage_inspections(raw_inspections), out, "stg_inspections")
-    violations = write_table(staging.stage_violations(raw_violations), out, "stg_violations")
-    audit = staging.stage_audit(inspections, violations)
-    require_clean(staging.hard_stage_checks(audit))
-    report = staging_report({"area_inspections": raw_inspections, "area_violations": raw_violations}, inspections, violations, audit)
-    write_run_metadata(report, f"{out}/stg_meta")
-
-
-def staging_report(
-    raw: dict[str, DataFrame], inspections: DataFrame, violations: DataFrame, audit: DataFrame | None = None
-) -> DataFrame:
-    """The staging stage's metadata: rows in and out, NULLs per column, warnings, and every check."""
-    checks = staging.stage_audit(inspections, violations) if audit is None else audit
-
-    def failures(table: str, check: str) -> Column:
-        wanted = (F.col("table_name") == table) & (F.col("check_name") == check)
-        return F.max(F.when(wanted, F.col("failures")))
-
-    def missing(table: str, *columns: str) -> Column:
-        return F.struct(*[failures(table, f"{name} missing").alias(name) for name in columns]).alias(table)
-
-    nulls = checks.agg(
-        F.struct(
-            missing("stg_inspections", "serial_number", "activity_date", "score", "grade"),
-            missing("stg_violations", "serial_number", "violation_code", "points"),
-        ).alias("null_counts"),
-        F.struct(failures("stg_inspections", "score out of range").alias("scores_outside_0_100")).alias("warnings"),
+def write_staging(raw_inspections: DataFrame, raw_violations: DataFrame, out: str) -> tuple[Written, Written]:
+    """Both staging tables, their checks counted as they are written."""
+    return (
+        write_counted(staging.stage_inspections(raw_inspections), out, "stg_inspections", staging.inspection_checks()),
+        write_counted(staging.stage_violations(raw_violations), out, "stg_violations", staging.violation_checks()),
     )
-    inputs = _pack("inputs", *[_count(df, f"{name}_rows") for name, df in raw.items()])
-    counts = _pack("outputs", _count(inspections, "stg_inspections_rows"), _count(violations, "stg_violations_rows"))
-    return cross_one_row(inputs, counts, nulls, _as_map(checks, "checks"))
+
+
+def run_staging(spark: SparkSession, out: str, known: Mapping[str, int] | None = None) -> dict[str, int]:
+    """Area rows to typed staging tables; ``known`` has the rows of the tables read, where they are known."""
+    raw = {name: read_table(spark, out, name) for name in ("area_inspections", "area_violations")}
+    inspections, violations = write_staging(raw["area_inspections"], raw["area_violations"], out)
+    require_none("stg_inspections", staging.hard_counts(inspections.counts))
+    require_none("stg_violations", staging.hard_counts(violations.counts))
+    write_run_metadata(staging_report(spark, _rows_of(raw, known), inspections, violations), f"{out}/stg_meta")
+    return {"stg_inspections": inspections.rows, "stg_violations": violations.rows}
+
+
+def staging_report(spark: SparkSession, inputs: Mapping[str, int], inspections: Written, violations: Written) -> DataFrame:
+    """The staging stage's metadata: rows in and out, NULLs per column, warnings, and every check. No table is read for it."""
+    tables = {"stg_inspections": inspections, "stg_violations": violations}
+    wanted = {
+        "stg_inspections": ("serial_number", "activity_date", "score", "grade"),
+        "stg_violations": ("serial_number", "violation_code", "points"),
+    }
+
+    def missing(table: str) -> DataFrame:
+        return _known(spark, table, {c: tables[table].counts[f"{c} missing"] for c in wanted[table]})
+
+    nulls = _pack("null_counts", *map(missing, tables))
+    warnings = _known(spark, "warnings", {"scores_outside_0_100": inspections.counts["score out of range"]})
+    outputs = _known(spark, "outputs", {f"{name}_rows": written.rows for name, written in tables.items()})
+    listed = sorted((name, check, count) for name, written in tables.items() for check, count in written.counts.items())
+    entries = [
+        F.struct(F.lit(name).alias("table_name"), F.lit(check).alias("check_name"), F.lit(count).cast("long").alias("failures"))
+        for name, check, count in listed
+    ]
+    checks = spark.range(1).select(F.array(*entries).alias("checks"))
+    return cross_one_row(_known(spark, "inputs", inputs), outputs, nulls, warnings, checks)
 
 
 def run_warehouse(
-    spark: SparkSession, out: str, hot_key_rows: int = warehouse.HOT_KEY_ROWS
-) -> None:
+    spark: SparkSession, out: str, hot_key_rows: int = warehouse.HOT_KEY_ROWS, known: Mapping[str, int] | None = None
+) -> dict[str, int]:
     """Staging tables to the star schema."""
-    stg_inspections = read_table(spark, out, "stg_inspections")
-    stg_violations = read_table(spark, out, "stg_violations")
-    dim = write_table(warehouse.dim_facility(stg_inspections), out, "dim_facility")
+    staged = {name: read_table(spark, out, name) for name in ("stg_inspections", "stg_violations")}
+    stg_inspections, stg_violations = staged.values()
+    dim = write_counted(warehouse.dim_facility(stg_inspections), out, "dim_facility", warehouse.dim_checks())
+    require_none("dim_facility", dim.counts)
     # Clustered by date: the scoring window then reads the row groups of its own dates only.
     clustering: list[Column | str] = ["activity_date", "serial_number"]
-    inspections = write_table(warehouse.fct_inspection(stg_inspections), out, "fct_inspection", clustering)
-    require_clean(warehouse.core_audit(dim, inspections, stg_violations))
-    violations = write_table(
-        warehouse.fct_violation(stg_violations, inspections, hot_key_rows), out, "fct_violation"
-    )
-    counts = _pack(
-        "outputs",
-        _count(dim, "dim_facility_rows"),
-        _count(inspections, "fct_inspection_rows"),
-        _count(violations, "fct_violation_rows"),
-    )
+    inspections = write_counted(warehouse.fct_inspection(stg_inspections), out, "fct_inspection", cluster_by=clustering)
+    require_clean(warehouse.key_audit(dim.table, inspections.table, stg_violations))
+    violations = write_counted(warehouse.fct_violation(stg_violations, inspections.table, hot_key_rows), out, "fct_violation")
+    rows = {"dim_facility": dim.rows, "fct_inspection": inspections.rows, "fct_violation": violations.rows}
     top = warehouse.top_merged(stg_inspections)
     top_list = top.agg(
         F.sort_array(
@@ -135,59 +141,54 @@ def run_warehouse(
             )
         )["row"].alias("top_merged_facilities")
     )
-    report = _pack("facility_merge_report", warehouse.merge_report(stg_inspections, dim), top_list)
-    inputs = _pack(
-        "inputs", _count(stg_inspections, "stg_inspections_rows"), _count(stg_violations, "stg_violations_rows")
-    )
-    write_run_metadata(cross_one_row(inputs, counts, report), f"{out}/core_meta")
+    report = _pack("facility_merge_report", warehouse.merge_report(stg_inspections, dim.rows), top_list)
+    inputs = _known(spark, "inputs", _rows_of(staged, known))
+    outputs = _known(spark, "outputs", {f"{name}_rows": n for name, n in rows.items()})
+    write_run_metadata(cross_one_row(inputs, outputs, report), f"{out}/core_meta")
+    return rows
 
 
-def run_marts(spark: SparkSession, out: str) -> None:
+def run_marts(spark: SparkSession, out: str, known: Mapping[str, int] | None = None) -> dict[str, int]:
     """Star schema to the scored marts."""
-    dim, inspections, violations = (
-        read_table(spark, out, name) for name in ("dim_facility", "fct_inspection", "fct_violation")
-    )
-    health = write_table(marts.facility_health(inspections, violations, dim), out, "mart_facility_health")
-    require_clean(marts.mart_audit(health))
-    by_zip = write_table(
-        marts.zip_health(health).orderBy(*marts.zip_health_order()), out, "mart_zip_health"
-    )
-    repeat = write_table(
-        marts.repeat_offenders(health).orderBy(*marts.repeat_offenders_order()), out, "mart_repeat_offenders"
-    )
-    counts = _pack(
-        "outputs",
-        _count(health, "mart_facility_health_rows"),
-        _count(by_zip, "mart_zip_health_rows"),
-        _count(repeat, "mart_repeat_offenders_rows"),
-    )
-    inputs = _pack(
-        "inputs",
-        _count(dim, "dim_facility_rows"),
-        _count(inspections, "fct_inspection_rows"),
-        _count(violations, "fct_violation_rows"),
+    core = {name: read_table(spark, out, name) for name in ("dim_facility", "fct_inspection", "fct_violation")}
+    scored = marts.facility_health(core["fct_inspection"], core["fct_violation"], core["dim_facility"])
+    # The names these figures have in the metadata, in the order of the bands.
+    band_names = ("excellent_ge90", "good_70_89", "poor_lt70", "low_data_flag")
+    health = write_counted(scored, out, "mart_facility_health", marts.mart_checks() | marts.band_checks())
+    require_none("mart_facility_health", {name: health.counts[name] for name in marts.mart_checks()})
+    by_zip = write_counted(marts.zip_health(health.table).orderBy(*marts.zip_health_order()), out, "mart_zip_health")
+    repeat = write_counted(
+        marts.repeat_offenders(health.table).orderBy(*marts.repeat_offenders_order()), out, "mart_repeat_offenders"
     )
+    rows = {"mart_facility_health": health.rows, "mart_zip_health": by_zip.rows, "mart_repeat_offenders": repeat.rows}
+    outputs = _known(spark, "outputs", {f"{name}_rows": n for name, n in rows.items()})
+    inputs = _known(spark, "inputs", _rows_of(core, known))
     # The names these figures have in the metadata.
-    stats = _pack("cleanliness_index_stats", marts.index_stats(health).toDF("min", "p50", "p90", "max"))
-    bands = _pack(
-        "facility_distribution",
-        marts.index_bands(health).toDF("excellent_ge90", "good_70_89", "poor_lt70", "low_data_flag"),
-    )
-    write_run_metadata(cross_one_row(inputs, counts, stats, bands), f"{out}/marts_meta")
+    stats = _pack("cleanliness_index_stats", marts.index_stats(health.table).toDF("min", "p50", "p90", "max"))
+    figures = dict(zip(band_names, (health.counts[name] for name in marts.band_checks())))
+    bands = _known(spark, "facility_distribution", figures)
+    write_run_metadata(cross_one_row(inputs, outputs, stats, bands), f"{out}/marts_meta")
+    return rows
 
 
-def run_geo(spark: SparkSession, out: str, zip_geo: DataFrame, home_zip: str) -> None:
+def run_geo(
+    spark: SparkSession, out: str, zip_geo: DataFrame, home_zip: str, known: Mapping[str, int] | None = None
+) -> dict[str, int]:
     """Health mart and centroids to the distance-ranked mart."""
-    centroids = write_table(zip_geo, out, "dim_zip_geo")
-    require_clean(geo.geo_audit(centroids))
+    centroids = write_counted(zip_geo, out, "dim_zip_geo", geo.geo_checks())
+    require_none("dim_zip_geo", centroids.counts)
     health = read_table(spark, out, "mart_facility_health")
-    near = write_table(geo.near_me(health, centroids, home_zip), out, "mart_near_me")
-    geo.require_all_placed(near, health, centroids)
-    require_clean(geo.near_me_audit(near, health))
-    home = geo.home_point(centroids, home_zip).toDF("home_lat", "home_lon")
-    counts = (_count(centroids, "dim_zip_geo_rows"), _count(near, "mart_near_me_rows"))
-    row = cross_one_row(home, *counts).withColumn("home_zip", F.lit(home_zip.strip()))
+    scored = geo.near_me(health, centroids.table, home_zip)
+    near = write_counted(scored, out, "mart_near_me", geo.near_me_checks())
+    if near.rows != _rows_of({"mart_facility_health": health}, known)["mart_facility_health_rows"]:
+        geo.require_all_placed(near.table, health, centroids.table)
+    require_none("mart_near_me", near.counts)
+    home = geo.home_point(centroids.table, home_zip).toDF("home_lat", "home_lon")
+    rows = {"dim_zip_geo": centroids.rows, "mart_near_me": near.rows}
+    counts = [F.lit(n).cast("long").alias(f"{name}_rows") for name, n in rows.items()]
+    row = home.select("*", *counts, F.lit(home_zip.strip()).alias("home_zip"))
     write_run_metadata(row, f"{out}/geo_meta")
+    return rows
 
 
 def run_centroids(
@@ -258,8 +259,8 @@ def run_all(
 
     Serials with more than ``hot_key_rows`` violations are numbered by a distributed sort.
     """
-    run_area(spark, inputs, out)
-    run_staging(spark, out)
-    run_warehouse(spark, out, hot_key_rows)
-    run_marts(spark, out)
-    run_geo(spark, out, read_centroids(spark, inputs.centroids), home_zip)
+    known = run_area(spark, inputs, out)
+    known |= run_staging(spark, out, known)
+    known |= run_warehouse(spark, out, hot_key_rows, known)
+    known |= run_marts(spark, out, known)
+    run_geo(spark, out, read_centroids(spark, inputs.centroids), home_zip, known)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,37 +67,43 @@ def stage_violations(raw: DataFrame) -> DataFrame:
     )
 
 
+def _blank_serials() -> Column:
+    return F.count_if(F.col("serial_number").isNull() | (F.col("serial_number") == ""))
+
+
+def _no_rows() -> Column:
+    return (F.count(F.lit(1)) == 0).cast("int")
+
+
+def inspection_checks() -> dict[str, Column]:
+    """The counts of staged inspections, by check."""
+    score = F.col("score")
+    return {
+        "empty": _no_rows(),
+        "serial_number missing": _blank_serials(),
+        "activity_date missing": F.count_if(F.col("activity_date").isNull()),
+        "facility_zip5 not five digits": F.count_if(F.col("facility_zip5").isNull() | (F.length("facility_zip5") != 5)),
+        "score missing": F.count_if(score.isNull()),
+        "grade missing": F.count_if(F.col("grade").isNull()),
+        "score out of range": F.count_if(~score.between(0, 100)),
+    }
+
+
+def violation_checks() -> dict[str, Column]:
+    """The counts of staged violations, by check."""
+    return {
+        "empty": _no_rows(),
+        "serial_number missing": _blank_serials(),
+        "violation_code missing": F.count_if(F.col("violation_code").isNull()),
+        "points missing": F.count_if(F.col("points").isNull()),
+    }
+
+
 def stage_audit(inspections: DataFrame, violations: DataFrame) -> DataFrame:
     """Every staging count, one pass per table: ``(table_name, check_name, failures)``."""
-    blank_serial = F.count_if(F.col("serial_number").isNull() | (F.col("serial_number") == ""))
-    no_rows = (F.count(F.lit(1)) == 0).cast("int")
-    score = F.col("score")
     return union_checks(
-        count_checks(
-            inspections,
-            "stg_inspections",
-            {
-                "empty": no_rows,
-                "serial_number missing": blank_serial,
-                "activity_date missing": F.count_if(F.col("activity_date").isNull()),
-                "facility_zip5 not five digits": F.count_if(
-                    F.col("facility_zip5").isNull() | (F.length("facility_zip5") != 5)
-                ),
-                "score missing": F.count_if(score.isNull()),
-                "grade missing": F.count_if(F.col("grade").isNull()),
-                "score out of range": F.count_if(~score.between(0, 100)),
-            },
-        ),
-        count_checks(
-            violations,
-            "stg_violations",
-            {
-                "empty": no_rows,
-                "serial_number missing": blank_serial,
-                "violation_code missing": F.count_if(F.col("violation_code").isNull()),
-                "points missing": F.count_if(F.col("points").isNull()),
-            },
-        ),
+        count_checks(inspections, "stg_inspections", inspection_checks()),
+        count_checks(violations, "stg_violations", violation_checks()),
     )
 
 
@@ -105,3 +113,7 @@ STAGE_INFO = ("score missing", "grade missing", "score out of range", "violation
 
 def hard_stage_checks(audit: DataFrame) -> DataFrame:
     return audit.filter(~F.col("check_name").isin(*STAGE_INFO))
+
+
+def hard_counts(counts: Mapping[str, int]) -> dict[str, int]:
+    return {name: count for name, count in counts.items() if name not in STAGE_INFO}

@@ -96,18 +96,16 @@ def fct_violation(
     return result.unionByName(finished(number_by_sort(hot_rows, "serial_number", order), owners))
 
 
-def core_audit(dim: DataFrame, inspections: DataFrame, stg_violations: DataFrame) -> DataFrame:
-    """Null keys, duplicate keys and orphans: ``(table_name, check_name, failures)``."""
+def dim_checks() -> dict[str, Column]:
+    """What can be counted while the facility dimension is written."""
+    return {"facility_key missing": F.count_if(F.col("facility_key").isNull())}
+
+
+def key_audit(dim: DataFrame, inspections: DataFrame, stg_violations: DataFrame) -> DataFrame:
+    """Duplicate keys and orphans, which need a shuffle of the keys: ``(table_name, check_name, failures)``."""
     orphans = orphan_count(stg_violations, inspections, "serial_number")
     return union_checks(
-        count_checks(
-            dim,
-            "dim_facility",
-            {
-                "facility_key missing": F.count_if(F.col("facility_key").isNull()),
-                "facility_key duplicated": duplicate_count("facility_key"),
-            },
-        ),
+        count_checks(dim, "dim_facility", {"facility_key duplicated": duplicate_count("facility_key")}),
         count_checks(inspections, "fct_inspection", {"serial_number duplicated": duplicate_count("serial_number")}),
         orphans.select(
             F.lit("fct_violation").alias("table_name"), F.lit("orphan serial_number").alias("check_name"), "failures"
@@ -115,15 +113,23 @@ def core_audit(dim: DataFrame, inspections: DataFrame, stg_violations: DataFrame
     )
 
 
-def merge_report(stg_inspections: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+def core_audit(dim: DataFrame, inspections: DataFrame, stg_violations: DataFrame) -> DataFrame:
+    """Null keys, duplicate keys and orphans: ``(table_name, check_name, failures)``."""
+    return union_checks(count_checks(dim, "dim_facility", dim_checks()), key_audit(dim, inspections, stg_violations))
+
+
+def merge_report(stg_inspections: DataFrame, dim: DataFrame | int | None = None) -> DataFrame:
     """One row: distinct facility IDs, distinct keys, IDs merged away and their rate.
 
-    The facility dimension has one row per key, so with ``dim`` the keys are counted there.
+    The facility dimension has one row per key, so with ``dim``, or the number of its rows, that is the count of keys.
     """
     ids = stg_inspections.select("facility_id").distinct().agg(F.count("facility_id").alias("distinct_facility_id"))
     # Keys are counted as groups, so rows without a key form one group.
-    keys = stg_inspections.select(*_KEY_PARTS).distinct().select(_key().alias("facility_key")).distinct() if dim is None else dim
-    counted = cross_one_row(ids, keys.agg(F.count(F.lit(1)).alias("distinct_facility_key")))
+    if isinstance(dim, int):
+        counted = ids.withColumn("distinct_facility_key", F.lit(dim).cast("long"))
+    else:
+        keys = stg_inspections.select(*_KEY_PARTS).distinct().select(_key().alias("facility_key")).distinct() if dim is None else dim
+        counted = cross_one_row(ids, keys.agg(F.count(F.lit(1)).alias("distinct_facility_key")))
     merged = F.col("distinct_facility_id") - F.col("distinct_facility_key")
     rate = F.when(F.col("distinct_facility_id") > 0, merged / F.col("distinct_facility_id")).otherwise(F.lit(0.0))
     return counted.select(

@@ -2,30 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 class EmptyOutput(ValueError):
     """A stage wrote no rows."""
 
 
+@dataclass(frozen=True)
+class Written:
+    """A table as read back, its rows, and what else was counted while it was written."""
+
+    table: DataFrame
+    rows: int
+    counts: dict[str, int]
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 
 
-def write_table(df: DataFrame, folder: str, name: str, cluster_by: Sequence[Column | str] = ()) -> DataFrame:
-    """Overwrite a table, check that it is not empty, and return it as read back.
+def write_counted(
+    df: DataFrame, folder: str, name: str, counts: Mapping[str, Column] | None = None, cluster_by: Sequence[Column | str] = ()
+) -> Written:
+    """Overwrite a table, counting its rows and ``counts`` in the writing job itself; an empty table is an error.
 
+    ``counts`` are aggregates without DISTINCT. They are gathered in the tasks that write, each of which counts once
+    however often it is tried, so nothing is read again to check or report a table.
     With ``cluster_by`` the rows are range-partitioned and sorted on those columns, so later range
     filters skip row groups by their min/max statistics. End the list with a unique column: it splits
     a leading value that holds many rows.
     """
+    names = list(counts or {})
+    seen = Observation()
+    figures = [counts[c].cast("long").alias(f"m{i}") for i, c in enumerate(names)]
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    df.write.mode("overwrite").parquet(f"{folder}/{name}")
-    written = read_table(df.sparkSession, folder, name)
-    if written.isEmpty():
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *figures).write.mode("overwrite").parquet(f"{folder}/{name}")
+    found = seen.get
+    if not found.get("rows"):
         raise EmptyOutput(f"{name} has no rows")
-    return written
+    table = read_table(df.sparkSession, folder, name)
+    return Written(table, found["rows"], {c: found[f"m{i}"] for i, c in enumerate(names)})
+
+
+def write_table(df: DataFrame, folder: str, name: str, cluster_by: Sequence[Column | str] = ()) -> DataFrame:
+    """``write_counted`` where only the table is wanted."""
+    return write_counted(df, folder, name, cluster_by=cluster_by).table

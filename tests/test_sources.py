@@ -10,7 +10,7 @@ from kitchenlight.schemas import contract_tables
 from kitchenlight.sources import delimited, metadata
 from kitchenlight.sources import sample_binding as bind
 from kitchenlight.sources.manifest import EmptyDataset, landing_manifest, require_records
-from kitchenlight.sources.tables import EmptyOutput, write_table
+from kitchenlight.sources.tables import EmptyOutput, write_counted, write_table
 from kitchenlight.operators.audits import AuditFailure
 from tests.conftest import SMALL
 
@@ -165,3 +165,19 @@ def test_pipeline_stops_on_bad_dates(spark, tmp_path):
     inputs = landed(spark, tmp_path, F.lit(True))
     with pytest.raises(AuditFailure, match="activity_date missing"):
         run_all(spark, inputs, str(tmp_path / "out"), "91705")
+
+
+def test_counts_come_from_the_writing_job(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN NULL ELSE id END AS value").repartition(7)
+    counts = {"value missing": F.count_if(F.col("value").isNull()), "negative": F.count_if(F.col("value") < 0)}
+    before = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    written = write_counted(rows, str(tmp_path), "t", counts)
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs() - before
+    assert (written.rows, written.counts) == (1000, {"value missing": 100, "negative": 0})
+    assert written.table.count() == 1000
+    assert jobs <= 3  # the shuffle, the write, the schema of the files read back
+
+
+def test_counts_of_a_clustered_table_are_not_taken_twice(spark, tmp_path):
+    written = write_counted(spark.range(5000).selectExpr("id", "id % 7 AS day"), str(tmp_path), "t", {"late": F.count_if(F.col("day") > 3)}, ["day", "id"])
+    assert (written.rows, written.counts["late"]) == (5000, written.table.filter("day > 3").count())
