@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.llm.common import id_and_text, stored, text_slices
+from kitchenlight.llm.common import id_and_text, only, stored, text_slices
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -92,15 +92,9 @@ class Pair:
         self.windows: dict[tuple[bytes, bytes], tuple[str, int, bytes]] = {}  # by A ids and B ids: groups as text, their number, links
 
 
-_pairs: dict[tuple[str, str], Pair] = {}
-
-
 def tokenizer_pair(a_path: str, b_path: str) -> Pair:
-    """One pair per worker process and files."""
-    if (a_path, b_path) not in _pairs:
-        _pairs.clear()
-        _pairs[a_path, b_path] = Pair(a_path, b_path)
-    return _pairs[a_path, b_path]
+    """One pair per worker process and files, as long as the worker aligns."""
+    return only(f"pair {a_path} {b_path}", lambda: Pair(a_path, b_path))
 
 
 # ---- texts ----
@@ -234,6 +228,7 @@ def pair_counts(found: DataFrame) -> DataFrame:
     """``(pair, n, best)``: how many links hold a pair of ids, and whether no pair with its B id has more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(None)
         for _, _, links in _sliced(batches):
             yield pa.RecordBatch.from_arrays(list(map(pa.array, np.unique(links, return_counts=True))), ["pair", "n"])
 

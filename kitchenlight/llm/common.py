@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,30 @@ def text_slices(batch, column: str = "text", rows: int = 256) -> Iterator[list[s
         yield [t or "" for t in texts.slice(at, rows).to_pylist()]
 
 
+_held: dict[str, object] = {}
+
+
+def only(key: str | None, make: Callable[[], object] | None = None) -> object:
+    """The one large object a worker process keeps between tasks: ``make()`` once for ``key``; another key, or None, lets go of it.
+
+    Workers live on from stage to stage, so what one stage needed would otherwise stay beside what the next one needs.
+    """
+    if key not in _held:
+        if _held:
+            _held.clear()
+            _trim()
+        if key is not None:
+            _held[key] = make()
+    return _held.get(key)
+
+
+def _trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def sorted_runs(batches: Iterator, key: str, rows: int) -> Iterator:
     """Pandas frames of at least ``rows`` rows (the last may be smaller) that never split a run of equal ``key``."""
     import pandas as pd
@@ -85,6 +110,6 @@ def sorted_runs(batches: Iterator, key: str, rows: int) -> Iterator:
 
 
 __all__ = [
-    "DOCUMENT_COLUMNS", "bounded_sample", "cut_lineage", "document_columns", "documents", "id_and_text", "scratch_path", "sorted_runs", "stored",
+    "DOCUMENT_COLUMNS", "bounded_sample", "cut_lineage", "document_columns", "documents", "id_and_text", "only", "scratch_path", "sorted_runs", "stored",
     "text_slices",
 ]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.llm.common import id_and_text, text_slices
+from kitchenlight.llm.common import id_and_text, only, text_slices
 
 K1, B = 1.2, 0.75
 LEAST_SHARE = 0.7
@@ -68,6 +68,7 @@ class Index:
     """Items of one length class."""
 
     def __init__(self, items: list[tuple[int, str]], longest: int) -> None:
+        self.shortest = min((len(words_of(text)) for _, text in items), default=1)
         self.step = max(8, longest // 2)
         self.span = longest + self.step  # a stretch of ``longest`` words lies whole in some passage
         counts = [Counter(words_of(text)) for _, text in items]
@@ -145,11 +146,17 @@ class Index:
                 position += 1
             cursor[1] = position
 
+    def begins(self, count: int) -> np.ndarray:
+        """Where the passages of a text begin. A stretch that starts in ``[begin, begin + step)`` ends within ``span`` words; the items of
+        this class have at least ``shortest`` words, so none starts later than that before the end.
+        """
+        return np.arange(0, max(1, count - self.shortest + 1), self.step)
+
     def hits(self, words: list[bytes], least: float, overlap: float) -> Iterator[tuple]:
         """Verified ``(item_id, share, shingle, question and answer overlap)`` of all passages of a text."""
         numbers = self.numbers(words)
         listed = numbers.tolist()
-        begins = np.arange(0, max(1, len(words) - self.step), self.step)
+        begins = self.begins(len(words))
         total = np.r_[0.0, np.cumsum(self.bounds[numbers])]
         ends = np.minimum(begins + self.span, len(words))
         for i in np.flatnonzero(total[ends] - total[begins] >= least - 1e-9).tolist():
@@ -232,6 +239,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SHARE
         held = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def compute(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            only(None)
             for batch in batches:
                 clean = [not (t and text_hits(held.value, t, least, overlap)) for texts in text_slices(batch) for t in texts]
                 yield batch.filter(pa.array(clean, pa.bool_()))

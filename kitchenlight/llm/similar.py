@@ -9,6 +9,7 @@ is first compared with its least class only; pairs are listed just where that le
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.llm.common import stored
+from kitchenlight.llm.common import only, stored
 from kitchenlight.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -65,6 +66,7 @@ def _marks(docs: DataFrame) -> DataFrame:
     """``(doc_id, text_key, set_key, size, bands)`` per row."""
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        only(None)
         for batch in batches:
             sets = [shingle_set(t) for t in batch["text"]]
             yield pd.DataFrame({
@@ -98,11 +100,16 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     Null and empty texts are copies of each other; rows with a null ``doc_id`` take part, but an id is only null if a
     whole component has none; repeated rows each come back; extra columns are ignored; an empty table gives no rows.
     """
+    return _grouped(docs, least).select("doc_id", "component_id")
+
+
+def _grouped(docs: DataFrame, least: float) -> DataFrame:
+    """``(doc_id, text_key, root, component_id)`` per row; ``root`` names the component, also where ids repeat."""
     text = F.coalesce("text", F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     marks = stored(_marks(texts), "marks")
-    classes = marks.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    rows = classes.filter("size > 0").select(F.explode("bands").alias("bucket"), "set_key", "size", "text_key")
+    classes = marks.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("text_key", "doc_id")).alias("holder"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    rows = classes.filter("size > 0").select(F.explode("bands").alias("bucket"), "set_key", "size", "holder")
     heads = rows.groupBy("bucket").agg(F.min(F.struct("set_key", "size")).alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = stored(rows.join(heads, "bucket"), "buckets")
 
@@ -110,8 +117,10 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"set_key": batch["set_key"], "shingles": [shingle_set(t).tobytes() for t in batch["text"]]})
 
-    wanted = shared.select("set_key", "text_key").distinct()
-    kept = texts.select("text_key", "text").join(wanted, "text_key").dropDuplicates(["text_key"]).select("set_key", "text")
+    # one row holds the text of a class: of thousands of copies, only that one's text travels
+    wanted = shared.select("set_key", F.col("holder.text_key").alias("held_key"), F.col("holder.doc_id").alias("held_id")).distinct()
+    held = texts.join(wanted, (F.col("text_key") == F.col("held_key")) & F.col("doc_id").eqNullSafe(F.col("held_id")))
+    kept = held.dropDuplicates(["set_key"]).select("set_key", "text")
     sets = stored(kept.mapInPandas(shingles, "set_key long, shingles binary"), "shingles")
 
     def possible(a: str, b: str) -> Column:  # sets of too different sizes need no comparison
@@ -130,15 +139,20 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     ends = components(links)
     joined = classes.select("set_key", "first_id").join(ends, F.col("set_key") == F.col("node"), "left").select("set_key", "first_id", F.coalesce("root", "set_key").alias("root"))
     first = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = joined.join(first, "root").select("set_key", "component_id")
-    return marks.select("doc_id", "set_key").join(named, "set_key").select("doc_id", "component_id")
+    named = joined.join(first, "root").select("set_key", "root", "component_id")
+    return marks.select("doc_id", "text_key", "set_key").join(named, "set_key").select("doc_id", "text_key", "root", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One document of each group stays: the smallest ``doc_id``, of repeated ids one row. Columns are kept.
+    """One document of each group stays: the one with the smallest ``doc_id``, then the smallest text hash. Columns are kept.
 
-    Rows without a ``doc_id`` cannot be told apart and stay.
+    Groups are told apart by their texts: rows that share an id but not a text stand for themselves, and none is lost. Of rows equal in
+    id and text one stays. Rows without a ``doc_id`` cannot be told apart and stay.
     """
-    first = near_copies(docs.select("doc_id", "text"), least).filter("doc_id = component_id").select("doc_id").distinct()
-    numbered = docs.filter("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rows = _grouped(docs.select("doc_id", "text"), least).filter("doc_id IS NOT NULL")
+    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("first")).select("first.doc_id", "first.text_key")
+    key = f"text_key_{uuid.uuid4().hex}"
+    first = first.withColumnRenamed("text_key", key)
+    numbered = docs.filter("doc_id IS NOT NULL").withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    numbered = numbered.join(first, ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key])
     return numbered.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))

@@ -6,6 +6,8 @@ import os
 import re
 from collections.abc import Iterator
 
+from kitchenlight.llm.common import only
+
 MEMORY_STRETCHES = 500_000
 LONG_STRETCH = 48
 JOINED = 256
@@ -82,11 +84,6 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """One encoder per worker process and file, as long as the worker encodes."""
+    return only(f"encoder {path}", lambda: Encoder(path))

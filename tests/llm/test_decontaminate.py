@@ -32,7 +32,7 @@ def made(seed=2):
 def exhaustive(index, words, least):
     """Every passage against every item by plain sums."""
     out = []
-    for begin in range(0, max(1, len(words) - index.step), index.step):
+    for begin in index.begins(len(words)).tolist():
         have = set(words[begin : begin + index.span])
         for item in range(len(index.ids)):
             share = sum(p.impacts[p.items.index(item)] for t, n in index.terms.items() if t in have for p in [index.lists[n]] if item in p.items)
@@ -48,7 +48,7 @@ def test_search_finds_every_item_above_the_threshold(least):
         for text in docs[:12] + docs[40:44]:
             words = D.words_of(text)
             got = []
-            for begin in range(0, max(1, len(words) - index.step), index.step):
+            for begin in index.begins(len(words)).tolist():
                 own = {index.terms[w] for w in words[begin : begin + index.span] if w in index.terms}
                 got += [(begin, index.ids[i], round(s, 9)) for i, s in index.search(sorted(own), least)]
             assert sorted(got) == exhaustive(index, words, least)
@@ -81,3 +81,22 @@ def test_question_and_answer():
     assert D.question_and_answer("A b c. D e? F g.") == ([b"a", b"b", b"c", b"d", b"e"], [b"f", b"g"])
     assert D.question_and_answer("one two three four five") == ([b"one", b"two", b"three", b"four"], [b"five"])
     assert D.question_and_answer("") == ([], [])
+
+
+@pytest.mark.parametrize("size", range(1, 8))
+def test_short_items_are_found_at_every_place(size):
+    item = [f"item{i}" for i in range(size)]
+    indexes = D.build_indexes([(1, " ".join(item))])
+    for count in (size, 9, 16, 17, 40):
+        for at in range(count - size + 1):
+            words = [f"w{i}" for i in range(at)] + item + [f"w{i}" for i in range(at, count - size)]
+            assert [h[0] for h in D.text_hits(indexes, " ".join(words), D.LEAST_SHARE, D.LEAST_OVERLAP)] == [1], (count, at)
+
+
+def test_items_of_one_class_are_found_at_every_place():
+    items = [(n, " ".join(f"i{n}x{i}" for i in range(n))) for n in (9, 12, 16, 30)]
+    indexes = D.build_indexes(items)
+    for item, text in items:
+        for before in range(0, 60):
+            padded = " ".join([f"w{i}" for i in range(before)] + text.split() + ["end"] * (before % 3))
+            assert item in [h[0] for h in D.text_hits(indexes, padded, D.LEAST_SHARE, D.LEAST_OVERLAP)], (item, before)

@@ -76,3 +76,18 @@ def test_rows_without_an_id_and_empty_tables(spark):
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 2]
     assert similar.drop_near_copies(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_no_text_is_lost_with_a_repeated_id(spark):
+    base = [f"w{i}" for i in range(300)]
+    like = [*base[:299], "other"]
+    rows = [(1, " ".join(base)), (2, " ".join(like)), (2, "something else entirely and nothing like it"), (2, "a third text of this id"), (3, " ".join(base))]
+    for order in (rows, rows[::-1]):
+        kept = similar.drop_near_copies(spark.createDataFrame([(*r, "en", "s", 1) for r in order], SCHEMA)).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == sorted([rows[0], rows[2], rows[3]])
+
+
+def test_one_id_holds_a_third_of_the_rows(spark):
+    rows = [(7, f"text number {i} of the common id {i * i}") for i in range(60)] + [(100 + i, f"text number {i} of the common id {i * i}") for i in range(120)]
+    kept = similar.drop_near_copies(spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows[:60] + rows[120:])
