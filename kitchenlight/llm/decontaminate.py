@@ -68,7 +68,6 @@ class Index:
     """Items of one length class."""
 
     def __init__(self, items: list[tuple[int, str]], longest: int) -> None:
-        self.shortest = min((len(words_of(text)) for _, text in items), default=1)
         self.step = max(8, longest // 2)
         self.span = longest + self.step  # a stretch of ``longest`` words lies whole in some passage
         counts = [Counter(words_of(text)) for _, text in items]
@@ -147,10 +146,11 @@ class Index:
             cursor[1] = position
 
     def begins(self, count: int) -> np.ndarray:
-        """Where the passages of a text begin. A stretch that starts in ``[begin, begin + step)`` ends within ``span`` words; the items of
-        this class have at least ``shortest`` words, so none starts later than that before the end.
+        """Where the passages of a text begin: up to the first that reaches its end, which holds every stretch that starts later.
+
+        A stretch of up to the longest item's words that starts in ``[begin, begin + step)`` ends within ``span`` words.
         """
-        return np.arange(0, max(1, count - self.shortest + 1), self.step)
+        return np.arange(0, max(1, count - self.span + self.step), self.step)
 
     def hits(self, words: list[bytes], least: float, overlap: float) -> Iterator[tuple]:
         """Verified ``(item_id, share, shingle, question and answer overlap)`` of all passages of a text."""
