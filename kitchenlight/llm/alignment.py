@@ -22,7 +22,7 @@ from kitchenlight.llm.common import id_and_text, only, stored, text_slices
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
-MEMORY_WINDOWS = 60_000
+MEMORY_WINDOWS = 150_000
 LONG_WINDOW = 128  # bytes of A ids
 PART_PAIRS = 2_000_000
 SLICE_ROWS = 256
