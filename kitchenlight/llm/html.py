@@ -14,9 +14,11 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kitchenlight.llm.common import stored
 from kitchenlight.llm.ordering import with_neighbours
 
 # ---- lines of a page ----
@@ -198,15 +200,15 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
 
 
 def _partner(row) -> list[int] | None:
-    """Lines of the nearer neighbour of the host; a page with the very same lines is a copy and tells nothing."""
+    """Lines of the nearer neighbour of the host, which never has the very same lines."""
     options = []
     for side, near in ((1, row.before), (0, row.after)):
-        if near is not None and near["host"] == row.host and list(near["lines"]) != list(row.lines):
+        if near is not None and near["host"] == row.host:
             options.append((shared_path(near["path"], row.path), side, list(near["lines"])))
     return max(options)[2] if options else None
 
 
-LINES = "page_key long, host string, path string, lines array<int>, open array<int>"
+LINES = "page_key long, host string, path string, lines array<int>, lines_key long, open array<int>"
 
 
 def _keyed(pages: DataFrame) -> DataFrame:
@@ -219,7 +221,8 @@ def _keyed(pages: DataFrame) -> DataFrame:
 def shared_lines(pages: DataFrame) -> DataFrame:
     """``(page_key, shared, n_aligned)``: deletable lines shared with the nearest page, and how many lines align in all.
 
-    Only checksums of lines travel. Rows that are equal in id, URL and page count once.
+    Only checksums of lines travel. Pages of a host with the very same lines tell each other nothing, so the first of them by
+    path is aligned with the nearest page that differs, and what it shares holds for all of them: copies give equal texts, however many there are.
     """
 
     def checksums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,29 +232,32 @@ def shared_lines(pages: DataFrame) -> DataFrame:
                 lines = page_lines(page)
                 chosen, own = candidates(lines)
                 sums = [zlib.crc32(t.encode("utf-8", "surrogatepass")) - (1 << 31) for _, t in lines]
-                rows.append((key, *url_key(url), sums, [i for i in chosen if i not in own]))
-            yield pd.DataFrame(rows, columns=["page_key", "host", "path", "lines", "open"])
+                lines_key = xxhash.xxh64_intdigest("\n".join(t for _, t in lines).encode("utf-8", "surrogatepass"))
+                rows.append((key, *url_key(url), sums, lines_key - (1 << 63), [i for i in chosen if i not in own]))
+            yield pd.DataFrame(rows, columns=["page_key", "host", "path", "lines", "lines_key", "open"])
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
                 partner = _partner(row)
-                aligned = common_lines(list(row.lines), partner) if partner is not None else []
-                loose = set(row.open)
-                rows.append((row.page_key, [i for i in aligned if i in loose], len(aligned)))
-            yield pd.DataFrame(rows, columns=["page_key", "shared", "n_aligned"])
+                rows.append((row.host, row.lines_key, common_lines(list(row.lines), partner) if partner is not None else []))
+            yield pd.DataFrame(rows, columns=["host", "lines_key", "aligned"])
 
-    found = _keyed(pages).mapInPandas(checksums, LINES).dropDuplicates(["page_key"])
-    near = with_neighbours(found, ["host", "path", "page_key"], ["host", "path", "lines"])
-    return near.mapInPandas(align, "page_key long, shared array<int>, n_aligned int")
+    found = stored(_keyed(pages).mapInPandas(checksums, LINES), "lines")
+    first = found.groupBy("host", "lines_key").agg(F.min(F.struct("path", "page_key")).alias("first")).select("first.page_key")
+    apart = found.join(first, "page_key", "left_semi").dropDuplicates(["page_key"])
+    near = with_neighbours(apart, ["host", "path", "page_key"], ["host", "path", "lines"])
+    aligned = near.mapInPandas(align, "host string, lines_key long, aligned array<int>")
+    rows = found.select("page_key", "host", "lines_key", "open").dropDuplicates(["page_key"]).join(aligned, ["host", "lines_key"])
+    return rows.select("page_key", F.array_intersect("aligned", "open").alias("shared"), F.size("aligned").alias("n_aligned"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars (code points) and n_aligned (lines aligned with the nearest page).
 
     Blocks are in page order, their white space collapsed, joined by line breaks. A null or empty page gives an empty text; a null
-    URL is a host of its own; of equal lines each is aligned once; repeated rows come back each; extra columns are ignored.
+    URL is a host of its own; copies (equal lines) of a host lose the same lines; of equal lines each is aligned once; repeated rows come back each; extra columns are ignored.
     """
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -91,11 +91,26 @@ def test_lines_shared_with_the_nearest_page_go(spark):
     assert all(text[i] == f"Story {i} begins.\nIt goes on {i}." for i in range(40))
     assert text[50].startswith("Home\n")  # its only neighbour is empty
     assert (text[51], text[52], text[53]) == ("no url", "", "")
-    assert text[60] == text[61] and text[60].count("\n") == 5  # copies tell nothing
+    assert text[60] == text[61] and text[60].count("\n") == 5  # a host of copies only: they tell nothing
     assert [text[70 + i] for i in range(4)] == [f"Shared\nown {i}" for i in range(4)]  # the article is never cut
     assert H.main_text(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_copies_lose_what_the_nearest_other_page_shares(spark):
+    """Runs of copies, side by side, under one path and apart, between, before and after pages of their own."""
+    rows = [(i, f"http://a.org/n/{i:03d}", site(1 if i in (0, 1, 2, 10, 11, 12, 13, 14, 20, 39) else 100 + i), None, None) for i in range(40)]
+    rows += [(50 + i, f"http://b.org/x?page={i}", site(2), None, None) for i in range(300)]  # one path
+    rows += [(400, "http://b.org/y", site(3), None, None)]
+    rows += [(500 + i, f"http://c.org/{i}", "", None, None) for i in range(3)] + [(503, "http://c.org/z", site(4), None, None)]
+    found = H.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert Counter(r.page_id for r in found) == Counter(r[0] for r in rows)
+    number = {i: 1 if i in (0, 1, 2, 10, 11, 12, 13, 14, 20, 39) else 100 + i for i in range(40)}
+    number |= {50 + i: 2 for i in range(300)} | {400: 3}
+    text = {r.page_id: r.text for r in found}
+    assert all(text[i] == f"Story {n} begins.\nIt goes on {n}." for i, n in number.items())
+    assert [text[500 + i] for i in range(3)] == [""] * 3 and text[503].startswith("Home\n")
+
+
 def test_sample_pages_equal_a_plain_extraction(spark):
     import html
     import re
