@@ -42,20 +42,28 @@ def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_sample(rows: DataFrame, group: str, key: str, most: int, seed: int, most_groups: int = 10_000) -> DataFrame:
-    """At most ``most`` rows of each group, those whose hashed ``key`` is least; adds ``place``, their rank from 1.
+def bounded_sample(rows: DataFrame, group: str, keys: list[str], most: int, seed: int, most_groups: int = 10_000) -> DataFrame:
+    """At most ``most`` rows of each group, those whose hashed ``keys`` are least; adds ``place``, their rank from 1.
 
-    Groups are counted first, and only hashes low enough to hold slightly more than ``most`` rows reach the ranking: what a
+    Rows of one group with equal ``keys`` count as one row, so nothing that repeats, be it an id or a text, makes the sample larger. Groups
+    are counted first, and only hashes low enough to hold slightly more than ``most`` rows reach the ranking: what a
     task ranks does not grow with a group. Groups, such as languages, are few; more than ``most_groups`` are an error.
     """
-    counts = stored(rows.groupBy(group).agg(F.count("*").alias("group_rows")), "groups", files=1)
+    once = rows.dropDuplicates([group, *keys])
+    counts = stored(once.groupBy(group).agg(F.count("*").alias("group_rows")), "groups", files=1)
     if (found := counts.count()) > most_groups:
         raise ValueError(f"{found} groups; at most {most_groups} are expected")
-    mark = F.xxhash64(F.lit(seed), key)
+    mark = F.xxhash64(F.lit(seed), *keys)
     share = (most + 8 * most**0.5 + 50) / F.col("group_rows")
     near = rows.join(F.broadcast(counts), group).filter(F.shiftrightunsigned(mark, 11) / float(1 << 53) < share)
-    by_mark = Window.partitionBy(group).orderBy(mark, key)
-    return near.drop("group_rows").withColumn("place", F.row_number().over(by_mark)).filter(F.col("place") <= most)
+    by_mark = Window.partitionBy(group).orderBy(mark, *keys)
+    near = near.drop("group_rows").dropDuplicates([group, *keys])
+    return near.withColumn("place", F.row_number().over(by_mark)).filter(F.col("place") <= most)
+
+
+def text_key() -> Column:
+    """A hash of the text, null as empty; with the id it tells documents apart."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
 
 
 def text_slices(batch, column: str = "text", rows: int = 256) -> Iterator[list[str]]:
@@ -111,5 +119,5 @@ def sorted_runs(batches: Iterator, key: str, rows: int) -> Iterator:
 
 __all__ = [
     "DOCUMENT_COLUMNS", "bounded_sample", "cut_lineage", "document_columns", "documents", "id_and_text", "only", "scratch_path", "sorted_runs", "stored",
-    "text_slices",
+    "text_key", "text_slices",
 ]

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.llm.common import bounded_sample, stored
+from kitchenlight.llm.common import bounded_sample, stored, text_key
 
 DIMENSIONS = 4096
 SAMPLE_DOCUMENTS = 1500
@@ -94,11 +94,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """``(lang, text)``: at most ``documents`` labelled documents of each language, chosen by a hash of the id."""
-    usable = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    """``(lang, text)``: at most ``documents`` labelled documents of each language, chosen by a hash of id and text.
+
+    Rows equal in language, id and text are one document, so no id that repeats fills the sample or a task.
+    """
+    usable = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text", text_key())
     usable = usable.filter(~held_out(F.col("doc_id")))
-    ids = bounded_sample(usable.select("doc_id", "lang"), "lang", "doc_id", documents, 29)
-    return usable.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi").select("lang", "text")  # a bounded sample
+    keys = ["lang", "doc_id", "text_key"]
+    chosen = bounded_sample(usable.select(*keys), "lang", keys[1:], documents, 29).select(*keys)
+    return usable.join(F.broadcast(chosen), keys, "left_semi").dropDuplicates(keys).select("lang", "text")  # a bounded sample
 
 
 def cluster(rows: np.ndarray, clusters: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:

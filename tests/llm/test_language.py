@@ -81,6 +81,17 @@ def test_labels_are_no_input(spark, learned):
     assert with_labels == without
 
 
+def test_a_repeated_id_fills_neither_sample_nor_task(spark):
+    """One id holds two thirds of the rows, by one text or by many: the sample keeps its size and every language is learned."""
+    own = [(i, f"alba bala {i}", "aa", None, 1) for i in range(60)] + [(100 + i, f"ktik zuzu {i}", "bb", None, 1) for i in range(40)]
+    for again in ([(7001, "laba", "aa", None, 1)] * 200, [(7001, f"laba {i}", "aa", None, 1) for i in range(200)]):
+        table = spark.createDataFrame(own + again, SCHEMA)
+        for most in (10, 1000):
+            found = Counter(r.lang for r in L.sample(table, most).collect())
+            distinct = len({(r[0], r[1]) for r in own + again if r[2] == "aa" and zlib.crc32(str(r[0]).encode()) % 4 != 2})
+            assert found["aa"] == min(most, distinct) and 0 < found["bb"] <= most
+
+
 def test_nothing_to_learn(spark):
     assert L.identify(spark.createDataFrame([], SCHEMA)).count() == 0
     assert [r.lang_pred for r in L.identify(spark.createDataFrame([(1, "abc", None, None, None)], SCHEMA)).collect()] == ["und"]
