@@ -17,8 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.oracle_sql import ORACLES  # noqa: E402
 from kitchenlight.operators.audits import count_checks, duplicate_count, orphan_count, union_checks  # noqa: E402
-from kitchenlight.plans import area, centroids, geo, marts, quality, serving, staging, warehouse  # noqa: E402
-from kitchenlight.plans.pipeline import run_geo, run_marts, run_warehouse, staging_report, write_staging  # noqa: E402
+from kitchenlight.plans import area, centroids, geo, marts, quality, search, serving, staging, warehouse  # noqa: E402
+from kitchenlight.plans.pipeline import run_geo, run_marts, run_search, run_warehouse, staging_report, write_staging  # noqa: E402
 from kitchenlight.schemas import RAW_INSPECTION_HEADERS, contract_tables  # noqa: E402
 from kitchenlight.session import scratch_path  # noqa: E402
 from kitchenlight.sources import delimited, metadata  # noqa: E402
@@ -42,6 +42,7 @@ else:
     LLM_QUERIES = LLM_QUERIES | {"pipeline": pipeline_run}
 
 _stores: dict[tuple[str, str], str] = {}
+_indexes: dict[tuple[str, str], search.SearchIndex] = {}
 
 
 def mart_store(spark: SparkSession, sf: str) -> str:
@@ -58,6 +59,14 @@ def mart_store(spark: SparkSession, sf: str) -> str:
     return _stores[place]
 
 
+def possible_matches(spark: SparkSession, sf: str, text: str) -> DataFrame:
+    """The health mart's rows that can match a text; the search tables are built on first use."""
+    place = (spark.sparkContext.applicationId, sf)
+    if place not in _indexes:
+        _indexes[place] = run_search(spark, mart_store(spark, sf))
+    return search.possible_matches(_indexes[place], text)
+
+
 def stored(spark: SparkSession, sf: str, *names: str):
     folder = mart_store(spark, sf)
     tables = [read_table(spark, folder, name) for name in names]
@@ -340,11 +349,11 @@ def worst_facilities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_facilities(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.search_facilities(stored(spark, sf, "mart_facility_health"), SEARCH_TEXT)
+    return serving.search_facilities(possible_matches(spark, sf, SEARCH_TEXT), SEARCH_TEXT)
 
 
 def search_in_city(spark: SparkSession, sf: str) -> DataFrame:
-    health = stored(spark, sf, "mart_facility_health")
+    health = possible_matches(spark, sf, "mach_ne")
     return serving.search_facilities(
         health, "mach_ne", city="NATION_5", zip_code="91705", min_inspections=0, include_low_data=True
     )
@@ -356,7 +365,7 @@ def map_health(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def map_health_search(spark: SparkSession, sf: str) -> DataFrame:
-    health, zip_geo = stored(spark, sf, "mart_facility_health", "dim_zip_geo")
+    health, zip_geo = possible_matches(spark, sf, "nation_1"), stored(spark, sf, "dim_zip_geo")
     return serving.map_by_health(health, zip_geo, "search", "nation_1")
 
 
@@ -366,7 +375,7 @@ def map_near_me(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def map_near_me_search(spark: SparkSession, sf: str) -> DataFrame:
-    near, health = stored(spark, sf, "mart_near_me", "mart_facility_health")
+    near, health = stored(spark, sf, "mart_near_me"), possible_matches(spark, sf, "91703")
     return serving.map_by_near_me(near, health, "search", "91703")
 
 

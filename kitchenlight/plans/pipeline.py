@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kitchenlight.operators.audits import require_clean, require_none
 from kitchenlight.operators.quantiles import cross_one_row
-from kitchenlight.plans import area, centroids, geo, marts, quality, staging, warehouse
+from kitchenlight.plans import area, centroids, geo, marts, quality, search, staging, warehouse
 from kitchenlight.schemas import contract_tables
 from kitchenlight.session import cut_lineage
 from kitchenlight.sources.delimited import (
@@ -27,6 +27,9 @@ from kitchenlight.sources.manifest import landing_manifest, require_records
 from kitchenlight.sources.metadata import read_contracts, write_run_metadata
 from kitchenlight.sources.tables import Written, read_table, write_counted, write_table
 
+#: Columns that single facilities are looked up by.
+LOOKUP = ("facility_key",)
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -129,9 +132,10 @@ def run_warehouse(
     require_none("dim_facility", dim.counts)
     # Clustered by date: the scoring window then reads the row groups of its own dates only.
     clustering: list[Column | str] = ["activity_date", "serial_number"]
-    inspections = write_counted(warehouse.fct_inspection(stg_inspections), out, "fct_inspection", cluster_by=clustering)
+    inspections = write_counted(warehouse.fct_inspection(stg_inspections), out, "fct_inspection", cluster_by=clustering, lookup_by=LOOKUP)
     require_clean(warehouse.key_audit(dim.table, inspections.table, stg_violations))
-    violations = write_counted(warehouse.fct_violation(stg_violations, inspections.table, hot_key_rows), out, "fct_violation")
+    bound = warehouse.fct_violation(stg_violations, inspections.table, hot_key_rows)
+    violations = write_counted(bound, out, "fct_violation", lookup_by=LOOKUP)
     rows = {"dim_facility": dim.rows, "fct_inspection": inspections.rows, "fct_violation": violations.rows}
     top = warehouse.top_merged(stg_inspections)
     top_list = top.agg(
@@ -154,7 +158,7 @@ def run_marts(spark: SparkSession, out: str, known: Mapping[str, int] | None = N
     scored = marts.facility_health(core["fct_inspection"], core["fct_violation"], core["dim_facility"])
     # The names these figures have in the metadata, in the order of the bands.
     band_names = ("excellent_ge90", "good_70_89", "poor_lt70", "low_data_flag")
-    health = write_counted(scored, out, "mart_facility_health", marts.mart_checks() | marts.band_checks())
+    health = write_counted(scored, out, "mart_facility_health", marts.mart_checks() | marts.band_checks(), LOOKUP, LOOKUP)
     require_none("mart_facility_health", {name: health.counts[name] for name in marts.mart_checks()})
     by_zip = write_counted(marts.zip_health(health.table).orderBy(*marts.zip_health_order()), out, "mart_zip_health")
     repeat = write_counted(
@@ -179,7 +183,7 @@ def run_geo(
     require_none("dim_zip_geo", centroids.counts)
     health = read_table(spark, out, "mart_facility_health")
     scored = geo.near_me(health, centroids.table, home_zip)
-    near = write_counted(scored, out, "mart_near_me", geo.near_me_checks())
+    near = write_counted(scored, out, "mart_near_me", geo.near_me_checks(), lookup_by=LOOKUP)
     if near.rows != _rows_of({"mart_facility_health": health}, known)["mart_facility_health_rows"]:
         geo.require_all_placed(near.table, health, centroids.table)
     require_none("mart_near_me", near.counts)
@@ -191,6 +195,11 @@ def run_geo(
     return rows
 
 
+def run_search(spark: SparkSession, out: str, blocks: int = search.BLOCKS) -> search.SearchIndex:
+    """Health mart to the tables that text searches look up."""
+    return search.write_index(read_table(spark, out, "mart_facility_health"), out, blocks)
+
+
 def run_centroids(
     spark: SparkSession, seed: str, gazetteer: str, postal_file: str, overrides: str | None, out: str
 ) -> None:
@@ -264,3 +273,4 @@ def run_all(
     known |= run_warehouse(spark, out, hot_key_rows, known)
     known |= run_marts(spark, out, known)
     run_geo(spark, out, read_centroids(spark, inputs.centroids), home_zip, known)
+    run_search(spark, out)

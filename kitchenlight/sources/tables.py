@@ -27,7 +27,12 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def write_counted(
-    df: DataFrame, folder: str, name: str, counts: Mapping[str, Column] | None = None, cluster_by: Sequence[Column | str] = ()
+    df: DataFrame,
+    folder: str,
+    name: str,
+    counts: Mapping[str, Column] | None = None,
+    cluster_by: Sequence[Column | str] = (),
+    lookup_by: Sequence[str] = (),
 ) -> Written:
     """Overwrite a table, counting its rows and ``counts`` in the writing job itself; an empty table is an error.
 
@@ -36,13 +41,17 @@ def write_counted(
     With ``cluster_by`` the rows are range-partitioned and sorted on those columns, so later range
     filters skip row groups by their min/max statistics. End the list with a unique column: it splits
     a leading value that holds many rows.
+    With ``lookup_by`` each row group gets a Bloom filter of those columns (or, where a column has few values in it, its dictionary serves),
+    so a filter on one key skips the row groups without it, whatever the order of the rows.
     """
     names = list(counts or {})
     seen = Observation()
     figures = [counts[c].cast("long").alias(f"m{i}") for i, c in enumerate(names)]
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *figures).write.mode("overwrite").parquet(f"{folder}/{name}")
+    filters = {f"parquet.bloom.filter.enabled#{column}": "true" for column in lookup_by}
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *figures)
+    counted.write.mode("overwrite").options(**filters).parquet(f"{folder}/{name}")
     found = seen.get
     if not found.get("rows"):
         raise EmptyOutput(f"{name} has no rows")
@@ -50,6 +59,8 @@ def write_counted(
     return Written(table, found["rows"], {c: found[f"m{i}"] for i, c in enumerate(names)})
 
 
-def write_table(df: DataFrame, folder: str, name: str, cluster_by: Sequence[Column | str] = ()) -> DataFrame:
+def write_table(
+    df: DataFrame, folder: str, name: str, cluster_by: Sequence[Column | str] = (), lookup_by: Sequence[str] = ()
+) -> DataFrame:
     """``write_counted`` where only the table is wanted."""
-    return write_counted(df, folder, name, cluster_by=cluster_by).table
+    return write_counted(df, folder, name, cluster_by=cluster_by, lookup_by=lookup_by).table
