@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kitchenlight.operators import ordinals
+from kitchenlight.operators import ordinals, quantiles
 from kitchenlight.operators.audits import AuditFailure, count_checks, duplicate_count, orphan_count, require_clean
 from kitchenlight.operators.latest import pack_day_and_int, unpack_int
 from kitchenlight.operators.quantiles import exact_quantiles
@@ -62,6 +62,40 @@ def test_quantiles_of_values_inside_one_cell(spark):
     assert exact_quantiles(df, "x", {"q": 0.75}).first().q == pytest.approx(np.quantile(values, 0.75), abs=1e-13)
 
 
+def test_quantiles_far_outside_any_range_with_a_third_equal(spark, monkeypatch):
+    rng = random.Random(3)
+    values = [7.25] * 1000 + [rng.uniform(0, 100) for _ in range(900)] + [10.0 ** rng.randint(-300, 300) for _ in range(600)]
+    values += [-(10.0 ** rng.randint(-300, 300)) for _ in range(500)] + [5e-324, -5e-324, 0.0, -0.0, 1.7e308, -1.7e308]
+    fractions = {f"q{i}": i / 20 for i in range(21)}
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
+    want = df.agg(*[F.percentile("x", q).alias(name) for name, q in fractions.items()]).first()
+    for most in (1, 50, quantiles.RANK_VALUES):
+        monkeypatch.setattr(quantiles, "RANK_VALUES", most)
+        row = exact_quantiles(df, "x", fractions).first()
+        assert row.asDict() == pytest.approx(want.asDict(), rel=1e-12)
+
+
+def test_quantile_passes_end_in_ranges_of_few_values(spark, monkeypatch):
+    """Neighbouring doubles, each many times: all passes are needed, and none leaves more than two values to rank."""
+    near = [np.nextafter(3.0, 4.0), 3.0, np.nextafter(3.0, 2.0), 2.0000001, 3.9999999]
+    df = spark.createDataFrame([(float(v),) for v in near for _ in range(40)], "x double")
+    left = []
+    ranked = quantiles._ranked
+    monkeypatch.setattr(quantiles, "RANK_VALUES", 10)
+    monkeypatch.setattr(quantiles, "_ranked", lambda values, targets: left.extend(targets) or ranked(values, targets))
+    fractions = {f"q{i}": i / 10 for i in range(11)}
+    row = exact_quantiles(df, "x", fractions).first()
+    expanded = sorted(v for v in near for _ in range(40))
+    assert row.asDict() == {name: pytest.approx(np.quantile(expanded, q), rel=1e-15) for name, q in fractions.items()}
+    assert all(np.nextafter(t.low, t.high) == t.high for t in left)
+
+
+def test_quantiles_with_infinities_and_nan(spark):
+    values = [float("-inf")] * 3 + [1.0, 2.0, 3.0] + [float("inf")] * 2 + [float("nan")]
+    row = exact_quantiles(spark.createDataFrame([(v,) for v in values], "x double"), "x", {"a": 0.0, "b": 0.5, "c": 0.8, "d": 1.0}).first()
+    assert (row.a, row.b) == (float("-inf"), 2.0) and row.c == float("inf") and np.isnan(row.d)
+
+
 def test_quantiles_of_nothing(spark):
     assert exact_quantiles(spark.createDataFrame([], "x double"), "x", {"q": 0.5}).first().q is None
 
