@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.oracle_sql import ORACLES  # noqa: E402
 from kitchenlight.operators.audits import count_checks, duplicate_count, orphan_count, union_checks  # noqa: E402
+from kitchenlight.operators.sequence import descents, file_positions, positions  # noqa: E402
 from kitchenlight.plans import area, centroids, geo, marts, quality, search, serving, staging, warehouse  # noqa: E402
 from kitchenlight.plans.pipeline import run_geo, run_marts, run_search, run_warehouse, staging_report, write_staging  # noqa: E402
 from kitchenlight.schemas import RAW_INSPECTION_HEADERS, contract_tables  # noqa: E402
@@ -156,6 +157,27 @@ def dim_zip_geo(spark: SparkSession, sf: str) -> DataFrame:
     return delimited.read_centroids(spark, path)
 
 
+def dim_zip_geo_lines(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "centroids")
+    delimited.write_csv(bind.bind_zip_geo(spark, sf), path, order_by=["zip"])
+    return file_positions(delimited.read_centroid_lines(spark, path), "line_no").select("position", "zip")
+
+
+def order_descents(spark: SparkSession, sf: str) -> DataFrame:
+    orders = bind.table(spark, sf, "orders").orderBy("o_orderkey")
+    sold = descents(orders, "o_orderkey").withColumnRenamed("descents", "by_order")
+    return sold.crossJoin(F.broadcast(descents(orders, "o_custkey").withColumnRenamed("descents", "by_customer")))
+
+
+def required_columns(spark: SparkSession, sf: str) -> DataFrame:
+    needed = {
+        "orders": ("o_orderkey", "o_orderdate", "o_score", "o_grade"),
+        "lineitem": ("l_orderkey", "l_points"),
+        "nation": ("n_nationkey", "n_name"),
+    }
+    return delimited.lacking_columns({name: (bind.table(spark, sf, name), names) for name, names in needed.items()})
+
+
 def roundtrip_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "extract")
     delimited.write_csv(bind.bind_raw_inspections(spark, sf), path)
@@ -287,6 +309,14 @@ def repeat_offenders(spark: SparkSession, sf: str) -> DataFrame:
     return plain_decimals(found.orderBy(*marts.repeat_offenders_order()))
 
 
+def zip_health_order(spark: SparkSession, sf: str) -> DataFrame:
+    return positions(zip_health(spark, sf)).select("position", "facility_zip5")
+
+
+def repeat_offenders_order(spark: SparkSession, sf: str) -> DataFrame:
+    return positions(repeat_offenders(spark, sf)).select("position", "facility_key")
+
+
 def index_stats(spark: SparkSession, sf: str) -> DataFrame:
     return marts.index_stats(stored(spark, sf, "mart_facility_health"))
 
@@ -329,6 +359,10 @@ def city_list(spark: SparkSession, sf: str) -> DataFrame:
     return serving.value_list(stored(spark, sf, "mart_facility_health"), "facility_city")
 
 
+def city_list_order(spark: SparkSession, sf: str) -> DataFrame:
+    return positions(city_list(spark, sf))
+
+
 def zip_list(spark: SparkSession, sf: str) -> DataFrame:
     return serving.value_list(stored(spark, sf, "mart_facility_health"), "facility_zip5")
 
@@ -617,6 +651,12 @@ _QUERIES: dict[str, Query] = {
     "one_top_violations": one_top_violations,
     "run_metadata_top": run_metadata_top,
     "staging_metadata": staging_metadata,
+    "dim_zip_geo_lines": dim_zip_geo_lines,
+    "zip_health_order": zip_health_order,
+    "repeat_offenders_order": repeat_offenders_order,
+    "city_list_order": city_list_order,
+    "order_descents": order_descents,
+    "required_columns": required_columns,
 }
 
 

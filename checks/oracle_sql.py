@@ -919,3 +919,41 @@ ORACLES: dict[str, str] = {
         "merge_counts",
     ),
 }
+
+
+def _numbered(name: str, order: str, shown: str) -> str:
+    """The rows of another query's SQL with their place in its order."""
+    return f"SELECT row_number() OVER (ORDER BY {order}) AS position, {shown} FROM ({ORACLES[name]})"
+
+
+def _lacking(name: str, *needed: str) -> str:
+    """The needed columns that a table has not, read from its own header."""
+    return f"""
+        SELECT '{name}' AS source, (SELECT count(*) FROM {name}) AS row_count, column_name
+        FROM (SELECT unnest({list(needed)}) AS column_name)
+        WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE {name}))
+        """
+
+
+ORACLES |= {
+    "dim_zip_geo_lines": _numbered("dim_zip_geo", "zip", "zip"),
+    "zip_health_order": _numbered(
+        "zip_health", "avg_cleanliness_index DESC NULLS LAST, facility_zip5 NULLS LAST", "facility_zip5"
+    ),
+    "repeat_offenders_order": _numbered(
+        "repeat_offenders", "cleanliness_index NULLS LAST, facility_key NULLS LAST", "facility_key"
+    ),
+    "city_list_order": _numbered("city_list", "facility_city", "facility_city"),
+    "order_descents": """
+        SELECT count(*) FILTER (prior_order > o_orderkey) AS by_order, count(*) FILTER (prior_customer > o_custkey) AS by_customer
+        FROM (SELECT *, lag(o_orderkey) OVER w AS prior_order, lag(o_custkey) OVER w AS prior_customer
+            FROM orders WINDOW w AS (ORDER BY o_orderkey))
+        """,
+    "required_columns": "UNION ALL".join(
+        [
+            _lacking("orders", "o_orderkey", "o_orderdate", "o_score", "o_grade"),
+            _lacking("lineitem", "l_orderkey", "l_points"),
+            _lacking("nation", "n_nationkey", "n_name"),
+        ]
+    ),
+}

@@ -10,6 +10,11 @@ from kitchenlight.operators.audits import AuditFailure, count_checks, union_chec
 from kitchenlight.operators.ranking import top_rows
 from kitchenlight.schemas import column_names
 
+# The greatest index, which the mart's checks enforce.
+HIGHEST_INDEX = 100.0
+# Rings of 1, 2, 4, ... miles: the last ends beyond half the Earth's circumference, some 12,440 miles.
+RINGS = 14
+
 
 def geo_checks() -> dict[str, Column]:
     return {"coordinates missing": F.count_if(F.col("lat").isNull() | F.col("lon").isNull())}
@@ -110,13 +115,35 @@ def require_all_placed(near: DataFrame, health: DataFrame, zip_geo: DataFrame) -
     raise AuditFailure(f"facilities whose ZIP has no centroid: {listed}")
 
 
+def reach(rated: DataFrame, n: int) -> int | None:
+    """Miles from which on no facility can be among the ``n`` best scores, or None where all distances must be read.
+
+    A score is the index, at most 100, over one plus the distance. Rings of doubling width are read outwards, each by a
+    range of distances that the scan takes, until the n-th best score so far is above all that the next ring allows.
+    Equal scores beyond are not possible then. At most ``RINGS`` rings cover the Earth; n scores come to the driver.
+    """
+    best: list[float] = []
+    miles = F.col("distance_miles")
+    for ring in range(RINGS):
+        inner, outer = 2**ring - 1, 2 ** (ring + 1) - 1
+        found = rated.filter((miles >= float(inner)) & (miles < float(outer))).select("near_me_score")
+        scores = [r.near_me_score for r in top_rows(found, [F.col("near_me_score").desc()], n).collect()]
+        best = sorted(best + scores, reverse=True)[:n]
+        if len(best) == n and best[-1] > HIGHEST_INDEX * (1.0 / (1.0 + outer)):
+            return outer
+    return None
+
+
 def near_me_top(near: DataFrame, n: int = 25) -> DataFrame:
-    """Best facilities by distance-discounted index, rounded for display."""
-    ranked = top_rows(
-        near.filter(F.col("cleanliness_index").isNotNull()),
-        [F.col("near_me_score").desc_nulls_last(), F.col("facility_key").asc()],
-        n,
-    )
+    """Best facilities by distance-discounted index, rounded for display.
+
+    Only those within ``reach`` are read; the mart lies in order of the distance. The mart's checks hold the index to
+    0 to 100 and the distance to zero or more, on which the reach rests.
+    """
+    rated = near.filter(F.col("cleanliness_index").isNotNull())
+    limit = reach(rated, n)
+    close = rated if limit is None else rated.filter(F.col("distance_miles") < float(limit))
+    ranked = top_rows(close, [F.col("near_me_score").desc_nulls_last(), F.col("facility_key").asc()], n)
     return ranked.select(
         "facility_name",
         "facility_city",

@@ -183,7 +183,8 @@ def run_geo(
     require_none("dim_zip_geo", centroids.counts)
     health = read_table(spark, out, "mart_facility_health")
     scored = geo.near_me(health, centroids.table, home_zip)
-    near = write_counted(scored, out, "mart_near_me", geo.near_me_checks(), lookup_by=LOOKUP)
+    order = ["distance_miles", "facility_key"]
+    near = write_counted(scored, out, "mart_near_me", geo.near_me_checks(), cluster_by=order, lookup_by=LOOKUP)
     if near.rows != _rows_of({"mart_facility_health": health}, known)["mart_facility_health_rows"]:
         geo.require_all_placed(near.table, health, centroids.table)
     require_none("mart_near_me", near.counts)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,20 @@ def require_columns(df: DataFrame, needed: Iterable[str], what: str) -> DataFram
     return df
 
 
+def lacking_columns(sources: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """The columns that sources lack, as rows ``(source, row_count, column_name)``: the report behind ``require_columns``.
+
+    ``sources`` maps a name to a frame and the columns it must have. ``row_count`` tells what would be refused with it.
+    """
+
+    def lacking(name: str, df: DataFrame, needed: Sequence[str]) -> DataFrame:
+        missing = F.array(*[F.lit(column) for column in sorted(set(needed) - set(df.columns))]).cast("array<string>")
+        counted = df.agg(F.count(F.lit(1)).alias("row_count"))
+        return counted.select(F.lit(name).alias("source"), "row_count", F.explode(missing).alias("column_name"))
+
+    return reduce(DataFrame.unionByName, [lacking(name, *source) for name, source in sources.items()])
+
+
 def read_extract(spark: SparkSession, path: str, required: Sequence[str] = (), multi_line: bool = False) -> DataFrame:
     """CSV with a header row; every column is text, malformed rows fail the job.
 
@@ -91,11 +106,21 @@ def read_overrides(spark: SparkSession, path: str) -> DataFrame:
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
     """ZIP centroids from a CSV with the header ``zip,lat,lon``."""
     raw = require_columns(spark.read.csv(path, header=True, mode="FAILFAST"), ("zip", "lat", "lon"), path)
-    return raw.select(
+    return raw.select(*_centroid_columns())
+
+
+def read_centroid_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``read_centroids`` with ``line_no``, the place of each row in the files."""
+    raw = require_columns(spark.read.csv(path, header=True, mode="FAILFAST"), ("zip", "lat", "lon"), path)
+    return raw.select(*_centroid_columns(), _line_order().alias("line_no"))
+
+
+def _centroid_columns() -> list[Column]:
+    return [
         F.col("zip").cast("string").alias("zip"),
         F.col("lat").cast("double").alias("lat"),
         F.col("lon").cast("double").alias("lon"),
-    )
+    ]
 
 
 def _line_order() -> Column:
