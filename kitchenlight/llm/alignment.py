@@ -23,7 +23,8 @@ from kitchenlight.llm.common import id_and_text, only, stored, text_slices
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 MEMORY_WINDOWS = 150_000
-LONG_WINDOW = 128  # bytes of A ids
+LONG_WINDOW = 256  # bytes of its ids
+B_MARK = np.uint32(1 << 31)
 PART_PAIRS = 2_000_000
 SLICE_ROWS = 256
 SPACE = "▁"
@@ -89,7 +90,7 @@ class Pair:
         self.b = Vocabulary([bytes([int(t[3:5], 16)]) if self.pieces.is_byte(i) else t.replace(SPACE, " ").encode() for i, t in named])
         self.shift = max(len(self.a.spelled), len(self.b.spelled))
         self.named = [f"{i}{mark}" for mark in (",", "|", ";", "\n") for i in range(self.shift)]
-        self.windows: dict[tuple[bytes, bytes], tuple[str, int, bytes]] = {}  # by A ids and B ids: groups as text, their number, links
+        self.windows: dict[bytes, tuple[str, bytes]] = {}  # by A ids, then marked B ids: groups as text, and links
 
 
 def tokenizer_pair(a_path: str, b_path: str) -> Pair:
@@ -117,14 +118,16 @@ class Chunk:
         self.texts = np.searchsorted(self.edge_a, first_a).tolist()
         self.ends = ends_a, ends_b
 
-    def keys(self) -> list[tuple[bytes, bytes]]:
-        """Per window its A ids and its B ids."""
-        held_a, held_b = self.a.tobytes(), self.b.tobytes()
-        edge_a, edge_b = (4 * self.edge_a).tolist(), (4 * self.edge_b).tolist()
-        return [(held_a[p:q], held_b[r:s]) for p, q, r, s in zip(edge_a, edge_a[1:], edge_b, edge_b[1:])]
+    def keys(self) -> list[bytes]:
+        """Per window the tuple of its A ids and its B ids, as bytes: the B ids follow, marked by their highest bit."""
+        ids = np.empty(len(self.a) + len(self.b), "<u4")
+        ids[np.arange(len(self.a)) + np.repeat(self.edge_b[:-1], np.diff(self.edge_a))] = self.a
+        ids[np.arange(len(self.b)) + np.repeat(self.edge_a[1:], np.diff(self.edge_b))] = self.b | B_MARK
+        held, edge = ids.tobytes(), (4 * (self.edge_a + self.edge_b)).tolist()
+        return [held[p:q] for p, q in zip(edge, edge[1:])]
 
-    def aligned(self, windows: np.ndarray) -> list[tuple[str, int, bytes]]:
-        """Groups as text, their number and the links, one a group, of some windows.
+    def aligned(self, windows: np.ndarray) -> list[tuple[str, bytes]]:
+        """Groups as text and the links, one a group, of some windows.
 
         A token spells something, so each shared end closes one group of both sides. Groups are written A tokens first; the mark after an
         id says what follows: the next id of its side, the other side, the next group, or the end of the window.
@@ -151,10 +154,10 @@ class Chunk:
         links = np.column_stack([self.a[shut_a], self.b[shut_b]]).astype("<u4").tobytes()
         edge = np.searchsorted(shut_a, self.edge_a)
         first, last = edge[windows].tolist(), edge[windows + 1].tolist()
-        return [(text, q - p, links[8 * p : 8 * q]) for text, p, q in zip(spelled, first, last)]
+        return [(text, links[8 * p : 8 * q]) for text, p, q in zip(spelled, first, last)]
 
 
-def anchored(pair: Pair, a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[list[tuple[str, int, bytes]]]:
+def anchored(pair: Pair, a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[list[tuple[str, bytes]]]:
     """The aligned windows of each text of a chunk, whose two tokenisations spell the same bytes; those remembered are not aligned again."""
     chunk = Chunk(pair, a, b)
     keys = chunk.keys()
@@ -167,7 +170,7 @@ def anchored(pair: Pair, a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[l
             found[i] = new[keys[i]]
         if len(pair.windows) + len(new) > MEMORY_WINDOWS:
             pair.windows.clear()
-        pair.windows.update(item for item in new.items() if len(item[0][0]) <= LONG_WINDOW)
+        pair.windows.update(item for item in new.items() if len(item[0]) <= LONG_WINDOW)
     for low, high in zip(chunk.texts, chunk.texts[1:]):
         yield found[low:high]
 
@@ -183,8 +186,9 @@ def align_texts(pair: Pair, texts: list[str]) -> Iterator[tuple[int, int, int, s
         if i not in windows:
             yield 0, 0, 0, "", b""
             continue
-        spelled, groups, links = zip(*windows[i])
-        yield len(ids_a[i]), len(ids_b[i]), sum(groups), ";".join(spelled), b"".join(links)
+        spelled, parts = zip(*windows[i])
+        links = b"".join(parts)
+        yield len(ids_a[i]), len(ids_b[i]), len(links) // 8, ";".join(spelled), links
 
 
 def aligned(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, groups: bool = False) -> DataFrame:
