@@ -184,6 +184,15 @@ def roundtrip_csv(spark: SparkSession, sf: str) -> DataFrame:
     return delimited.read_extract(spark, path, RAW_INSPECTION_HEADERS)
 
 
+def roundtrip_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "broken_extract")
+    name = F.concat("FACILITY NAME", F.lit('\n"'), "SERIAL NUMBER", F.lit('",\n'))
+    raw = bind.bind_raw_inspections(spark, sf)
+    broken = F.when(F.col("SERIAL NUMBER").endswith("7"), name).otherwise(F.col("FACILITY NAME"))
+    delimited.write_csv(raw.withColumn("FACILITY NAME", broken), path)
+    return delimited.read_extract(spark, path, RAW_INSPECTION_HEADERS, multi_line=True)
+
+
 def roundtrip_parquet(spark: SparkSession, sf: str) -> DataFrame:
     clustering = ["activity_date", "serial_number"]
     return write_table(bind.bind_inspections(spark, sf), scratch_path(spark, "rows"), "stg_inspections", clustering)
@@ -657,6 +666,7 @@ _QUERIES: dict[str, Query] = {
     "city_list_order": city_list_order,
     "order_descents": order_descents,
     "required_columns": required_columns,
+    "roundtrip_breaks": roundtrip_breaks,
 }
 
 

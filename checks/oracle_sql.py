@@ -944,6 +944,12 @@ ORACLES |= {
         "repeat_offenders", "cleanliness_index NULLS LAST, facility_key NULLS LAST", "facility_key"
     ),
     "city_list_order": _numbered("city_list", "facility_city", "facility_city"),
+    "roundtrip_breaks": _with(
+        """SELECT * REPLACE (nullif("SCORE", '') AS "SCORE", CASE WHEN "SERIAL NUMBER" LIKE '%7'
+            THEN concat("FACILITY NAME", chr(10), '"', "SERIAL NUMBER", '",', chr(10)) ELSE "FACILITY NAME" END AS "FACILITY NAME")
+        FROM raw_insp""",
+        "raw_insp",
+    ),
     "order_descents": """
         SELECT count(*) FILTER (prior_order > o_orderkey) AS by_order, count(*) FILTER (prior_customer > o_custkey) AS by_customer
         FROM (SELECT *, lag(o_orderkey) OVER w AS prior_order, lag(o_custkey) OVER w AS prior_customer

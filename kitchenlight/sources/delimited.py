@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kitchenlight.functions import digits_only
+from kitchenlight.sources.quoted import line_order, quoted_records
 
 
 class SchemaError(ValueError):
@@ -41,19 +42,16 @@ def lacking_columns(sources: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> D
 def read_extract(spark: SparkSession, path: str, required: Sequence[str] = (), multi_line: bool = False) -> DataFrame:
     """CSV with a header row; every column is text, malformed rows fail the job.
 
-    By default a record is one line, so one huge file is read by many tasks; a quoted line break then breaks the
-    record, and the job fails. With ``multi_line`` quoted line breaks are read, each file by one task: such extracts
-    should land as many files.
+    By default a record is one line; a quoted line break then breaks the record, and the job fails. With ``multi_line``
+    quoted line breaks are read, at the price of one shuffle of the lines. Either way one huge file is read by many tasks.
     """
-    df = spark.read.csv(
-        path,
-        header=True,
-        escape='"',
-        multiLine=multi_line,
-        mode="FAILFAST",
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    options = {"escape": '"', "mode": "FAILFAST", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df = spark.read.csv(path, header=True, **options)
+    if multi_line:
+        layout = ", ".join("`{}` string".format(name.replace("`", "``")) for name in df.columns)
+        shown = {name: str(value).lower() if isinstance(value, bool) else value for name, value in options.items()}
+        parsed = F.from_csv("record", layout, shown | {"multiLine": "true"})
+        df = quoted_records(spark, path).select(parsed.alias("fields")).select("fields.*")
     return require_columns(df, required, path)
 
 
@@ -100,7 +98,7 @@ def read_seed(spark: SparkSession, path: str, exactly_five: bool = False) -> Dat
 def read_overrides(spark: SparkSession, path: str) -> DataFrame:
     """Override rules ``zip, method, neighbors`` with ``line_no``, their order in the file."""
     rules = require_columns(read_extract(spark, path), ("zip", "method", "neighbors"), path)
-    return rules.select("zip", "method", "neighbors", _line_order().alias("line_no"))
+    return rules.select("zip", "method", "neighbors", line_order().alias("line_no"))
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
@@ -112,7 +110,7 @@ def read_centroids(spark: SparkSession, path: str) -> DataFrame:
 def read_centroid_lines(spark: SparkSession, path: str) -> DataFrame:
     """``read_centroids`` with ``line_no``, the place of each row in the files."""
     raw = require_columns(spark.read.csv(path, header=True, mode="FAILFAST"), ("zip", "lat", "lon"), path)
-    return raw.select(*_centroid_columns(), _line_order().alias("line_no"))
+    return raw.select(*_centroid_columns(), line_order().alias("line_no"))
 
 
 def _centroid_columns() -> list[Column]:
@@ -123,15 +121,6 @@ def _centroid_columns() -> list[Column]:
     ]
 
 
-def _line_order() -> Column:
-    """Position of a row in its source: file, then split, then row inside the split."""
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-
-
 def _read_tsv(spark: SparkSession, path: str, **options: object) -> DataFrame:
     return spark.read.csv(
         path, sep="\t", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **options
@@ -144,7 +133,7 @@ def read_gazetteer(spark: SparkSession, path: str, wanted: DataFrame) -> DataFra
     Tab-separated with a header whose cells may be padded. Of several rows for a code the last one counts.
     """
     raw = _read_tsv(spark, path, header=True)
-    raw = raw.select("*", _line_order().alias("line_order"))
+    raw = raw.select("*", line_order().alias("line_order"))
     raw = raw.toDF(*[name.strip() for name in raw.columns])
     require_columns(raw, ("GEOID", "INTPTLAT", "INTPTLONG"), path)
     point = F.struct(
@@ -162,7 +151,7 @@ def read_postal_file(spark: SparkSession, path: str, wanted: DataFrame) -> DataF
     # Positions of the code and the coordinates.
     code_at, lat_at, lon_at = 1, 9, 10
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(12)])
-    raw = _read_tsv(spark, path, schema=schema, mode="PERMISSIVE").select("*", _line_order().alias("line_order"))
+    raw = _read_tsv(spark, path, schema=schema, mode="PERMISSIVE").select("*", line_order().alias("line_order"))
     lat, lon = F.trim(f"c{lat_at}"), F.trim(f"c{lon_at}")
     rows = raw.filter((lat != "") & (lon != "")).select(
         F.trim(f"c{code_at}").alias("zip"), F.struct(lat.alias("lat"), lon.alias("lon")).alias("point"), "line_order"
