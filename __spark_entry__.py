@@ -190,7 +190,7 @@ def roundtrip_breaks(spark: SparkSession, sf: str) -> DataFrame:
     raw = bind.bind_raw_inspections(spark, sf)
     broken = F.when(F.col("SERIAL NUMBER").endswith("7"), name).otherwise(F.col("FACILITY NAME"))
     delimited.write_csv(raw.withColumn("FACILITY NAME", broken), path)
-    return delimited.read_extract(spark, path, RAW_INSPECTION_HEADERS, multi_line=True)
+    return delimited.read_broken_extract(spark, path, RAW_INSPECTION_HEADERS)
 
 
 def roundtrip_parquet(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,6 +16,7 @@ from kitchenlight.schemas import contract_tables
 from kitchenlight.session import cut_lineage
 from kitchenlight.sources.delimited import (
     read_centroids,
+    read_broken_extract,
     read_extract,
     read_gazetteer,
     read_overrides,
@@ -65,8 +66,9 @@ def _pack(name: str, *frames: DataFrame) -> DataFrame:
 
 def run_area(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, int]:
     """Landed CSV files to the raw rows of the area. Like the next stages, it returns the rows of the tables it wrote."""
-    raw_inspections = read_extract(spark, inputs.inspections, (area.SERIAL, "FACILITY ZIP"), inputs.multi_line)
-    raw_violations = read_extract(spark, inputs.violations, (area.SERIAL,), inputs.multi_line)
+    read = read_broken_extract if inputs.multi_line else read_extract
+    raw_inspections = read(spark, inputs.inspections, (area.SERIAL, "FACILITY ZIP"))
+    raw_violations = read(spark, inputs.violations, (area.SERIAL,))
     # A few rows, kept: the check and the metadata below share one pass over the landed files.
     manifest = require_records(cut_lineage(landing_manifest({"inspections": raw_inspections, "violations": raw_violations})))
     seed = read_seed(spark, inputs.seed)

@@ -13,6 +13,14 @@ from kitchenlight.functions import digits_only
 from kitchenlight.sources.quoted import line_order, quoted_records
 
 
+_EXTRACT_OPTIONS = {
+    "escape": '"',
+    "mode": "FAILFAST",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 class SchemaError(ValueError):
     """A source lacks the columns it must have."""
 
@@ -42,17 +50,22 @@ def lacking_columns(sources: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> D
 def read_extract(spark: SparkSession, path: str, required: Sequence[str] = (), multi_line: bool = False) -> DataFrame:
     """CSV with a header row; every column is text, malformed rows fail the job.
 
-    By default a record is one line; a quoted line break then breaks the record, and the job fails. With ``multi_line``
-    quoted line breaks are read, at the price of one shuffle of the lines. Either way one huge file is read by many tasks.
+    By default a record is one line, so one huge file is read by many tasks; a quoted line break then breaks the
+    record, and the job fails. With ``multi_line`` quoted line breaks are read, each file by one task and in its order;
+    ``read_broken_extract`` reads them by many tasks.
+    """
+    return require_columns(spark.read.csv(path, header=True, multiLine=multi_line, **_EXTRACT_OPTIONS), required, path)
+
+
+def read_broken_extract(spark: SparkSession, path: str, required: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``read_extract`` with ``multi_line``, in any order, each file read by many tasks.
+
+    It costs one shuffle of the lines. The header must be one line.
     """
-    options = {"escape": '"', "mode": "FAILFAST", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df = spark.read.csv(path, header=True, **options)
-    if multi_line:
-        layout = ", ".join("`{}` string".format(name.replace("`", "``")) for name in df.columns)
-        shown = {name: str(value).lower() if isinstance(value, bool) else value for name, value in options.items()}
-        parsed = F.from_csv("record", layout, shown | {"multiLine": "true"})
-        df = quoted_records(spark, path).select(parsed.alias("fields")).select("fields.*")
-    return require_columns(df, required, path)
+    names = spark.read.csv(path, header=True, **_EXTRACT_OPTIONS).columns
+    layout = ", ".join("`{}` string".format(name.replace("`", "``")) for name in names)
+    parsed = F.from_csv("record", layout, _EXTRACT_OPTIONS | {"multiLine": "true"}).alias("fields")
+    return require_columns(quoted_records(spark, path).select(parsed).select("fields.*"), required, path)
 
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[Column | str] = (), single_file: bool = False) -> None:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from kitchenlight.sources.delimited import read_extract
+from kitchenlight.sources.delimited import read_broken_extract
 from kitchenlight.sources.quoted import UnclosedQuote, quoted_records
 
 
@@ -32,7 +32,7 @@ def test_one_file_with_breaks_equals_the_whole_file_reader(spark, tmp_path, spli
     want = rows(spark.read.csv(path, header=True, escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False))
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        df = read_extract(spark, path, ["NO"], multi_line=True)
+        df = read_broken_extract(spark, path, ["NO"])
         assert rows(df) == want and len(want) == 401
         if split == "1k":
             assert spark.read.text(path).rdd.getNumPartitions() > 8
@@ -42,11 +42,11 @@ def test_one_file_with_breaks_equals_the_whole_file_reader(spark, tmp_path, spli
 
 def test_line_ends_of_other_systems(spark, tmp_path):
     path = written(tmp_path / "extract", ['A,B\r\n1,"x\ny"\r\n\r\n2,z\r\n'])
-    assert rows(read_extract(spark, path, multi_line=True)) == rows(spark.createDataFrame([("1", "x\ny"), ("2", "z")], "A string, B string"))
+    assert rows(read_broken_extract(spark, path)) == rows(spark.createDataFrame([("1", "x\ny"), ("2", "z")], "A string, B string"))
 
 
 def test_header_alone(spark, tmp_path):
-    assert read_extract(spark, written(tmp_path / "extract", ["A,B\n"]), multi_line=True).collect() == []
+    assert read_broken_extract(spark, written(tmp_path / "extract", ["A,B\n"])).collect() == []
 
 
 def test_unclosed_quote_fails_before_any_record(spark, tmp_path):
@@ -58,4 +58,4 @@ def test_unclosed_quote_fails_before_any_record(spark, tmp_path):
 def test_short_record_fails(spark, tmp_path):
     path = written(tmp_path / "extract", ['A,B\n1,"x\ny"\n"only\none"\n'])
     with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
-        read_extract(spark, path, multi_line=True).collect()
+        read_broken_extract(spark, path).collect()
