@@ -4,7 +4,8 @@ A text is the set of its runs of five words. Documents whose sets are equal are
 cost one row. A class has ``BANDS * BAND_ROWS`` least hash values; two classes that agree on a whole band meet in a bucket,
 which a pair of similarity 0.8 misses with a chance of about 5 in a million (a pair of 0.85 of 1 in 10**8). Pairs of a bucket
 are linked if their exact similarity is ``SIMILARITY`` or more, and linked classes are contracted to components. Each bucket
-is first compared with its least class only; pairs are listed just where that leaves a bucket in more than one component.
+is first compared with its least class only. Where that leaves a bucket in more than one component, its classes are compared
+with each other tile by tile inside the tasks: what they yield is one link per class and tile pair at most, never the pairs.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kitchenlight.llm.common import only, stored
+from kitchenlight.llm.common import only, sorted_runs, stored
 from kitchenlight.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -28,6 +29,8 @@ BANDS = 40
 BAND_ROWS = 6
 SEED = 42
 CHUNK = 2048
+TILE_CLASSES = 1024
+TILE_SHINGLES = 1 << 20
 
 _random = np.random.default_rng(SEED)
 _FACTORS = (_random.integers(0, 1 << 32, BANDS * BAND_ROWS, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -93,6 +96,55 @@ def _linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.distinct().join(one, "u").join(two, "v").mapInPandas(check, "u long, v long")
 
 
+def tile_links(sets: list[np.ndarray], bands: np.ndarray, band: int, roots: np.ndarray, tiles: np.ndarray, least: float) -> tuple[list[int], list[int]]:
+    """Links that connect, beyond ``roots``, what similar pairs of one bucket connect: at most one less than there are classes.
+
+    With two ``tiles`` only pairs across them count. A pair that shares an earlier band than ``band`` is left to that band's bucket,
+    and one whose ends are connected already is not compared.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    _, group = np.unique(roots, return_inverse=True)
+    across = tiles.min() != tiles.max()
+    one, two = [], []
+    for i in range(len(sets) - 1):
+        rest = np.arange(i + 1, len(sets))
+        fits = np.minimum(sizes[rest], sizes[i]) >= np.maximum(sizes[rest], sizes[i]) * least
+        rest = rest[fits & (group[rest] != group[i]) & ((tiles[rest] != tiles[i]) if across else True)]
+        rest = rest[~(bands[rest, :band] == bands[i, :band]).any(axis=1)]
+        if not len(rest):
+            continue
+        found = np.concatenate([sets[j] for j in rest])
+        shared = sets[i][np.minimum(np.searchsorted(sets[i], found), sizes[i] - 1)] == found
+        both = np.add.reduceat(shared.astype(np.int64), np.r_[0, np.cumsum(sizes[rest])[:-1]])
+        for j in rest[both / (sizes[i] + sizes[rest] - both) >= least].tolist():
+            if group[j] != group[i]:
+                group[group == group[j]] = group[i]
+                one.append(i)
+                two.append(j)
+    return one, two
+
+
+def _bucket_links(rows: DataFrame, sets: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """``(u, v)``: links between the components of each bucket; ``rows`` has bucket, band, set_key, size and root."""
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+    tiles = F.greatest(F.ceil(F.col("n") / TILE_CLASSES), F.ceil(F.col("total") / TILE_SHINGLES)).cast("int")
+    own = F.pmod(F.xxhash64("set_key"), F.col("tiles")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda other: F.xxhash64("bucket", F.least("own", other), F.greatest("own", other)))
+    dealt = rows.join(counts.select("bucket", tiles.alias("tiles")), "bucket").withColumn("own", own)
+    dealt = dealt.select(F.explode(pairs).alias("part"), "band", "own", "root", "set_key")
+    filled = dealt.join(sets, "set_key").join(classes.select("set_key", "bands"), "set_key")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in sorted_runs(batches, "part", 1):
+            for _, part in frame.groupby("part", sort=False):
+                held = [np.frombuffer(shingles, np.uint64) for shingles in part["shingles"]]
+                one, two = tile_links(held, np.stack(part["bands"].to_list()), int(part["band"].iloc[0]), part["root"].to_numpy(), part["own"].to_numpy(), least)
+                keys = part["set_key"].to_numpy()
+                yield pd.DataFrame({"u": keys[one], "v": keys[two]})
+
+    return filled.repartition("part").sortWithinPartitions("part").mapInPandas(compare, "u long, v long")
+
+
 def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``(doc_id, component_id)`` per row of ``docs``.
 
@@ -109,7 +161,7 @@ def _grouped(docs: DataFrame, least: float) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     marks = stored(_marks(texts), "marks")
     classes = marks.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("text_key", "doc_id")).alias("holder"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    rows = classes.filter("size > 0").select(F.explode("bands").alias("bucket"), "set_key", "size", "holder")
+    rows = classes.filter("size > 0").select(F.posexplode("bands").alias("band", "bucket"), "set_key", "size", "holder")
     heads = rows.groupBy("bucket").agg(F.min(F.struct("set_key", "size")).alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = stored(rows.join(heads, "bucket"), "buckets")
 
@@ -129,12 +181,10 @@ def _grouped(docs: DataFrame, least: float) -> DataFrame:
     to_head = shared.filter((F.col("set_key") != F.col("head.set_key")) & possible("size", "head.size"))
     links = stored(_linked(to_head.select(F.col("head.set_key").alias("u"), F.col("set_key").alias("v")), sets, least), "links")
     roots = components(links)
-    rooted = shared.join(roots, shared.set_key == roots.node, "left").select("bucket", "set_key", "size", F.coalesce("root", "set_key").alias("root"))
+    rooted = shared.join(roots, shared.set_key == roots.node, "left").select("bucket", "band", "set_key", "size", F.coalesce("root", "set_key").alias("root"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("bucket")
     left = stored(rooted.join(mixed, "bucket", "left_semi"), "mixed")
-    other = left.select("bucket", F.col("set_key").alias("v"), F.col("size").alias("v_size"), F.col("root").alias("v_root"))
-    apart = left.withColumnRenamed("set_key", "u").join(other, "bucket").filter((F.col("u") < F.col("v")) & (F.col("root") != F.col("v_root")) & possible("size", "v_size"))
-    links = links.unionByName(stored(_linked(apart.select("u", "v"), sets, least), "links"))
+    links = links.unionByName(stored(_bucket_links(left, sets, classes, least), "links"))
 
     ends = components(links)
     joined = classes.select("set_key", "first_id").join(ends, F.col("set_key") == F.col("node"), "left").select("set_key", "first_id", F.coalesce("root", "set_key").alias("root"))

@@ -91,3 +91,34 @@ def test_one_id_holds_a_third_of_the_rows(spark):
     rows = [(7, f"text number {i} of the common id {i * i}") for i in range(60)] + [(100 + i, f"text number {i} of the common id {i * i}") for i in range(120)]
     kept = similar.drop_near_copies(spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows[:60] + rows[120:])
+
+
+def one_word_apart(count, words=80, seed=5):
+    """Texts that each change one word of a common one: pairs that change the same word are alike to 0.88, the others to 0.77."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    return [" ".join(base[:at] + [f"new{i}"] + base[at + 1 :]) for i, at in enumerate(rng.choices(range(4, words - 4, 5), k=count))]
+
+
+def test_pairs_of_a_hot_bucket_are_not_listed(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate(one_word_apart(300))]
+    listed = []
+    linked = similar._linked
+
+    def counted(pairs, *rest):
+        listed.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(similar, "_linked", counted)
+    found = similar.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(listed) <= similar.BANDS * len(rows)  # all pairs are 44,850, and meet in several buckets
+    assert sorted((r.doc_id, r.component_id) for r in found) == sorted(zip([i for i, _ in rows], plain_components(rows)))
+
+
+@pytest.mark.parametrize("classes,shingles", [(7, 1 << 20), (1024, 500)])
+def test_tiles_lose_no_link(spark, monkeypatch, classes, shingles):
+    monkeypatch.setattr(similar, "TILE_CLASSES", classes)
+    monkeypatch.setattr(similar, "TILE_SHINGLES", shingles)
+    rows = [(i, t) for i, t in enumerate(one_word_apart(40) + edited())]
+    found = similar.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == sorted(zip([i for i, _ in rows], plain_components(rows)))
