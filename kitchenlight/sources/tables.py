@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+# Much of the tables is hexadecimal hashes, which the default codec leaves at twice the size they need.
+_CODEC = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+
+
 class EmptyOutput(ValueError):
     """A stage wrote no rows."""
 
@@ -51,7 +55,7 @@ def write_counted(
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     filters = {f"parquet.bloom.filter.enabled#{column}": "true" for column in lookup_by}
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *figures)
-    counted.write.mode("overwrite").options(**filters).parquet(f"{folder}/{name}")
+    counted.write.mode("overwrite").options(**filters).options(**_CODEC).parquet(f"{folder}/{name}")
     found = seen.get
     if not found.get("rows"):
         raise EmptyOutput(f"{name} has no rows")

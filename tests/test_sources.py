@@ -181,3 +181,9 @@ def test_counts_come_from_the_writing_job(spark, tmp_path):
 def test_counts_of_a_clustered_table_are_not_taken_twice(spark, tmp_path):
     written = write_counted(spark.range(5000).selectExpr("id", "id % 7 AS day"), str(tmp_path), "t", {"late": F.count_if(F.col("day") > 3)}, ["day", "id"])
     assert (written.rows, written.counts["late"]) == (5000, written.table.filter("day > 3").count())
+
+
+def test_hashes_are_stored_in_about_half_their_text(spark, tmp_path):
+    hashes = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("violation_key"))
+    write_table(hashes.coalesce(1), str(tmp_path), "hashes")
+    assert sum(part.stat().st_size for part in (tmp_path / "hashes").glob("*.parquet")) < 20_000 * 64 * 0.7
