@@ -1,9 +1,10 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model is over characters, order 5. Its n-gram counts, continuation counts, discounts and back-off weights are Spark
-tables dealt by n-gram, joined context by context. The finished tables are small: the trusted text they come from is a
-bounded sample. They are broadcast, and each task lays them out as arrays in which a character's probability is
-one look-up. Thresholds are quantiles of the perplexity of all trusted documents outside the sample, one per language.
+tables dealt by n-gram, joined context by context; they come from all trusted documents but the quarter held out. The finished
+model is broadcast, and each task lays it out as arrays in which a character's probability is one look-up. A model too large for that is
+cut into parts by the last two characters of a context, which decide alone what a place needs: a task adds up what each part gives for
+its own places. Thresholds are quantiles of the perplexity of the held-out trusted documents, one per language.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,9 +28,10 @@ ORDER = 5
 BITS = 7
 SYMBOLS = 1 << BITS
 OTHER, START = 0, 1
-TRAIN_DOCUMENTS = 2000
-TRAIN_CHARS = 2_000_000
 MOST_CONTEXTS = 150_000
+PART_ROWS = 3_000_000
+PART_CONTEXTS = 100_000
+BLOCK_BYTES = 64 << 20
 QUANTILE = 0.995
 MARGIN = 1.05
 EVIDENCE = 20.0
@@ -39,7 +43,7 @@ CHUNK_CHARS = 1 << 20
 _LOW = SYMBOLS - 1
 
 
-# ---- training sample ----
+# ---- training text ----
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -49,17 +53,27 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.filter("q = 1 AND t = 0").select("doc_id")
 
 
-def training_ids(docs: DataFrame, trusted: DataFrame, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CHARS) -> DataFrame:
-    """``(doc_id, text_key)`` of at most ``documents`` trusted documents of a language and about ``chars`` characters of text, by a hash of both.
+def _learned() -> Column:
+    """Whether an id is one of the three in four that the model may learn from."""
+    return F.pmod(F.xxhash64(F.lit(41), "doc_id"), F.lit(4)) != 0
 
-    Rows equal in id and text are one document; other texts of a trusted id are documents of their own. One trusted id in four is never
-    taken, so that there are always some to set the thresholds by.
+
+def training_ids(docs: DataFrame, trusted: DataFrame, documents: int | None = None, chars: int | None = None) -> DataFrame:
+    """``(doc_id, text_key)`` of the trusted documents that the model learns from: all but one trusted id in four.
+
+    That quarter sets the thresholds. Rows equal in id and text are one document; other texts of a trusted id are documents of their own.
+    Only where asked for, at most ``documents`` of a language, or about ``chars`` characters of text, are taken, by a hash of id and text.
     """
-    trusted = trusted.filter(F.pmod(F.xxhash64(F.lit(41), "doc_id"), F.lit(4)) != 0)
+    trusted = trusted.filter(_learned())
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.char_length("text").alias("size"), text_key())
-    first = bounded_sample(sized.join(trusted, "doc_id"), "lang", ["doc_id", "text_key"], documents, 17)
-    before = F.sum("size").over(Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
-    return first.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < chars).select("doc_id", "text_key").distinct()
+    taken = sized.join(trusted, "doc_id", "left_semi")
+    if documents is not None or chars is not None:
+        most = documents if documents is not None else docs.count()
+        first = bounded_sample(taken, "lang", ["doc_id", "text_key"], most, 17)
+        before = F.sum("size").over(Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+        limit = F.lit(True) if chars is None else F.col("before") < chars
+        taken = first.withColumn("before", F.coalesce(before, F.lit(0))).filter(limit)
+    return taken.select("doc_id", "text_key").distinct()
 
 
 # ---- model ----
@@ -106,10 +120,10 @@ def _count_tables(texts: DataFrame, table: np.ndarray) -> list[DataFrame]:
             yield pd.DataFrame({"code": code, "n": n})
 
     counts = texts.mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    tables = [stored(counts, "ngrams", files=16)]
+    tables = [stored(counts, "ngrams")]
     for order in range(ORDER - 1, 0, -1):
         shorter = F.col("code").bitwiseAND(F.lit((1 << BITS * order) - 1)).alias("code")
-        tables.insert(0, tables[0].groupBy(shorter).agg(F.count("*").alias("n")))
+        tables.insert(0, stored(tables[0].groupBy(shorter).agg(F.count("*").alias("n")), "ngrams"))
     return tables
 
 
@@ -137,15 +151,37 @@ def model_tables(texts: DataFrame, table: np.ndarray) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+def _pair() -> Column:
+    """The last two symbols of a row's context as one number; -1 for the contexts that are shorter."""
+    context = F.when(F.col("sort") > 0, F.shiftright("code", BITS)).otherwise(F.col("code"))
+    return F.when(F.abs("sort") >= 3, context.bitwiseAND(F.lit(SYMBOLS**2 - 1))).otherwise(-1).alias("pair")
+
+
+def part_ends(pairs: list[tuple[int, int, int]]) -> list[int]:
+    """Where parts of the model end, each a range of pairs; ``pairs`` lists ``(pair, rows, contexts of three)`` by pair.
+
+    A part has at most ``PART_ROWS`` rows and ``PART_CONTEXTS`` contexts, or one pair, which has no more than the alphabet allows.
+    """
+    ends, rows, contexts = [], 0, 0
+    for pair, more_rows, more_contexts in pairs:
+        rows, contexts = rows + more_rows, contexts + more_contexts
+        if rows > PART_ROWS or contexts > PART_CONTEXTS:
+            ends.append(pair)
+            rows, contexts = more_rows, more_contexts
+    return [end for end in ends if end > pairs[0][0]] + [SYMBOLS**2]
+
+
 class Model:
     """The model laid out as arrays: probabilities of all symbols after each context, back-off already worked in.
 
+    It answers for the places whose context ends in a pair of symbols from ``low`` up to ``high``; the rows need be those of these pairs only.
+
     Of the highest order, the ``MOST_CONTEXTS`` contexts with most successors are laid out; n-grams of the others are searched for
     in sorted arrays and worked out place by place, which gives the same probabilities in less memory.
     """
 
-    def __init__(self, table: np.ndarray, sort: np.ndarray, code: np.ndarray, value: np.ndarray) -> None:
-        self.table = table
+    def __init__(self, table: np.ndarray, sort: np.ndarray, code: np.ndarray, value: np.ndarray, low: int = 0, high: int = SYMBOLS**2) -> None:
+        self.table, self.low, self.high = table, low, high
         part = {k: (code[sort == k], value[sort == k]) for k in (*range(1, ORDER + 1), *range(-ORDER, 0))}
 
         def layer(order: int, contexts: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -182,39 +218,44 @@ class Model:
         five = np.zeros((0, SYMBOLS), np.float32)
         if len(self.fourth):
             five = layer(5, self.fourth, four[self.of_three[self.fourth & (SYMBOLS**3 - 1)] - 1])
-        self.of_four = np.zeros((len(self.third) + 1) * SYMBOLS, np.int32)
-        head = self.of_three[self.fourth >> BITS].astype(np.int64)
-        self.of_four[head * SYMBOLS + (self.fourth & _LOW)] = np.where(head > 0, np.arange(1, len(self.fourth) + 1), 0)
+        heads, head = np.unique(self.fourth >> BITS, return_inverse=True)  # these may end in a pair of another part
+        self.of_head = np.zeros(SYMBOLS**3, np.int32)
+        self.of_head[heads] = np.arange(1, len(heads) + 1)
+        self.of_four = np.zeros((len(heads) + 1) * SYMBOLS, np.int32)
+        self.of_four[(head + 1) * SYMBOLS + (self.fourth & _LOW)] = np.arange(1, len(self.fourth) + 1)
         self.logs = [np.log(rows, out=rows).reshape(-1) for rows in (three, four, five)]
 
-    def log_probabilities(self, symbols: np.ndarray) -> np.ndarray:
-        """Natural logarithm of each symbol's probability, from the ``ORDER - 1``-th on."""
+    def log_probabilities(self, symbols: np.ndarray) -> tuple[slice | np.ndarray, np.ndarray]:
+        """The places it answers for, counted from the ``ORDER - 1``-th symbol on, and the natural logarithm of the probability at each."""
         wide = symbols.astype(np.int32)
-        last = wide[4:]
         three = wide[:-2] << 2 * BITS | wide[1:-1] << BITS | wide[2:]
-        known = self.of_three[three]
-        four = self.of_four[known[:-2] * SYMBOLS + wide[3:-1]]
+        mine: slice | np.ndarray = slice(None)
+        if (self.low, self.high) != (0, SYMBOLS**2):
+            pair = three[1:-1] & (SYMBOLS**2 - 1)
+            mine = np.flatnonzero((pair >= self.low) & (pair < self.high))
+        head, context, before, last = three[:-2][mine], three[1:-1][mine], wide[3:-1][mine], wide[4:][mine]
+        four = self.of_four[self.of_head[head] * SYMBOLS + before]
         out = self.logs[2][np.maximum(four - 1, 0) * SYMBOLS + last] if len(self.fourth) else np.zeros(len(last), np.float32)
         rest = np.flatnonzero(four == 0)
         if len(rest):
-            near, end = known[1:-1][rest], last[rest]
-            shorter = self.logs[0][(three[1:-1][rest] & (SYMBOLS**2 - 1)) * SYMBOLS + end]
+            near, end = self.of_three[context[rest]], last[rest]
+            shorter = self.logs[0][(context[rest] & (SYMBOLS**2 - 1)) * SYMBOLS + end]
             longer = self.logs[1][np.maximum(near - 1, 0) * SYMBOLS + end] if len(self.third) else shorter
             out[rest] = np.where(near > 0, longer, shorter)
             if len(self.rare):
-                context = three[:-2][rest].astype(np.int64) << BITS | wide[3:-1][rest]
-                place = np.minimum(np.searchsorted(self.rare, context), len(self.rare) - 1)
-                there = np.flatnonzero(self.rare[place] == context)
-                gram = context[there] << BITS | end[there]
+                long = head[rest].astype(np.int64) << BITS | before[rest]
+                place = np.minimum(np.searchsorted(self.rare, long), len(self.rare) - 1)
+                there = np.flatnonzero(self.rare[place] == long)
+                gram = long[there] << BITS | end[there]
                 found = np.minimum(np.searchsorted(self.rare_grams, gram), len(self.rare_grams) - 1)
                 share = np.where(self.rare_grams[found] == gram, self.rare_share[found], 0.0)
                 out[rest[there]] = np.log(share + self.rare_weight[place[there]] * np.exp(out[rest[there]].astype(np.float64)))
-        return out
+        return mine, out
 
-    def cross_entropies(self, texts: list[str]) -> np.ndarray:
-        """Mean negative log probability per character of each text, NaN for empty ones; whole texts, in bounded chunks."""
+    def log_sums(self, texts: list[str]) -> np.ndarray:
+        """Sum of the log probabilities of the places of each text that it answers for; whole texts, in bounded chunks."""
         pad = np.full(ORDER - 1, START, np.uint8)
-        sums, sizes = np.zeros(len(texts)), np.array([len(t) for t in texts])
+        sums = np.zeros(len(texts))
         held: list[int] = []
         size = 0
         for i in range(len(texts)):
@@ -222,46 +263,87 @@ class Model:
             size += len(texts[i]) + ORDER - 1
             if size >= CHUNK_CHARS or i == len(texts) - 1:
                 parts = [np.concatenate([pad, symbols_of(texts[j], self.table)]) for j in held]
-                logs = self.log_probabilities(np.concatenate(parts))
+                mine, found = self.log_probabilities(np.concatenate(parts))
+                logs = np.zeros(sum(map(len, parts)) - (ORDER - 1), np.float32)
+                logs[mine] = found
                 ends = np.cumsum([len(p) for p in parts]) - (ORDER - 1)
                 for j, end in zip(held, ends.tolist()):
-                    sums[j] = logs[end - sizes[j] : end].sum(dtype=np.float64)
+                    sums[j] = logs[end - len(texts[j]) : end].sum(dtype=np.float64)
                 held, size = [], 0
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return np.where(sizes > 0, -sums / sizes, np.nan)
+        return sums
+
+    def cross_entropies(self, texts: list[str]) -> np.ndarray:
+        """Mean negative log probability per character of each text, NaN for empty ones."""
+        return _entropies(self.log_sums(texts), np.array([len(t) for t in texts]))
+
+
+def _entropies(sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(sizes > 0, -sums / sizes, np.nan)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of batches of at least ``least`` bytes; the last may be smaller."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= least:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 class Classifier:
-    """A trained model; its tables are broadcast and laid out once per worker process."""
+    """A trained model; its parts are broadcast and laid out in the worker processes, one at a time."""
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CHARS) -> None:
+    def __init__(self, docs: DataFrame, labels: DataFrame, documents: int | None = None, chars: int | None = None) -> None:
         spark = docs.sparkSession
         self.trusted = trusted_ids(labels)
-        self.sample = stored(training_ids(docs, self.trusted, documents, chars), "sample", files=1)
+        self.sample = stored(training_ids(docs, self.trusted, documents, chars), "sample")
         text = docs.filter("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key())
-        chosen = text.join(F.broadcast(self.sample), ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])  # a bounded sample
-        texts = stored(chosen.select("text"), "trusted", files=8)
+        # texts are dealt by id and text at every size: nothing that grows is broadcast, and a repeated row is dropped before it travels
+        once = text.filter(_learned()).dropDuplicates(["doc_id", "text_key"])
+        chosen = once.join(self.sample.hint("merge"), ["doc_id", "text_key"], "left_semi")
+        texts = stored(chosen.select("text"), "trusted")
         table = symbol_table(texts)
-        found = model_tables(texts, table).toArrow()  # at most ORDER rows per character of the sample
-        arrays = [found[name].to_numpy() for name in ("sort", "code", "value")]
-        self.key = uuid.uuid4().hex
-        self.held = spark.sparkContext.broadcast((table, *arrays))
+        model = stored(model_tables(texts, table).select("*", _pair()), "model")
+        sizes = model.filter("pair >= 0").groupBy("pair").agg(F.count("*").alias("n"), F.count_if(F.col("sort") == 1 - ORDER).alias("contexts"))
+        ends = part_ends([tuple(row) for row in sizes.orderBy("pair").collect()])  # at most SYMBOLS ** 2 rows
+        self.parts = []
+        for low, high in zip([0, *ends], ends):
+            found = model.filter((F.col("pair") < 0) | (F.col("pair") >= low) & (F.col("pair") < high)).select("sort", "code", "value").toArrow()
+            arrays = [found[name].to_numpy() for name in ("sort", "code", "value")]
+            self.parts.append((uuid.uuid4().hex, spark.sparkContext.broadcast((table, *arrays, low, high))))
+        self.held = self.parts[0][1]
 
     def scored(self, docs: DataFrame, entropy: str = "entropy") -> DataFrame:
         """``docs`` with the cross entropy per character; null where there is no text."""
-        held, key = self.held, self.key
+        parts = self.parts
+        least = BLOCK_BYTES if len(parts) > 1 else 0
+
+        def laid_out(held: Broadcast) -> Model:
+            model = Model(*held.value)
+            vars(held).pop("_value", None)  # the worker's copy; the broadcast stays
+            return model
 
         def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = only(key, lambda: Model(*held.value))
-            for batch in batches:
-                found = np.concatenate([model.cross_entropies(texts) for texts in text_slices(batch)] or [np.zeros(0)])
-                column = pa.array(found, pa.float64(), mask=np.isnan(found))
-                yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, entropy])
+            for block in _blocks(batches, least):
+                sums = [np.zeros(len(batch)) for batch in block]
+                for key, held in parts:
+                    model = only(key, lambda: laid_out(held))
+                    for batch, total in zip(block, sums):
+                        total += np.concatenate([model.log_sums(texts) for texts in text_slices(batch)] or [np.zeros(0)])
+                for batch, total in zip(block, sums):
+                    found = _entropies(total, pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy())
+                    column = pa.array(found, pa.float64(), mask=np.isnan(found))
+                    yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, entropy])
 
         return docs.mapInArrow(compute, docs.withColumn(entropy, F.lit(None).cast("double")).schema)
 
     def thresholds(self, scores: DataFrame, quantile: float = QUANTILE, least: int = LEAST_OWN) -> DataFrame:
-        """``(lang, threshold)`` from all trusted documents outside the sample; ``scores`` has doc_id, lang, entropy.
+        """``(lang, threshold)`` from all trusted documents that the model did not learn from; ``scores`` has doc_id, lang, entropy.
 
         A language's threshold is the smallest grid value with at least ``quantile`` of its trusted documents
         at or under it, times ``MARGIN`` in perplexity. Languages with fewer than ``least`` such documents have no
@@ -291,7 +373,7 @@ def _decided(rows: DataFrame, limits: DataFrame, size: Column) -> DataFrame:
     return joined.withColumn("limit", limit).withColumn("keep", F.col("entropy").isNotNull() & (excess < EVIDENCE))
 
 
-def rate(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CHARS) -> DataFrame:
+def rate(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, documents: int | None = None, chars: int | None = None) -> DataFrame:
     """Per row: doc_id, lang, perplexity, threshold and ``keep``.
 
     Rows without text have a null perplexity and are not kept. A null language counts as one of its own; every language
@@ -305,7 +387,7 @@ def rate(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, documen
     return found.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), F.exp("entropy").alias("perplexity"), F.exp("limit").alias("threshold"), "keep")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CHARS) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, documents: int | None = None, chars: int | None = None) -> DataFrame:
     """The rows that ``rate`` keeps, with the columns of ``docs``. Texts are scored again rather than shuffled."""
     classifier = Classifier(docs, labels, documents, chars)
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("lang", F.lit("")).alias("lang"))

@@ -106,6 +106,43 @@ def test_a_repeated_id_is_no_larger_sample(spark):
         assert len({r.text_key for r in found if r.doc_id == 500}) in (0, 1 if table is same else 100)
 
 
+def test_all_trusted_text_counts(spark):
+    """Nothing is left out of the counts but one trusted id in four, however much there is; that quarter sets the limits."""
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 2 + i % 3), "en", None, 1, 1) for i in range(3200)] + [(4000 + i, prose(rng, 400_000), "fr", None, 1, 1) for i in range(6)]
+    docs, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, 1, 0) for i, *_ in rows], LABELS)
+    classifier = Q.Classifier(docs, labels)
+    learned = {r.doc_id for r in classifier.sample.collect()}
+    quarter = F.pmod(F.xxhash64(F.lit(41), "doc_id"), F.lit(4)) == 0
+    held_out = {r.doc_id for r in docs.filter(quarter).select("doc_id").collect()}
+    assert learned == {i for i, *_ in rows} - held_out and len(learned) > 2000
+    assert sum(len(t) for i, t, lang, *_ in rows if i in learned and lang == "fr") > 2_000_000
+    scores = spark.createDataFrame([(i, "en", i / 100) for i, *_ in rows], "doc_id long, lang string, entropy double")
+    top = classifier.thresholds(scores, 1.0).first().threshold
+    assert top == pytest.approx(max(held_out) / 100 + math.log(Q.MARGIN), abs=2 * Q.GRID)
+
+
+@pytest.mark.parametrize("contexts", [1, 30])
+def test_a_model_in_parts_gives_the_same(corpus, monkeypatch, contexts):
+    rows, docs, labels = corpus
+    texts = docs.select("doc_id", "text").repartition(2)
+    want = {(r.doc_id, r.text): r.entropy for r in Q.Classifier(docs, labels).scored(texts).collect()}
+    monkeypatch.setattr(Q, "PART_CONTEXTS", contexts)
+    monkeypatch.setattr(Q, "MOST_CONTEXTS", 40)
+    classifier = Q.Classifier(docs, labels)
+    assert len(classifier.parts) > 2
+    found = {(r.doc_id, r.text): r.entropy for r in classifier.scored(texts).collect()}
+    assert found.keys() == want.keys()
+    for key, entropy in found.items():
+        assert entropy == want[key] if want[key] is None else entropy == pytest.approx(want[key], rel=1e-5)
+
+
+def test_parts_are_bounded():
+    assert Q.part_ends([]) == [Q.SYMBOLS**2]
+    pairs = [(3, Q.PART_ROWS + 1, 1), (5, 10, 2), (9, Q.PART_ROWS - 10, 1), (11, 1, 1), (12, 1, Q.PART_CONTEXTS)]
+    assert Q.part_ends(pairs) == [5, 11, 12, Q.SYMBOLS**2]
+
+
 def test_junk_goes_and_prose_stays(corpus):
     rows, docs, labels = corpus
     found = Q.rate(docs, labels, documents=40).collect()
