@@ -52,6 +52,14 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(totals * 2 > count, bitorder="little").view(np.uint64)[0])
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """64-bit SimHash of given shingle hashes: a bit is 1 if set in over half of them."""
+    totals = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        totals += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return int(np.packbits(totals * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp)`` per row; ``fp`` is the fingerprint as a signed long. Null text counts as empty (0)."""
 
@@ -239,6 +247,13 @@ def _bucket_edges(radius: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd
     return compute
 
 
+def linked_fingerprints(marks: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """``(node, root)`` for every distinct fingerprint ``fp`` of ``marks`` that a link of at most ``radius`` bits connects to another."""
+    buckets = candidate_buckets(marks, radius, blocks, tile_rows)
+    edges = buckets.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_bucket_edges(radius), "u long, v long")
+    return components(edges)
+
+
 def near_duplicates(
     docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile_rows: int = TILE_ROWS
 ) -> DataFrame:
@@ -252,9 +267,7 @@ def near_duplicates(
     """
     marks = cut_lineage(fingerprints(docs))
     classes = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    buckets = candidate_buckets(classes, radius, blocks, tile_rows)
-    edges = buckets.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_bucket_edges(radius), "u long, v long")
-    roots = components(edges)
+    roots = linked_fingerprints(classes, radius, blocks, tile_rows)
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return marks.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")

@@ -1,8 +1,9 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands for candidates, an exact check for links.
+"""Near copies by the Jaccard similarity of word shingles: SimHash and MinHash bands for candidates, an exact check for links.
 
 A text is the set of its runs of five words. Documents whose sets are equal are one class, so thousands of exact copies
-cost one row. A class has ``BANDS * BAND_ROWS`` least hash values; two classes that agree on a whole band meet in a bucket,
-which a pair of similarity 0.8 misses with a chance of about 5 in a million (a pair of 0.85 of 1 in 10**8). Pairs of a bucket
+cost one row. A class has a SimHash fingerprint of its set; classes that the bit-sliced comparison of ``simhash`` links, within its radius, share
+a bucket. Three bits are a cosine near 0.99, and a wider radius has no tables whose buckets do not grow, so pairs down to ``SIMILARITY`` need bands
+as well: a class has ``BANDS * BAND_ROWS`` least hash values; two classes that agree on a whole band meet in a bucket, which a pair of similarity 0.8 misses with a chance of about 5 in a million (a pair of 0.85 of 1 in 10**8). Pairs of a bucket
 are linked if their exact similarity is ``SIMILARITY`` or more, and linked classes are contracted to components. Each bucket
 is first compared with its least class only. Where that leaves a bucket in more than one component, its classes are compared
 with each other tile by tile inside the tasks: what they yield is one link per class and tile pair at most, never the pairs.
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from kitchenlight.llm.common import only, sorted_runs, stored
 from kitchenlight.llm.components import components
+from kitchenlight.llm.simhash import BLOCKS, RADIUS, TILE_ROWS, linked_fingerprints, set_fingerprint
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -66,7 +68,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _marks(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_key, set_key, size, bands)`` per row."""
+    """``(doc_id, text_key, set_key, size, fp, bands)`` per row."""
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         only(None)
@@ -75,10 +77,18 @@ def _marks(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "text_key": batch["text_key"],
                 "set_key": np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, len(sets)).view(np.int64),
-                "size": [len(s) for s in sets], "bands": [band_keys(s) for s in sets],
+                "size": [len(s) for s in sets], "fp": np.fromiter(map(set_fingerprint, sets), np.uint64, len(sets)).view(np.int64), "bands": [band_keys(s) for s in sets],
             })
 
-    return docs.mapInPandas(compute, "doc_id long, text_key long, set_key long, size long, bands array<long>")
+    return docs.mapInPandas(compute, "doc_id long, text_key long, set_key long, size long, fp long, bands array<long>")
+
+
+def _simhash_buckets(classes: DataFrame) -> DataFrame:
+    """``(band, bucket, set_key, size, holder)``: classes whose fingerprints are linked share a bucket, as if in one more band."""
+    marks = stored(classes.select("fp").distinct(), "fingerprints")
+    roots = linked_fingerprints(marks, RADIUS, BLOCKS, TILE_ROWS)
+    named = classes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+    return named.select(F.lit(BANDS).alias("band"), F.xxhash64(F.lit(BANDS), "root").alias("bucket"), "set_key", "size", "holder")
 
 
 # ---- links ----
@@ -160,8 +170,9 @@ def _grouped(docs: DataFrame, least: float) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     marks = stored(_marks(texts), "marks")
-    classes = marks.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("text_key", "doc_id")).alias("holder"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    rows = classes.filter("size > 0").select(F.posexplode("bands").alias("band", "bucket"), "set_key", "size", "holder")
+    classes = marks.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("text_key", "doc_id")).alias("holder"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    full = classes.filter("size > 0")
+    rows = full.select(F.posexplode("bands").alias("band", "bucket"), "set_key", "size", "holder").unionByName(_simhash_buckets(full))
     heads = rows.groupBy("bucket").agg(F.min(F.struct("set_key", "size")).alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = stored(rows.join(heads, "bucket"), "buckets")
 

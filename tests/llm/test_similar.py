@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kitchenlight.llm import similar
+from kitchenlight.llm.simhash import RADIUS, set_fingerprint
 from tests.conftest import SMALL
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -122,3 +124,21 @@ def test_tiles_lose_no_link(spark, monkeypatch, classes, shingles):
     rows = [(i, t) for i, t in enumerate(one_word_apart(40) + edited())]
     found = similar.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.component_id) for r in found) == sorted(zip([i for i, _ in rows], plain_components(rows)))
+
+
+def test_fingerprints_meet_what_no_band_does(spark, monkeypatch):
+    """The SimHash step finds candidates of its own: with bands that nothing shares, pairs within its radius are still linked."""
+    rng = random.Random(4)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+        texts += [" ".join(base), " ".join(base[:-1] + ["end"])]
+    marks = [set_fingerprint(similar.shingle_set(t)) for t in texts]
+    near = [(a ^ b).bit_count() <= RADIUS for a, b in zip(marks[::2], marks[1::2])]
+    assert sum(near) >= 6
+    bands = "xxhash64(text_key, doc_id)"
+    plain = similar._marks
+    monkeypatch.setattr(similar, "_marks", lambda docs: plain(docs).withColumn("bands", F.expr(f"transform(bands, (b, i) -> xxhash64({bands}, i))")))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = dict(similar.near_copies(docs).select("doc_id", "component_id").collect())
+    assert [found[2 * i] == found[2 * i + 1] for i in range(12)] == near
